@@ -5,11 +5,14 @@ window. A heavy key is cut into consecutive blocks of its order; each block is a
 window group of its own, and what a block needs from its neighbours (last known
 value, last n values) travels in one small edge row per block. Edges share the
 partitioning of the blocks, so the rows themselves are shuffled once.
+
+A row whose key is null belongs to no series: its shifted and filled values are null.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -53,6 +56,11 @@ class Panel:
     def heavy_part(self) -> DataFrame:
         return heavy_rows(self.rows, self.keys, self.heavy)
 
+    def in_series(self, value: Column) -> Column:
+        """The value where the key is known, else null."""
+        known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in self.keys])
+        return F.when(known, value)
+
 
 def make_panel(
     df: DataFrame,
@@ -117,7 +125,7 @@ def fill(panel: Panel, value: str, out: str, backward: bool = False) -> Panel:
     found = [F.last(value, ignorenulls=True).over(running), F.col("_carried")]
     if backward:
         found += [F.col("_earliest"), F.first(value, ignorenulls=True).over(whole)]
-    rows = _attach(panel, edges).withColumn(out, F.coalesce(*found))
+    rows = _attach(panel, edges).withColumn(out, panel.in_series(F.coalesce(*found)))
     return panel.with_rows(rows.drop("_carried", "_earliest"))
 
 
@@ -154,22 +162,19 @@ def shift(
         missing = F.lit(k) - F.col("_ordinal") + 1
         rows = rows.withColumn(
             name,
-            F.when(F.col("_ordinal") > k, F.lag(value, k).over(w)).when(
-                (F.col("_ordinal") <= k) & F.col("_carried").isNotNull(),
-                F.try_element_at("_carried", -missing).getField("v"),
+            panel.in_series(
+                F.when(F.col("_ordinal") > k, F.lag(value, k).over(w)).when(
+                    F.col("_carried").isNotNull(),
+                    F.try_element_at("_carried", -missing).getField("v"),
+                )
             ),
         )
     return panel.with_rows(rows.drop("_carried", "_ordinal"))
 
 
 def _attach(panel: Panel, edges: DataFrame) -> DataFrame:
-    """Left join of the block edges; they arrive already partitioned like the blocks."""
-    side = edges.withColumnsRenamed({k: f"_edge_{k}" for k in [*panel.keys, BLOCK]})
-    rows = panel.rows
-    same = rows[BLOCK] == side[f"_edge_{BLOCK}"]
-    for k in panel.keys:
-        same = same & rows[k].eqNullSafe(side[f"_edge_{k}"])
-    return rows.join(side, same, "left").drop(*[f"_edge_{k}" for k in [*panel.keys, BLOCK]])
+    """Left join of the block edges; keys and block are also the window's partitioning."""
+    return panel.rows.join(edges, [*panel.keys, BLOCK], "left")
 
 
 def as_of(
