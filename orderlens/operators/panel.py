@@ -225,8 +225,3 @@ def lag_columns(steps: int) -> tuple[list[int], list[str]]:
     """Steps 1..n with the column names used by every model (``tip_t-1`` ...)."""
     ks = list(range(1, steps + 1))
     return ks, [f"tip_t-{k}" for k in ks]
-
-
-def quoted(name: str) -> Column:
-    """Column reference for names with a dash."""
-    return F.col(f"`{name}`")
