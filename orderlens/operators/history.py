@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from orderlens.functions.dates import micros
 from orderlens.functions.scalars import version_id
-from orderlens.operators.panel import make_panel, shift
-from orderlens.operators.skew import HEAVY_MIN_ROWS, HEAVY_SHARE
+from orderlens.operators.panel import find_heavy_spans, make_panel, shift
+from orderlens.operators.skew import LIMITS, SkewLimits
 
 
 def scd_id(key: str, valid_from: str) -> Column:
@@ -22,8 +22,7 @@ def history_from_changes(
     op: str,
     tie: str,
     attributes: list[str],
-    share: float = HEAVY_SHARE,
-    min_rows: int = HEAVY_MIN_ROWS,
+    limits: SkewLimits = LIMITS,
 ) -> DataFrame:
     """Every version of every key. Changes at one instant collapse to the last by ``tie``.
 
@@ -39,7 +38,9 @@ def history_from_changes(
         )
         .select(key, ts, "_tie", "_r.*")
     )
-    panel = make_panel(per_instant, [key], ts, "_tie", share, min_rows)
+    # Counted on the log itself, which is cheaper than the collapsed rows.
+    heavy = find_heavy_spans(changes.withColumnRenamed(tie, "_tie"), [key], ts, "_tie", limits)
+    panel = make_panel(per_instant, [key], ts, "_tie", heavy)
     closed = shift(panel, ts, [1], ["valid_to"], ahead=True).result()
     return closed.filter(F.col(op) != "d").select(
         key,

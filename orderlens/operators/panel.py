@@ -18,13 +18,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from orderlens.functions.dates import micros
-from orderlens.operators.skew import (
-    HEAVY_MIN_ROWS,
-    HEAVY_SHARE,
-    heavy_keys,
-    heavy_rows,
-    mark_heavy,
-)
+from orderlens.operators.skew import DETECT, LIMITS, SkewLimits, find_heavy, heavy_rows, mark_heavy
 
 BLOCK = "_block"
 # Blocks per piece: time is not evenly filled, so cut finer than the row limit asks for.
@@ -33,13 +27,16 @@ OVERSPLIT = 4
 
 @dataclass(frozen=True)
 class Panel:
-    """Rows with a ``_block`` column: null for ordinary keys, ascending in the order otherwise."""
+    """Rows with key and order; with heavy keys also a ``_block`` column.
+
+    The block is null for ordinary keys and ascends with the order for heavy ones.
+    """
 
     rows: DataFrame
     keys: list[str]
     ts: str
     tie: str
-    heavy: DataFrame
+    heavy: DataFrame | None
 
     def with_rows(self, rows: DataFrame) -> "Panel":
         return Panel(rows, self.keys, self.ts, self.tie, self.heavy)
@@ -47,28 +44,64 @@ class Panel:
     def result(self) -> DataFrame:
         return self.rows.drop(BLOCK)
 
+    def groups(self) -> list[str]:
+        return [*self.keys, BLOCK] if self.heavy is not None else list(self.keys)
+
     def window(self, descending: bool = False) -> WindowSpec:
         order = [F.col(self.ts), F.col(self.tie)]
-        return Window.partitionBy(*self.keys, BLOCK).orderBy(
+        return Window.partitionBy(*self.groups()).orderBy(
             *[c.desc() if descending else c.asc() for c in order]
         )
 
     def heavy_part(self) -> DataFrame:
         return heavy_rows(self.rows, self.keys, self.heavy)
 
+    def with_edges(self, edges: DataFrame) -> DataFrame:
+        """Left join of block edges; keys and block are also the window's partitioning."""
+        return self.rows.join(edges, [*self.keys, BLOCK], "left")
+
     def in_series(self, value: Column) -> Column:
         """The value where the key is known, else null."""
         known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in self.keys])
         return F.when(known, value)
 
 
+def find_heavy_spans(
+    df: DataFrame, keys: list[str], ts: str, tie: str, limits: SkewLimits = LIMITS
+) -> DataFrame | None:
+    """Heavy keys with the first and last instant and tie-break of each."""
+    t, n = micros(ts), F.col(tie).cast("double")
+    stats = [
+        F.min(t).alias("_t0"),
+        F.max(t).alias("_t1"),
+        F.min(n).alias("_n0"),
+        F.max(n).alias("_n1"),
+    ]
+    return find_heavy(df.select(*dict.fromkeys([*keys, ts, tie])), keys, limits, stats)
+
+
+def with_span(heavy: DataFrame | None, times: DataFrame, ts: str) -> DataFrame | None:
+    """Give heavy keys one common span, for keys counted on a table that has no time of its own."""
+    if heavy is None:
+        return None
+    span = times.agg(F.min(micros(ts)).alias("a"), F.max(micros(ts)).alias("z")).first()
+    return heavy.withColumns(
+        {
+            "_t0": F.lit(span["a"]),
+            "_t1": F.lit(span["z"]),
+            "_n0": F.lit(0.0),
+            "_n1": F.lit(1.0),
+        }
+    )
+
+
 def make_panel(
     df: DataFrame,
     keys: list[str],
     ts: str,
     tie: str,
-    share: float = HEAVY_SHARE,
-    min_rows: int = HEAVY_MIN_ROWS,
+    heavy: DataFrame | None | str = DETECT,
+    limits: SkewLimits = LIMITS,
 ) -> Panel:
     """Cut heavy keys into blocks along ``(ts, tie)``; ``tie`` must be a number.
 
@@ -76,25 +109,18 @@ def make_panel(
     its key. The tie-break adds less than one microsecond, so the place never
     runs against the order, and a key with all rows at one instant is still cut.
     """
+    if isinstance(heavy, str):
+        heavy = find_heavy_spans(df, keys, ts, tie, limits)
+    if heavy is None:
+        return Panel(df, keys, ts, tie, None)
     t, n = micros(ts), F.col(tie).cast("double")
-    heavy = heavy_keys(
-        df,
-        keys,
-        share,
-        min_rows,
-        stats=[
-            F.min(t).alias("_t0"),
-            F.max(t).alias("_t1"),
-            F.min(n).alias("_n0"),
-            F.max(n).alias("_n1"),
-        ],
-    )
-    marked = mark_heavy(df, keys, heavy)
     within = (n - F.col("_n0")) / (F.col("_n1") - F.col("_n0") + 1)
     place = ((t - F.col("_t0")) + within) / (F.col("_t1") - F.col("_t0") + 1)
-    rows = marked.withColumn(
-        BLOCK, F.floor(place * F.col("_pieces") * F.lit(OVERSPLIT)).cast("long")
-    ).drop("_pieces", "_t0", "_t1", "_n0", "_n1")
+    rows = (
+        mark_heavy(df, keys, heavy)
+        .withColumn(BLOCK, F.floor(place * F.col("_pieces") * F.lit(OVERSPLIT)).cast("long"))
+        .drop("_pieces", "_t0", "_t1", "_n0", "_n1")
+    )
     return Panel(rows, keys, ts, tie, heavy.select(*keys))
 
 
@@ -108,24 +134,28 @@ def fill(panel: Panel, value: str, out: str, backward: bool = False) -> Panel:
     w = panel.window()
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    forward = F.last(value, ignorenulls=True).over(running)
+    first = F.first(value, ignorenulls=True).over(whole)
+    if panel.heavy is None:
+        found = F.coalesce(forward, first) if backward else forward
+        return panel.with_rows(panel.rows.withColumn(out, panel.in_series(found)))
 
     at = F.when(F.col(value).isNotNull(), F.struct(panel.ts, panel.tie))
-    edges = panel.heavy_part().groupBy(*panel.keys, BLOCK).agg(
+    edges = panel.heavy_part().groupBy(*panel.groups()).agg(
         F.min_by(value, at).alias("_first"), F.max_by(value, at).alias("_last")
     )
     blocks = Window.partitionBy(*panel.keys).orderBy(BLOCK)
     before = blocks.rowsBetween(Window.unboundedPreceding, -1)
     every = blocks.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     edges = edges.select(
-        *panel.keys,
-        BLOCK,
+        *panel.groups(),
         F.last("_last", ignorenulls=True).over(before).alias("_carried"),
         F.first("_first", ignorenulls=True).over(every).alias("_earliest"),
     )
-    found = [F.last(value, ignorenulls=True).over(running), F.col("_carried")]
+    found = [forward, F.col("_carried")]
     if backward:
-        found += [F.col("_earliest"), F.first(value, ignorenulls=True).over(whole)]
-    rows = _attach(panel, edges).withColumn(out, panel.in_series(F.coalesce(*found)))
+        found += [F.col("_earliest"), first]
+    rows = panel.with_edges(edges).withColumn(out, panel.in_series(F.coalesce(*found)))
     return panel.with_rows(rows.drop("_carried", "_earliest"))
 
 
@@ -134,15 +164,20 @@ def shift(
 ) -> Panel:
     """Value ``k`` rows earlier in the same key (later with ``ahead``), one column per step."""
     reach = max(steps)
-    w = panel.window(descending=ahead)
-    ordinal = F.row_number().over(w)
+    # One direction of sorting serves both: a lead is a lag with the sign turned.
+    w = panel.window()
+    local = F.lead if ahead else F.lag
+    if panel.heavy is None:
+        columns = {n: panel.in_series(local(value, k).over(w)) for k, n in zip(steps, names)}
+        return panel.with_rows(panel.rows.withColumns(columns))
 
+    away = panel.window(descending=ahead)
     # Up to `reach` values at the end of each block, oldest first as seen by the next block.
     tail = (
         panel.heavy_part()
         .withColumn("_back", F.row_number().over(panel.window(descending=not ahead)))
         .filter(F.col("_back") <= reach)
-        .groupBy(*panel.keys, BLOCK)
+        .groupBy(*panel.groups())
         .agg(
             F.sort_array(
                 F.collect_list(F.struct((-F.col("_back")).alias("p"), F.col(value).alias("v")))
@@ -155,15 +190,15 @@ def shift(
     # Every block has at least one row, so `reach` neighbours are always enough.
     near = blocks.rowsBetween(-reach, -1)
     edges = tail.select(
-        *panel.keys, BLOCK, F.flatten(F.collect_list("_tail").over(near)).alias("_carried")
+        *panel.groups(), F.flatten(F.collect_list("_tail").over(near)).alias("_carried")
     )
-    rows = _attach(panel, edges).withColumn("_ordinal", ordinal)
+    rows = panel.with_edges(edges).withColumn("_ordinal", F.row_number().over(away))
     for k, name in zip(steps, names):
         missing = F.lit(k) - F.col("_ordinal") + 1
         rows = rows.withColumn(
             name,
             panel.in_series(
-                F.when(F.col("_ordinal") > k, F.lag(value, k).over(w)).when(
+                F.when(F.col("_ordinal") > k, local(value, k).over(w)).when(
                     F.col("_carried").isNotNull(),
                     F.try_element_at("_carried", -missing).getField("v"),
                 )
@@ -172,11 +207,6 @@ def shift(
     return panel.with_rows(rows.drop("_carried", "_ordinal"))
 
 
-def _attach(panel: Panel, edges: DataFrame) -> DataFrame:
-    """Left join of the block edges; keys and block are also the window's partitioning."""
-    return panel.rows.join(edges, [*panel.keys, BLOCK], "left")
-
-
 def as_of(
     facts: DataFrame,
     versions: DataFrame,
@@ -185,22 +215,22 @@ def as_of(
     valid_from: str,
     valid_to: str,
     take: dict[str, str],
-    share: float = HEAVY_SHARE,
-    min_rows: int = HEAVY_MIN_ROWS,
+    heavy: DataFrame | None | str = DETECT,
+    limits: SkewLimits = LIMITS,
 ) -> DataFrame:
     """Left point-in-time join: each fact gets the version valid at its time.
 
     Both sides are merged into one time line per key and the last version seen is
     carried forward: work grows with the rows of a key, not with facts times
     versions. Validity intervals of one key must not overlap; gaps are respected.
-    ``take`` maps version columns to output names.
+    ``take`` maps version columns to output names. ``heavy`` may come from
+    ``find_heavy_spans`` or ``with_span`` over any cheaper frame with this key.
     """
-    fact_cols = facts.columns
     left = facts.select(
         F.col(key).alias("_k"),
         F.col(at).cast("timestamp").alias("_at"),
         F.lit(1).alias("_kind"),
-        F.struct(*fact_cols).alias("_fact"),
+        F.struct(*facts.columns).alias("_fact"),
     )
     right = versions.filter(F.col(valid_from).isNotNull() & F.col(key).isNotNull()).select(
         F.col(key).alias("_k"),
@@ -212,7 +242,9 @@ def as_of(
         ).alias("_version"),
     )
     line = right.unionByName(left, allowMissingColumns=True)
-    panel = make_panel(line, ["_k"], "_at", "_kind", share, min_rows)
+    if isinstance(heavy, DataFrame):
+        heavy = heavy.withColumnRenamed(key, "_k")
+    panel = make_panel(line, ["_k"], "_at", "_kind", heavy, limits)
     filled = fill(panel, "_version", "_seen").rows.filter("_kind = 1")
     valid = F.col("_seen._until").isNull() | (F.col("_at") < F.col("_seen._until"))
     return filled.select(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlens.operators.panel import lag_columns, make_panel, shift
-from orderlens.operators.skew import HEAVY_MIN_ROWS, HEAVY_SHARE
+from orderlens.operators.skew import LIMITS, SkewLimits
 
 # Supported bin widths.
 BINS = {"day": "INTERVAL 1 DAY", "hour": "INTERVAL 1 HOUR"}
@@ -55,12 +55,11 @@ def lagged_target(
     tie: str,
     target: str,
     lags: int,
-    share: float = HEAVY_SHARE,
-    min_rows: int = HEAVY_MIN_ROWS,
+    limits: SkewLimits = LIMITS,
 ) -> DataFrame:
     """Complete rows of the target and its per-key lags."""
     steps, names = lag_columns(lags)
-    panel = make_panel(df.select(key, ts, tie, target), [key], ts, tie, share, min_rows)
+    panel = make_panel(df.select(key, ts, tie, target), [key], ts, tie, limits=limits)
     return shift(panel, target, steps, names).result().na.drop(subset=[target, *names])
 
 

@@ -1,61 +1,76 @@
 """Heavy keys: find them, split them, join through them.
 
-A key that holds a large share of all rows must not end up in one task. The
-helpers here count rows per key (a map-side combined aggregate over the key
-columns alone), keep the few keys above a limit, and cut those into pieces.
+A key that holds a large share of all rows must not end up in one task. Heavy
+keys are looked for once, by a count over the key columns alone (combined on the
+map side), and cut into pieces. Where there are none, plans stay plain.
 
 With ``limit = max(min_rows, share * total)`` at most ``1 / share`` keys can be
 above the limit, and all their pieces together number at most ``2 / share``.
-That bound is what makes broadcasting the heavy-key table safe at any scale.
+That bound is why the heavy-key table may be collected and broadcast at any scale.
+The table only steers how rows are spread; results do not depend on it.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HEAVY_SHARE = 1e-4
-HEAVY_MIN_ROWS = 1_000_000
+DETECT = "detect"
 
 
-def heavy_keys(
-    df: DataFrame,
-    keys: list[str],
-    share: float = HEAVY_SHARE,
-    min_rows: int = HEAVY_MIN_ROWS,
-    stats: list[Column] | None = None,
-) -> DataFrame:
-    """Keys above the row limit with ``_pieces``, the number of parts to cut them into."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *(stats or []))
-    limit = counts.agg(
-        F.greatest(F.lit(min_rows).cast("double"), F.sum("_n") * F.lit(share)).alias("_limit")
-    ).scalar()
-    return (
-        counts.withColumn("_limit", limit)
-        .filter(F.col("_n") > F.col("_limit"))
-        .withColumn("_pieces", F.ceil(F.col("_n") / F.col("_limit")).cast("long"))
-        .drop("_n", "_limit")
+@dataclass(frozen=True)
+class SkewLimits:
+    """A key is heavy above ``max(min_rows, share * total)`` rows."""
+
+    share: float = 1e-4
+    min_rows: int = 1_000_000
+
+
+LIMITS = SkewLimits()
+
+
+def find_heavy(
+    df: DataFrame, keys: list[str], limits: SkewLimits = LIMITS, stats: list[Column] | None = None
+) -> DataFrame | None:
+    """Heavy keys with ``_pieces`` (and extra statistics), or None when there are none.
+
+    Pass a cheap frame that has the key columns, such as the scan, rather than
+    the end of a long plan. No key can be heavy in a frame of ``min_rows`` rows,
+    so small inputs cost a row count, which Parquet answers from its footers.
+    """
+    total = df.count()
+    if total <= limits.min_rows:
+        return None
+    limit = max(float(limits.min_rows), total * limits.share)
+    found = (
+        df.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_n"), *(stats or []))
+        .filter(F.col("_n") > limit)
+        .withColumn("_pieces", F.ceil(F.col("_n") / limit).cast("long"))
+        .drop("_n")
     )
+    rows = found.collect()  # at most 1 / share rows
+    return df.sparkSession.createDataFrame(rows, found.schema) if rows else None
+
+
+def _matches(df: DataFrame, side: DataFrame, keys: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [df[k].eqNullSafe(side[f"_heavy_{k}"]) for k in keys])
 
 
 def mark_heavy(df: DataFrame, keys: list[str], heavy: DataFrame) -> DataFrame:
-    """Attach the heavy-key columns (null on ordinary keys). Null keys may be heavy too."""
+    """Attach the heavy-key columns (null on ordinary keys). The null key may be heavy too."""
     side = heavy.withColumnsRenamed({k: f"_heavy_{k}" for k in keys})
-    same = reduce(
-        lambda a, b: a & b, [df[k].eqNullSafe(side[f"_heavy_{k}"]) for k in keys]
-    )
-    return df.join(F.broadcast(side), same, "left").drop(*[f"_heavy_{k}" for k in keys])
+    joined = df.join(F.broadcast(side), _matches(df, side, keys), "left")
+    return joined.drop(*[f"_heavy_{k}" for k in keys])
 
 
 def heavy_rows(df: DataFrame, keys: list[str], heavy: DataFrame) -> DataFrame:
-    """Rows of heavy keys only; an empty heavy table empties the branch at run time."""
+    """Rows of heavy keys only."""
     side = heavy.select(*[F.col(k).alias(f"_heavy_{k}") for k in keys])
-    same = reduce(
-        lambda a, b: a & b, [df[k].eqNullSafe(side[f"_heavy_{k}"]) for k in keys]
-    )
-    return df.join(F.broadcast(side), same, "left_semi")
+    return df.join(F.broadcast(side), _matches(df, side, keys), "left_semi")
 
 
 def salted_join(
@@ -64,9 +79,8 @@ def salted_join(
     keys: list[str],
     how: str,
     spread_by: list[str],
-    heavy: DataFrame | None = None,
-    share: float = HEAVY_SHARE,
-    min_rows: int = HEAVY_MIN_ROWS,
+    heavy: DataFrame | None | str = DETECT,
+    limits: SkewLimits = LIMITS,
 ) -> DataFrame:
     """Join a large table with one row (or few) per key, splitting heavy keys of the large side.
 
@@ -76,8 +90,10 @@ def salted_join(
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
+    if isinstance(heavy, str):
+        heavy = find_heavy(many.select(*keys), keys, limits)
     if heavy is None:
-        heavy = heavy_keys(many, keys, share, min_rows)
+        return many.join(one, keys, how)
     heavy = heavy.select(*keys, "_pieces")
     left = mark_heavy(many, keys, heavy).withColumn(
         "_salt",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,6 +13,8 @@ from orderlens.functions.holidays import dim_holiday
 from orderlens.functions.scalars import is_active, known_true
 from orderlens.operators import quality
 from orderlens.operators.history import history_from_changes, open_versions, snapshot_step
+from orderlens.operators.panel import make_panel, shift
+from orderlens.operators.skew import salted_join
 from orderlens.operators.latest import (
     latest_by_key,
     latest_by_rank,
@@ -31,7 +33,13 @@ from orderlens.plans.catalogue.registry import (
     query,
 )
 from orderlens.plans.dims import dim_date, product_snapshot_input, user_snapshot_input
-from orderlens.plans.facts import f_order_lines, f_orders, monthly_tip_rate, point_in_time_key
+from orderlens.plans.facts import (
+    f_order_lines,
+    f_orders,
+    monthly_tip_rate,
+    order_line_keys,
+    point_in_time_key,
+)
 from orderlens.plans.staging import stg_order_products, stg_orders, stg_products, stg_users
 from orderlens.sources import stand_ins as src
 from orderlens.sources.changes import bootstrap, decode, with_bootstrap
@@ -354,8 +362,6 @@ SELECT user_id, event_id, ts AS valid_from,
        lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS valid_to FROM ch""",
 )
 def f8_validity_interval(spark, sf):
-    from orderlens.operators.panel import make_panel, shift
-
     log = src.change_log(spark, sf).select("user_id", "event_id", "ts")
     panel = make_panel(log, ["user_id"], "ts", "event_id")
     return shift(panel, "ts", [1], ["valid_to"], ahead=True).result().withColumnRenamed("ts", "valid_from")
@@ -491,23 +497,21 @@ LEFT JOIN uv ON o_custkey = uv.user_id AND o_orderdate >= uv.valid_from
  AND o_orderdate < coalesce(uv.valid_to, TIMESTAMP '9999-12-31 23:59:59.999999')""",
 )
 def d4_pit_lines(spark, sf):
-    from orderlens.operators.skew import salted_join
-
-    orders = point_in_time_key(
-        src.orders(spark, sf).select("order_id", "user_id", "order_date"),
-        src.user_versions(spark, sf),
-        "user_id",
-        "order_date",
-        "user_sk",
-    )
+    orders = src.orders(spark, sf).select("order_id", "user_id", "order_date")
     lines = src.table(spark, sf, "lineitem").select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("l_linenumber").alias("add_to_cart_order"),
         F.col("l_suppkey").alias("supplier_id"),
     )
-    timed = salted_join(lines, orders, ["order_id"], "left", ["product_id", "supplier_id"])
-    keyed = point_in_time_key(timed, src.product_versions(spark, sf), "product_id", "order_date", "product_sk")
+    keyed = order_line_keys(
+        lines,
+        orders,
+        src.product_versions(spark, sf),
+        src.user_versions(spark, sf),
+        "order_date",
+        ["product_id", "supplier_id"],
+    )
     return keyed.select("order_id", "product_id", "add_to_cart_order", "supplier_id", "product_sk", "user_sk")
 
 
@@ -547,8 +551,6 @@ def l10_fact_lines(spark, sf):
 FROM l LEFT JOIN orders ON l.order_id = o_orderkey""",
 )
 def d5_lines_to_orders(spark, sf):
-    from orderlens.operators.skew import salted_join
-
     orders = src.orders(spark, sf).select("order_id", "user_id", "order_date")
     return salted_join(
         src.order_products(spark, sf), orders, ["order_id"], "left", ["product_id", "add_to_cart_order"]
@@ -613,8 +615,6 @@ FROM fl JOIN pv ON fl.product_sk = pv.scd_id""",
 def d9_fact_to_version(spark, sf):
     history = src.product_versions(spark, sf).select("scd_id", "product_name", "valid_from")
     facts = line_facts(spark, sf).select("order_id", "product_id", "product_sk")
-    from orderlens.operators.skew import salted_join
-
     keyed = history.withColumnRenamed("scd_id", "product_sk")
     return salted_join(facts, keyed, ["product_sk"], "inner", ["order_id"]).select(
         "order_id", "product_id", "product_sk", "product_name", "valid_from"
@@ -775,8 +775,6 @@ FROM pv""",
 )
 def n1_history(spark, sf):
     """Every product's versions in order (a single product is a filter on top)."""
-    from pyspark.sql import Window
-
     history = src.product_versions(spark, sf)
     # A product has at most two versions here; change logs of any length go through the panel operators.
     w = Window.partitionBy("product_id").orderBy("valid_from")

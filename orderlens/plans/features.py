@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from orderlens.functions.dates import whole_days_between
 from orderlens.functions.holidays import dim_holiday, is_holiday
 from orderlens.functions.scalars import contains_word, cyclic
-from orderlens.operators.panel import fill, lag_columns, make_panel, shift
-from orderlens.operators.skew import HEAVY_MIN_ROWS, HEAVY_SHARE, salted_join
+from orderlens.operators.panel import fill, find_heavy_spans, lag_columns, make_panel, shift
+from orderlens.operators.skew import DETECT, LIMITS, SkewLimits, salted_join
 
 ORGANIC_WORD = "organic"
 CLUSTERS = 4
@@ -37,8 +37,8 @@ def lag_features(
     df: DataFrame,
     lags: int,
     backfill: bool = True,
-    share: float = HEAVY_SHARE,
-    min_rows: int = HEAVY_MIN_ROWS,
+    heavy: DataFrame | None | str = DETECT,
+    limits: SkewLimits = LIMITS,
 ) -> DataFrame:
     """Lags 1..n of the gap-filled target per user, and 0/1 flags for missing lags.
 
@@ -46,7 +46,7 @@ def lag_features(
     """
     steps, names = lag_columns(lags)
     marked = df.withColumn("is_target_nan", F.col("tip").isNull())
-    panel = make_panel(marked, ["user_id"], "order_date", "order_id", share, min_rows)
+    panel = make_panel(marked, ["user_id"], "order_date", "order_id", heavy, limits)
     panel = fill(panel, "tip", "tip_for_shifting", backward=backfill)
     out = shift(panel, "tip_for_shifting", steps, names).result()
     return out.withColumns({f"{n}_is_nan": F.col(n).isNull().cast("int") for n in names})
@@ -105,16 +105,16 @@ def with_organic_flag(df: DataFrame, lines: DataFrame, word: str = ORGANIC_WORD)
     )
 
 
-def with_user_mean(df: DataFrame, value: str, name: str, **skew) -> DataFrame:
+def with_user_mean(df: DataFrame, value: str, name: str, limits: SkewLimits = LIMITS) -> DataFrame:
     """Mean of a column over the user's orders, on every order."""
     means = df.groupBy("user_id").agg(F.avg(value).alias(name))
-    return salted_join(df, means, ["user_id"], "inner", ["order_id"], **skew)
+    return salted_join(df, means, ["user_id"], "inner", ["order_id"], limits=limits)
 
 
-def with_order_count(df: DataFrame, **skew) -> DataFrame:
+def with_order_count(df: DataFrame, limits: SkewLimits = LIMITS) -> DataFrame:
     """Number of different orders of the user, on every order."""
     counts = df.groupBy("user_id").agg(F.countDistinct("order_id").alias("no_orders"))
-    return salted_join(df, counts, ["user_id"], "left", ["order_id"], **skew)
+    return salted_join(df, counts, ["user_id"], "left", ["order_id"], limits=limits)
 
 
 # ---- target rates ---------------------------------------------------------
@@ -248,9 +248,9 @@ def cluster_users(
     )
 
 
-def with_clusters(df: DataFrame, clusters: DataFrame, **skew) -> DataFrame:
+def with_clusters(df: DataFrame, clusters: DataFrame, limits: SkewLimits = LIMITS) -> DataFrame:
     """Cluster as text; users without a cluster get -1."""
-    joined = salted_join(df, clusters, ["user_id"], "left", ["order_id"], **skew)
+    joined = salted_join(df, clusters, ["user_id"], "left", ["order_id"], limits=limits)
     return joined.withColumn("cluster", F.coalesce("cluster", F.lit(-1)).cast("string"))
 
 
@@ -266,22 +266,22 @@ def feature_frame(
     rates: TipRates | None = None,
     organic_word: str = ORGANIC_WORD,
     backfill: bool = True,
-    share: float = HEAVY_SHARE,
-    min_rows: int = HEAVY_MIN_ROWS,
+    limits: SkewLimits = LIMITS,
 ) -> DataFrame:
     """All features on one row per order that has lines.
 
     Whole-frame rates by default; pass ``rates`` fitted on a training part to keep
     the test part out of them. ``clusters`` is optional because fitting runs jobs.
     """
-    skew = {"share": share, "min_rows": min_rows}
+    # Users are counted once; the lags and the join of user sums are spread by the same table.
+    heavy = find_heavy_spans(orders, ["user_id"], "order_date", "order_id", limits)
     basket = baskets(lines, organic_word)
     per_order = basket.groupBy("order_id").agg(
         F.max("cart_size").alias("cart_size"), F.bool_or("organic").alias("_organic")
     )
     # Order level: dates and lags need every order, also those without lines.
     df = date_conversion(orders, min_date)
-    df = lag_features(df, lags, backfill, share, min_rows)
+    df = lag_features(df, lags, backfill, heavy)
     df = (
         df.join(per_order, "order_id", "left")
         .withColumn("order_contains_organic", F.coalesce("_organic", F.lit(False)))
@@ -297,7 +297,7 @@ def feature_frame(
     if clusters is not None:
         per_user = per_user.join(clusters, "user_id", "left")
     df = salted_join(
-        df.filter(F.col("cart_size").isNotNull()), per_user, ["user_id"], "left", ["order_id"], **skew
+        df.filter(F.col("cart_size").isNotNull()), per_user, ["user_id"], "left", ["order_id"], heavy
     )
     if clusters is not None:
         df = df.withColumn("cluster", F.coalesce("cluster", F.lit(-1)).cast("string"))
@@ -315,11 +315,11 @@ def trend_cycle_features(
     orders: DataFrame,
     lags: int,
     min_date: Column | None = None,
-    share: float = HEAVY_SHARE,
-    min_rows: int = HEAVY_MIN_ROWS,
+    limits: SkewLimits = LIMITS,
 ) -> DataFrame:
     """Trend, weekday cycle and lags with missing lags as -1; the user column is dropped."""
-    df = lag_features(date_conversion(orders, min_date), lags, True, share, min_rows)
+    heavy = find_heavy_spans(orders, ["user_id"], "order_date", "order_id", limits)
+    df = lag_features(date_conversion(orders, min_date), lags, True, heavy)
     df = df.withColumn("weekday", F.weekday("order_date"))
     sin, cos = cyclic("weekday", 7)
     _, names = lag_columns(lags)

@@ -16,7 +16,7 @@ from orderlens.functions.scalars import cyclic
 from orderlens.operators.panel import lag_columns
 from orderlens.operators.ranking import FoldBorder, global_rank, time_series_folds, with_test_fold
 from orderlens.operators.series import lagged_target
-from orderlens.operators.skew import HEAVY_MIN_ROWS, HEAVY_SHARE, salted_join
+from orderlens.operators.skew import LIMITS, SkewLimits, find_heavy, salted_join
 from orderlens.plans.features import feature_frame, trend_cycle_features
 
 # Inverse regularisation strengths 10^-4 .. 10^4 in ten steps, iterations.
@@ -267,8 +267,7 @@ def train_ar_model(
     inner_folds: int = 5,
     strengths: list[float] | None = None,
     max_iter: int = MAX_ITERATIONS,
-    share: float = HEAVY_SHARE,
-    min_rows: int = HEAVY_MIN_ROWS,
+    limits: SkewLimits = LIMITS,
 ) -> dict[int, float]:
     """Accuracy per fold of the AR(n) model: lags plus one indicator per user.
 
@@ -284,10 +283,10 @@ def train_ar_model(
         "order_id",
         "tip",
         lags,
-        share,
-        min_rows,
+        limits,
     ).persist()
     try:
+        heavy = find_heavy(complete.select("user_id"), ["user_id"], limits)
         _, borders = time_series_folds(complete, "order_date", "order_id", folds)
         rows = with_test_fold(complete, "order_date", "order_id", borders)
         scores: dict[int, float] = {}
@@ -298,7 +297,7 @@ def train_ar_model(
 
             def prepared(part: DataFrame) -> DataFrame:
                 indexed = salted_join(
-                    part, users, ["user_id"], "left", ["order_id"], share=share, min_rows=min_rows
+                    part, users, ["user_id"], "left", ["order_id"], heavy
                 ).withColumn("user_index", F.coalesce("user_index", F.lit(unknown)).cast("double"))
                 return grouped_rows(indexed, ["user_index", *names])
 
@@ -323,14 +322,17 @@ def train_ar_model(
 # ---- scoring ------------------------------------------------------------------
 
 
-def prediction_sets(orders: DataFrame, labels: DataFrame, template: DataFrame, **skew) -> dict[str, DataFrame]:
+def prediction_sets(
+    orders: DataFrame, labels: DataFrame, template: DataFrame, limits: SkewLimits = LIMITS
+) -> dict[str, DataFrame]:
     """Labelled orders, and all orders of users who have at least one unlabelled order."""
     labelled = orders.join(labels, "order_id")
     either = labels.unionByName(template, allowMissingColumns=True).join(orders, "order_id")
     open_users = either.filter(F.col("tip").isNull()).select("user_id").distinct()
+    heavy = find_heavy(orders.select("user_id"), ["user_id"], limits)
     return {
         "labelled": labelled,
-        "scoring": salted_join(either, open_users, ["user_id"], "left_semi", ["order_id"], **skew),
+        "scoring": salted_join(either, open_users, ["user_id"], "left_semi", ["order_id"], heavy),
     }
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from orderlens.functions.scalars import text_to_bool
 from orderlens.operators.ranking import key_chunks
-from orderlens.operators.skew import salted_join
+from orderlens.operators.skew import LIMITS, SkewLimits, salted_join
 
 
 def distinct_dimension(df: DataFrame, columns: list[str], key: str) -> DataFrame:
@@ -39,24 +39,26 @@ def normalise(orders: DataFrame, tips: DataFrame | None, lines: DataFrame) -> di
     }
 
 
-def denormalise(orders: DataFrame, lines: DataFrame, **skew) -> DataFrame:
+def denormalise(orders: DataFrame, lines: DataFrame, limits: SkewLimits = LIMITS) -> DataFrame:
     """Order lines with their order's columns; orders without lines are kept."""
     spread = [c for c in lines.columns if c != "order_id"]
-    joined = salted_join(lines, orders, ["order_id"], "inner", spread, **skew)
+    joined = salted_join(lines, orders, ["order_id"], "inner", spread, limits=limits)
     bare = orders.join(lines.select("order_id").distinct(), "order_id", "left_anti")
     return joined.unionByName(bare, allowMissingColumns=True)
 
 
-def user_chunks(orders: DataFrame, lines: DataFrame, share: float, **skew) -> DataFrame:
+def user_chunks(
+    orders: DataFrame, lines: DataFrame, share: float, limits: SkewLimits = LIMITS
+) -> DataFrame:
     """Denormalised rows with the number of their user chunk (consecutive slices of sorted users).
 
     A chunk joins orders with lines; a chunk whose orders have no lines at all
     keeps its orders.
     """
     chunks = key_chunks(orders.filter(F.col("user_id").isNotNull()), "user_id", share)
-    numbered = salted_join(orders, chunks, ["user_id"], "inner", ["order_id"], **skew)
+    numbered = salted_join(orders, chunks, ["user_id"], "inner", ["order_id"], limits=limits)
     spread = [c for c in lines.columns if c != "order_id"]
-    joined = salted_join(lines, numbered, ["order_id"], "inner", spread, **skew)
+    joined = salted_join(lines, numbered, ["order_id"], "inner", spread, limits=limits)
     # At most 1 / share + 1 chunk numbers, so this side is safe to broadcast; chunks are large.
     with_lines = F.broadcast(joined.select("chunk").distinct())
     bare = numbered.join(with_lines, "chunk", "left_anti")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from orderlens.operators.panel import as_of, fill, make_panel, shift
-from orderlens.operators.skew import heavy_keys, salted_join
+from orderlens.operators.skew import SkewLimits, find_heavy, salted_join
 
 
 def skewed(spark, n=900, one_instant=False, nulls=0.4):
@@ -29,7 +29,8 @@ def skewed(spark, n=900, one_instant=False, nulls=0.4):
 @pytest.mark.parametrize("min_rows", [20, 200, 10_000])
 def test_shift_and_fill_equal_plain_windows(spark, one_instant, min_rows):
     df = skewed(spark, one_instant=one_instant)
-    panel = make_panel(df, ["k"], "ts", "id", share=1e-4, min_rows=min_rows)
+    panel = make_panel(df, ["k"], "ts", "id", limits=SkewLimits(1e-4, min_rows))
+    assert (panel.heavy is None) == (min_rows > 500)
     panel = shift(panel, "v", [1, 2, 4], ["l1", "l2", "l4"])
     panel = shift(panel, "v", [1, 3], ["n1", "n3"], ahead=True)
     panel = fill(panel, "v", "ff")
@@ -55,17 +56,17 @@ def test_shift_and_fill_equal_plain_windows(spark, one_instant, min_rows):
 
 
 def test_heavy_groups_are_really_cut(spark):
-    panel = make_panel(skewed(spark), ["k"], "ts", "id", min_rows=50)
+    panel = make_panel(skewed(spark), ["k"], "ts", "id", limits=SkewLimits(1e-4, 50))
     sizes = panel.rows.groupBy("k", "_block").count().filter("_block is not null")
     assert sizes.count() > 10
     assert sizes.agg(F.max("count")).first()[0] < 100
-    one = make_panel(skewed(spark, one_instant=True), ["k"], "ts", "id", min_rows=50)
+    one = make_panel(skewed(spark, one_instant=True), ["k"], "ts", "id", limits=SkewLimits(1e-4, 50))
     assert one.rows.groupBy("k", "_block").count().agg(F.max("count")).first()[0] <= 50
 
 
 def test_heavy_key_table_is_bounded(spark):
     df = spark.range(100_000).select((F.col("id") % 97).alias("k"))
-    heavy = heavy_keys(df, ["k"], share=0.005, min_rows=1)
+    heavy = find_heavy(df, ["k"], SkewLimits(0.005, 1))
     assert heavy.count() <= 200
     assert heavy.agg(F.sum("_pieces")).first()[0] <= 400
 
@@ -74,7 +75,7 @@ def test_heavy_key_table_is_bounded(spark):
 def test_salted_join_equals_join(spark, how):
     many = skewed(spark)
     one = spark.createDataFrame([(1, "a"), (2, "b"), (9, "z"), (1, "a2")], "k long, name string")
-    got = salted_join(many, one, ["k"], how, ["id"], min_rows=30)
+    got = salted_join(many, one, ["k"], how, ["id"], limits=SkewLimits(1e-4, 30))
     assert rows(got) == rows(many.join(one, ["k"], how))
 
 
@@ -91,7 +92,7 @@ def test_as_of_equals_range_join(spark, min_rows):
     dim = spark.createDataFrame(
         versions, "k long, valid_from timestamp_ntz, valid_to timestamp_ntz, sk string"
     )
-    got = as_of(facts, dim, "k", "ts", "valid_from", "valid_to", {"sk": "sk"}, min_rows=min_rows)
+    got = as_of(facts, dim, "k", "ts", "valid_from", "valid_to", {"sk": "sk"}, limits=SkewLimits(1e-4, min_rows))
     d = dim.withColumnRenamed("k", "dk")
     want = facts.join(
         d,
