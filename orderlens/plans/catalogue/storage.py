@@ -50,10 +50,10 @@ CASE o_orderstatus WHEN 'F' THEN true WHEN 'O' THEN false END AS tip_given, 'c'
 CAST(day(o_orderdate) AS INTEGER) AS day FROM orders""",
 )
 def b1_lake_sink(spark, sf):
-    """Partitioned by event day; month folders, because days would make very small files here."""
+    """Partitioned by the day of the change."""
     root = scratch_path(spark, "lake")
     rows = lake_orders(spark, sf)
-    append_to_lake(rows.repartition(8, F.expr("order_date div 2592000000000")), root, "orders")
+    append_to_lake(rows, root, "orders")
     return spark.read.parquet(f"{root}/orders").select(
         *rows.columns, *[F.col(c).cast("int").alias(c) for c in ("year", "month", "day")]
     )

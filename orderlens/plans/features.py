@@ -6,6 +6,7 @@ denormalised form (order_id, product_name, department, add_to_cart_order).
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -24,6 +25,7 @@ ORGANIC_WORD = "organic"
 CLUSTERS = 4
 CLUSTER_SEED = 42
 CLUSTER_RESTARTS = 10
+POINTS_PER_TASK = 200_000
 
 
 def date_conversion(df: DataFrame, min_date: Column | None = None) -> DataFrame:
@@ -234,10 +236,16 @@ def cluster_users(
                 frame.withColumns(z)
             )
 
-        weighted = vectors(points)
-        models = [
-            KMeans(k=k, seed=seed + i, weightCol="w").fit(weighted) for i in range(restarts)
-        ]
+        # Few distinct pairs need few tasks: every iteration is a job of its own.
+        weighted = vectors(points.coalesce(max(1, points.count() // POINTS_PER_TASK)))
+        # Restarts are independent and small; a few run side by side in one session.
+        with ThreadPoolExecutor(max_workers=4) as pool:
+            models = list(
+                pool.map(
+                    lambda i: KMeans(k=k, seed=seed + i, weightCol="w").fit(weighted),
+                    range(restarts),
+                )
+            )
     finally:
         points.unpersist()
     best = min(models, key=lambda m: m.summary.trainingCost)

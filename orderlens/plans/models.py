@@ -19,9 +19,12 @@ from orderlens.operators.series import lagged_target
 from orderlens.operators.skew import LIMITS, SkewLimits, find_heavy, salted_join
 from orderlens.plans.features import feature_frame, trend_cycle_features
 
-# Inverse regularisation strengths 10^-4 .. 10^4 in ten steps, iterations.
+# Inverse regularisation strengths 10^-4 .. 10^4 in ten steps, iterations, tolerance.
 INVERSE_STRENGTHS = [10 ** (-4 + 8 * i / 9) for i in range(10)]
 MAX_ITERATIONS = 1000
+TOLERANCE = 1e-4
+# Rows per partition of training data: an iteration is one job, so small data wants few tasks.
+TRAINING_ROWS = 200_000
 
 # Column groups of the final model.
 CATEGORICAL = ["order_contains_organic", "is_holiday", "cluster"]
@@ -134,25 +137,35 @@ def grouped_rows(df: DataFrame, inputs: list[str], label: str = "tip") -> DataFr
     return df.groupBy(*inputs, label).agg(F.count(F.lit(1)).cast("double").alias("weight"))
 
 
+def training_partitions(rows: int) -> int:
+    return max(1, -(-rows // TRAINING_ROWS))
+
+
 def fit_logistic(
     train: DataFrame,
     inner_folds: int,
     strengths: list[float] | None = None,
     max_iter: int = MAX_ITERATIONS,
     parallelism: int = 4,
+    size: int | None = None,
 ) -> LogisticRegressionModel:
     """L2 logistic regression; the strength is chosen by inner cross-validation on accuracy.
 
     Expects ``features``, ``tip`` and ``weight``. Spark minimises the mean loss plus
-    lambda, so an inverse strength C over n rows is ``lambda = 1 / (C n)``.
+    lambda, so an inverse strength C over n rows is ``lambda = 1 / (C n)``. ``size``
+    is an upper bound of the rows, if known; it sets the number of partitions.
     """
     rows = train.select("features", F.col("tip").cast("double").alias("label"), "weight").withColumn(
         "inner", F.pmod(F.xxhash64("features", "label"), F.lit(inner_folds)).cast("int")
     )
+    if size is not None:
+        rows = rows.repartition(training_partitions(size))
     rows = rows.persist()
     try:
         total = rows.agg(F.sum("weight")).first()[0]
-        base = LogisticRegression(maxIter=max_iter, weightCol="weight", standardization=False)
+        base = LogisticRegression(
+            maxIter=max_iter, tol=TOLERANCE, weightCol="weight", standardization=False
+        )
         penalties = [1.0 / (c * total) for c in (strengths or INVERSE_STRENGTHS)]
         if len(penalties) == 1:
             return base.copy({base.regParam: penalties[0]}).fit(rows)
@@ -203,7 +216,7 @@ def train_with_folds(
     known = frame.filter(F.col("tip").isNotNull()).select("order_id", "order_date", "tip", *inputs)
     known = known.persist()
     try:
-        _, borders = time_series_folds(known, "order_date", "order_id", folds)
+        n, borders = time_series_folds(known, "order_date", "order_id", folds)
         rows = with_test_fold(known, "order_date", "order_id", borders)
 
         def prepared(part: DataFrame, fitted: DesignMatrix) -> DataFrame:
@@ -218,12 +231,14 @@ def train_with_folds(
         for fold in range(1, folds + 1):
             train = rows.filter(F.col("fold") < fold)
             fitted = matrix.fit(train)
-            model = fit_logistic(prepared(train, fitted), inner_folds, strengths, max_iter)
+            model = fit_logistic(
+                prepared(train, fitted), inner_folds, strengths, max_iter, size=n
+            )
             test = prepared(rows.filter(F.col("fold") == fold), fitted)
             scores[fold] = model.transform(test).agg(accuracy()).first()[0]
         fitted = matrix.fit(known)
         final = fit_logistic(
-            prepared(known, fitted), final_inner_folds or inner_folds, strengths, max_iter
+            prepared(known, fitted), final_inner_folds or inner_folds, strengths, max_iter, size=n
         )
     finally:
         known.unpersist()
@@ -287,7 +302,7 @@ def train_ar_model(
     ).persist()
     try:
         heavy = find_heavy(complete.select("user_id"), ["user_id"], limits)
-        _, borders = time_series_folds(complete, "order_date", "order_id", folds)
+        n, borders = time_series_folds(complete, "order_date", "order_id", folds)
         rows = with_test_fold(complete, "order_date", "order_id", borders)
         scores: dict[int, float] = {}
         for fold in range(1, folds + 1):
@@ -311,7 +326,9 @@ def train_ar_model(
             def vectors(part: DataFrame) -> DataFrame:
                 return assembler.transform(encoder.transform(part)).select("features", "tip", "weight")
 
-            model = fit_logistic(vectors(prepared(train)), inner_folds, strengths, max_iter)
+            model = fit_logistic(
+                vectors(prepared(train)), inner_folds, strengths, max_iter, size=n
+            )
             scored = model.transform(vectors(prepared(test)))
             scores[fold] = scored.agg(accuracy()).first()[0]
         return scores

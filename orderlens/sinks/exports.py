@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from orderlens.functions.scalars import valid_identifier
+from orderlens.sinks.lake import by_partition
 
 
 def export_mart(spark: SparkSession, schema: str, mart: str, path: str) -> None:
@@ -51,13 +52,9 @@ def append_relational(
 
 
 def write_user_chunks(chunked: DataFrame, path: str) -> None:
-    """One folder per user chunk.
-
-    Rows are spread by chunk and order inside the chunk, so a chunk is written by
-    several tasks instead of one.
-    """
+    """One folder per user chunk; a large chunk is split over several tasks and files."""
     (
-        chunked.repartition("user_chunk", "order_id")
+        by_partition(chunked, ["user_chunk"])
         .write.mode("overwrite")
         .partitionBy("user_chunk")
         .parquet(path)
