@@ -207,6 +207,31 @@ def shift(
     return panel.with_rows(rows.drop("_carried", "_ordinal"))
 
 
+def group_sums(panel: Panel, sums: dict[str, Column]) -> Panel:
+    """Sums over the whole key on every row, on the partitioning the panel already has."""
+    if panel.heavy is None:
+        whole = Window.partitionBy(*panel.keys)
+        columns = {n: panel.in_series(F.sum(c).over(whole)) for n, c in sums.items()}
+        return panel.with_rows(panel.rows.withColumns(columns))
+    per_block = panel.heavy_part().groupBy(*panel.groups()).agg(
+        *[F.sum(c).alias(f"_heavy_{n}") for n, c in sums.items()]
+    )
+    every = Window.partitionBy(*panel.keys)
+    edges = per_block.select(
+        *panel.groups(), *[F.sum(f"_heavy_{n}").over(every).alias(f"_heavy_{n}") for n in sums]
+    )
+    own = Window.partitionBy(*panel.groups())
+    rows = panel.with_edges(edges).withColumns(
+        {
+            n: panel.in_series(
+                F.when(F.col(BLOCK).isNull(), F.sum(c).over(own)).otherwise(F.col(f"_heavy_{n}"))
+            )
+            for n, c in sums.items()
+        }
+    )
+    return panel.with_rows(rows.drop(*[f"_heavy_{n}" for n in sums]))
+
+
 def as_of(
     facts: DataFrame,
     versions: DataFrame,

@@ -46,15 +46,17 @@ CASE o_orderstatus WHEN 'F' THEN true WHEN 'O' THEN false END AS tip_given, 'c'
 
 @query(
     "b1_lake_sink",
-    f"""{_LAKE_ORDERS}, CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month,
-CAST(day(o_orderdate) AS INTEGER) AS day FROM orders""",
+    f"""WITH {CHANGES} SELECT user_id, event_id, event_type, value, op AS _op, ts_ms AS _ts_ms,
+CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month, CAST(day(ts) AS INTEGER) AS day FROM ch""",
 )
 def b1_lake_sink(spark, sf):
     """Partitioned by the day of the change."""
     root = scratch_path(spark, "lake")
-    rows = lake_orders(spark, sf)
-    append_to_lake(rows, root, "orders")
-    return spark.read.parquet(f"{root}/orders").select(
+    rows = src.change_log(spark, sf).select(
+        "user_id", "event_id", "event_type", "value", F.col("op").alias("_op"), F.col("ts_ms").alias("_ts_ms")
+    )
+    append_to_lake(rows, root, "users")
+    return spark.read.parquet(f"{root}/users").select(
         *rows.columns, *[F.col(c).cast("int").alias(c) for c in ("year", "month", "day")]
     )
 

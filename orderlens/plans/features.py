@@ -18,7 +18,14 @@ from pyspark.sql import functions as F
 from orderlens.functions.dates import whole_days_between
 from orderlens.functions.holidays import dim_holiday, is_holiday
 from orderlens.functions.scalars import contains_word, cyclic
-from orderlens.operators.panel import fill, find_heavy_spans, lag_columns, make_panel, shift
+from orderlens.operators.panel import (
+    fill,
+    find_heavy_spans,
+    group_sums,
+    lag_columns,
+    make_panel,
+    shift,
+)
 from orderlens.operators.skew import DETECT, LIMITS, SkewLimits, salted_join
 
 ORGANIC_WORD = "organic"
@@ -161,30 +168,75 @@ def department_feature(basket: DataFrame, rates: DataFrame) -> DataFrame:
 class TipRates:
     """Target rates learned on one frame and applied to any other (no leakage across folds).
 
-    The hour table has at most 24 rows and the weekday table 7, so these two are
-    broadcast; departments are left to Spark's own size check.
+    All rates come from one aggregate over ``(kind, key)`` cells: one overall cell,
+    24 hours, 7 weekdays and one cell per department. That table reaches the rows
+    as one map through a scalar subquery, so applying it needs no join.
     """
 
-    overall: DataFrame
-    by_hour: DataFrame
-    by_weekday: DataFrame
-    by_department: DataFrame
+    cells: DataFrame
 
     @staticmethod
-    def fit(train: DataFrame, basket: DataFrame) -> "TipRates":
-        return TipRates(
-            overall_rate(train),
-            rate_by(train, "hour", "tip_proba_per_hour"),
-            rate_by(train, "weekday", "tip_proba_per_weekday"),
-            department_rates(train, basket),
-        )
+    def fit(train: DataFrame) -> "TipRates":
+        """``train`` needs tip, order_date and ``departments``, the line counts per department."""
+
+        def cell(kind: str, key: Column, lines: Column) -> Column:
+            return F.struct(
+                F.concat_ws(":", F.lit(kind), key.cast("string")).alias("cell"),
+                lines.cast("long").alias("n"),
+            )
 
-    def transform(self, df: DataFrame, basket: DataFrame) -> DataFrame:
+        one = F.lit(1)
+        cells = F.concat(
+            F.array(
+                cell("all", F.lit(""), one),
+                cell("hour", F.hour("order_date"), one),
+                cell("weekday", F.weekday("order_date"), one),
+            ),
+            F.transform(
+                "departments", lambda d: cell("department", d.getField("department"), d.getField("n"))
+            ),
+        )
+        sums = (
+            train.filter(F.col("tip").isNotNull())
+            .select("tip", F.explode(cells).alias("c"))
+            .groupBy("c.cell")
+            .agg((F.sum(F.col("c.n") * F.col("tip")) / F.sum("c.n") * 100).alias("rate"))
+        )
+        return TipRates(sums)
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        entries = F.collect_list(F.struct("cell", "rate"))
+        table = self.cells.agg(F.map_from_entries(entries).alias("m")).scalar()
+        r = F.col("_rates")
+
+        def rate(kind: str, key: Column) -> Column:
+            return F.try_element_at(r, F.concat_ws(":", F.lit(kind), key.cast("string")))
+
+        known = F.filter(
+            F.transform(
+                "departments",
+                lambda d: F.struct(
+                    d.getField("n").alias("n"), rate("department", d.getField("department")).alias("r")
+                ),
+            ),
+            lambda d: d.getField("r").isNotNull(),
+        )
+        total = F.aggregate("_known", F.lit(0).cast("long"), lambda acc, d: acc + d.getField("n"))
+        weighted = F.aggregate(
+            "_known", F.lit(0.0), lambda acc, d: acc + d.getField("n") * d.getField("r")
+        )
         return (
-            df.withColumn("overall_tip_proba", self.overall.scalar())
-            .join(F.broadcast(self.by_hour), "hour", "left")
-            .join(F.broadcast(self.by_weekday), "weekday", "left")
-            .join(department_feature(basket, self.by_department), "order_id", "left")
+            df.withColumn("_rates", table)
+            .withColumns(
+                {
+                    "overall_tip_proba": rate("all", F.lit("")),
+                    "tip_proba_per_hour": rate("hour", F.col("hour")),
+                    "tip_proba_per_weekday": rate("weekday", F.col("weekday")),
+                    "_known": known,
+                }
+            )
+            .withColumn("tip_proba_per_department", F.when(total > 0, weighted / total))
+            .drop("_rates", "_known")
         )
 
 
@@ -256,15 +308,33 @@ def cluster_users(
     )
 
 
-def with_clusters(df: DataFrame, clusters: DataFrame, limits: SkewLimits = LIMITS) -> DataFrame:
+def with_clusters(
+    df: DataFrame, clusters: DataFrame, heavy: DataFrame | None | str = DETECT
+) -> DataFrame:
     """Cluster as text; users without a cluster get -1."""
-    joined = salted_join(df, clusters, ["user_id"], "left", ["order_id"], limits=limits)
+    joined = salted_join(df, clusters, ["user_id"], "left", ["order_id"], heavy)
     return joined.withColumn("cluster", F.coalesce("cluster", F.lit(-1)).cast("string"))
 
 
 # ---- the whole chain ---------------------------------------------------------
 
 
+def basket_frame(lines: DataFrame, organic_word: str = ORGANIC_WORD) -> DataFrame:
+    """One row per order with lines: cart size, organic flag, line counts per department.
+
+    The list holds one entry per department, a small dimension, never the lines.
+    """
+    return (
+        baskets(lines, organic_word)
+        .groupBy("order_id")
+        .agg(
+            F.max("cart_size").alias("cart_size"),
+            F.coalesce(F.bool_or("organic"), F.lit(False)).alias("order_contains_organic"),
+            F.collect_list(F.struct("department", "n")).alias("departments"),
+        )
+    )
+
+
 def feature_frame(
     orders: DataFrame,
     lines: DataFrame,
@@ -278,45 +348,30 @@ def feature_frame(
 ) -> DataFrame:
     """All features on one row per order that has lines.
 
-    Whole-frame rates by default; pass ``rates`` fitted on a training part to keep
-    the test part out of them. ``clusters`` is optional because fitting runs jobs.
+    Orders come one row per order. Lines are summed per order first, then orders
+    and sums are joined once; lags, order count and mean cart size share one
+    shuffle by user. Whole-frame rates by default; pass ``rates`` fitted on a
+    training part to keep the test part out of them. ``clusters`` is optional
+    because fitting runs jobs.
     """
-    # Users are counted once; the lags and the join of user sums are spread by the same table.
+    # Users are counted once; every step by user is spread by the same table.
     heavy = find_heavy_spans(orders, ["user_id"], "order_date", "order_id", limits)
-    basket = baskets(lines, organic_word)
-    per_order = basket.groupBy("order_id").agg(
-        F.max("cart_size").alias("cart_size"), F.bool_or("organic").alias("_organic")
-    )
-    # Order level: dates and lags need every order, also those without lines.
-    df = date_conversion(orders, min_date)
+    basket = basket_frame(lines, organic_word)
+    # Dates and lags need every order, also those without lines.
+    df = date_conversion(orders.join(basket, "order_id", "left"), min_date)
     df = lag_features(df, lags, backfill, heavy)
-    df = (
-        df.join(per_order, "order_id", "left")
-        .withColumn("order_contains_organic", F.coalesce("_organic", F.lit(False)))
-        .drop("_organic")
-    )
-    # User level: one aggregate gives both the order count (all orders) and the mean cart (orders with lines).
-    sized = orders.select("order_id", "user_id").join(
-        per_order.select("order_id", "cart_size"), "order_id", "left"
-    )
-    per_user = sized.groupBy("user_id").agg(
-        F.countDistinct("order_id").alias("no_orders"), F.avg("cart_size").alias("avg_no_prod")
+    panel = make_panel(df, ["user_id"], "order_date", "order_id", heavy)
+    sized = F.col("cart_size").isNotNull().cast("long")
+    panel = group_sums(
+        panel, {"no_orders": F.lit(1), "_lines": F.col("cart_size").cast("long"), "_sized": sized}
     )
+    df = panel.result().withColumn("avg_no_prod", F.col("_lines") / F.col("_sized"))
+    df = df.filter(F.col("cart_size").isNotNull()).drop("_lines", "_sized")
     if clusters is not None:
-        per_user = per_user.join(clusters, "user_id", "left")
-    df = salted_join(
-        df.filter(F.col("cart_size").isNotNull()), per_user, ["user_id"], "left", ["order_id"], heavy
-    )
-    if clusters is not None:
-        df = df.withColumn("cluster", F.coalesce("cluster", F.lit(-1)).cast("string"))
-    df = temporal_features(df)
+        df = with_clusters(df, clusters, heavy)
     if rates is None:
-        labelled = orders.join(per_order.select("order_id"), "order_id", "left_semi")
-        labelled = labelled.select(
-            "order_id", "tip", F.weekday("order_date").alias("weekday"), F.hour("order_date").alias("hour")
-        )
-        rates = TipRates.fit(labelled, basket)
-    return rates.transform(df, basket)
+        rates = TipRates.fit(orders.join(basket.select("order_id", "departments"), "order_id"))
+    return rates.transform(temporal_features(df)).drop("departments")
 
 
 def trend_cycle_features(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
@@ -207,6 +208,7 @@ def train_with_folds(
     strengths: list[float] | None = None,
     group_rows: bool = False,
     max_iter: int = MAX_ITERATIONS,
+    fold_workers: int = 4,
 ) -> TrainedModel:
     """Chronological validation, then a fit on all labelled rows.
 
@@ -227,19 +229,25 @@ def train_with_folds(
             )
             return fitted.transform(data).select("features", "tip", "weight")
 
-        scores: dict[int, float] = {}
-        for fold in range(1, folds + 1):
+        def validate(fold: int) -> tuple[int, float]:
             train = rows.filter(F.col("fold") < fold)
             fitted = matrix.fit(train)
             model = fit_logistic(
                 prepared(train, fitted), inner_folds, strengths, max_iter, size=n
             )
             test = prepared(rows.filter(F.col("fold") == fold), fitted)
-            scores[fold] = model.transform(test).agg(accuracy()).first()[0]
-        fitted = matrix.fit(known)
-        final = fit_logistic(
-            prepared(known, fitted), final_inner_folds or inner_folds, strengths, max_iter, size=n
-        )
+            return fold, model.transform(test).agg(accuracy()).first()[0]
+
+        def refit() -> tuple[LogisticRegressionModel, DesignMatrix]:
+            fitted = matrix.fit(known)
+            inner = final_inner_folds or inner_folds
+            return fit_logistic(prepared(known, fitted), inner, strengths, max_iter, size=n), fitted
+
+        # Folds are independent; their many short jobs share the executors.
+        with ThreadPoolExecutor(max_workers=fold_workers) as pool:
+            last = pool.submit(refit)
+            scores = dict(pool.map(validate, range(1, folds + 1)))
+            final, fitted = last.result()
     finally:
         known.unpersist()
     return TrainedModel(final, fitted, scores)
