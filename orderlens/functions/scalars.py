@@ -25,7 +25,8 @@ def known_true(flag: str) -> Column:
 def latest_of(*times: str) -> Column:
     """Latest of several times where a missing one counts as the epoch."""
     epoch = F.timestamp_micros(F.lit(0).cast("long"))
-    return F.greatest(*[F.coalesce(F.col(t), epoch) for t in times])
+    known = [F.coalesce(F.col(t), epoch) for t in times]
+    return known[0] if len(known) == 1 else F.greatest(*known)
 
 
 def text_to_bool(c: str) -> Column:
