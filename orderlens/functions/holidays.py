@@ -65,26 +65,27 @@ def dim_holiday(spark: SparkSession, first_year: int, last_year: int) -> DataFra
     )
 
 
-def is_holiday(d: Column) -> Column:
-    """The same calendar as a predicate on one date: a map-only test, no join, no year range needed."""
-    year = F.year(d)
+def is_holiday(date_sql: str) -> Column:
+    """The same calendar as a predicate on one date: a map-only test, no join, no year range needed.
 
-    def fixed(month: int, day: int, since: int) -> Column:
-        hit = (F.month(d) == month) & (F.dayofmonth(d) == day) & (year >= since)
-        for shift, weekday in ((-1, 5), (1, 6)):
-            # The actual holiday is one day after a Friday, or one day before a Monday.
-            actual = F.date_add(d, -shift)
-            hit = hit | (
-                (F.month(actual) == month)
-                & (F.dayofmonth(actual) == day)
-                & (F.weekday(actual) == weekday)
-                & (F.year(actual) >= since)
-            )
-        return hit
+    A fixed date also counts on the Friday before it (Saturday holidays) and on the
+    Monday after it (Sunday holidays). An n-th weekday is found by its week of the month.
+    """
+    d = f"({date_sql})"
+
+    def on(day: str, month: int, dom: int, since: int) -> str:
+        return f"(month({day}) = {month} and day({day}) = {dom} and year({day}) >= {since})"
 
-    hit = F.lit(False)
-    for _, month, day, since in FIXED_DATES:
-        hit = hit | fixed(month, day, since)
+    tests = []
+    for _, month, dom, since in FIXED_DATES:
+        tests += [
+            on(d, month, dom, since),
+            f"(weekday({d}) = 4 and {on(f'date_add({d}, 1)', month, dom, since)})",
+            f"(weekday({d}) = 0 and {on(f'date_sub({d}, 1)', month, dom, since)})",
+        ]
     for _, month, weekday, n, since in NTH_WEEKDAYS:
-        hit = hit | ((d == _nth_weekday(year, month, weekday, n)) & (year >= since))
-    return hit
+        place = f"(day({d}) + 6) div 7 = {n}" if n > 0 else f"day(last_day({d})) - day({d}) < 7"
+        tests.append(
+            f"(month({d}) = {month} and weekday({d}) = {weekday} and {place} and year({d}) >= {since})"
+        )
+    return F.expr(" or ".join(tests))

@@ -334,8 +334,7 @@ SELECT department, round(avg(tip) * 100, 9) AS tip_proba_per_department
 FROM d JOIN o USING (order_id) WHERE tip IS NOT NULL GROUP BY 1""",
 )
 def e8_department(spark, sf):
-    basket = ft.baskets(src.order_lines(spark, sf), src.ORGANIC_STAND_IN)
-    return ft.department_rates(src.orders(spark, sf), basket).withColumn(
+    return ft.department_rates(src.orders(spark, sf), src.order_lines(spark, sf)).withColumn(
         "tip_proba_per_department", F.round("tip_proba_per_department", 9)
     )
 

@@ -33,6 +33,7 @@ CLUSTERS = 4
 CLUSTER_SEED = 42
 CLUSTER_RESTARTS = 10
 POINTS_PER_TASK = 200_000
+LOCAL_DEPARTMENTS = 10_000
 
 
 def date_conversion(df: DataFrame, min_date: Column | None = None) -> DataFrame:
@@ -67,7 +68,7 @@ def temporal_features(df: DataFrame) -> DataFrame:
         {
             "weekday": F.weekday("order_date"),
             "hour": F.hour("order_date"),
-            "is_holiday": is_holiday(F.to_date("order_date")),
+            "is_holiday": is_holiday("to_date(order_date)"),
         }
     )
 
@@ -87,15 +88,6 @@ def holiday_lookup(df: DataFrame, first_year: int, last_year: int) -> DataFrame:
 # ---- order lines ---------------------------------------------------------
 
 
-def baskets(lines: DataFrame, organic_word: str = ORGANIC_WORD) -> DataFrame:
-    """Lines summed up per order and department: all line features read this one aggregate."""
-    return lines.groupBy("order_id", "department").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.max("add_to_cart_order").alias("cart_size"),
-        F.bool_or(contains_word("product_name", organic_word)).alias("organic"),
-    )
-
-
 def cart_size(lines: DataFrame) -> DataFrame:
     return lines.groupBy("order_id").agg(F.max("add_to_cart_order").alias("cart_size"))
 
@@ -138,29 +130,24 @@ def overall_rate(df: DataFrame) -> DataFrame:
     return df.agg((F.avg("tip") * 100).alias("overall_tip_proba"))
 
 
-def department_rates(orders: DataFrame, basket: DataFrame) -> DataFrame:
-    """Tip rate in percent per department at line grain."""
+def department_sums(orders: DataFrame, lines: DataFrame, limits: SkewLimits = LIMITS) -> DataFrame:
+    """Lines and tipped lines per department over labelled orders."""
     known = orders.filter(F.col("tip").isNotNull()).select("order_id", "tip")
-    return (
-        basket.select("order_id", "department", "n")
-        .join(known, "order_id")
-        .groupBy("department")
-        .agg((F.sum(F.col("n") * F.col("tip")) / F.sum("n") * 100).alias("tip_proba_per_department"))
+    joined = salted_join(
+        lines.select("order_id", "department", "add_to_cart_order"),
+        known,
+        ["order_id"],
+        "inner",
+        ["add_to_cart_order", "department"],
+        limits=limits,
     )
+    return joined.groupBy("department").agg(F.count(F.lit(1)).alias("n"), F.sum("tip").alias("t"))
 
 
-def department_feature(basket: DataFrame, rates: DataFrame) -> DataFrame:
-    """Mean department rate over the lines of an order (lines of unknown departments left out)."""
-    known = F.when(F.col("tip_proba_per_department").isNotNull(), F.col("n"))
-    return (
-        basket.select("order_id", "department", "n")
-        .join(rates, "department", "left")
-        .groupBy("order_id")
-        .agg(
-            (F.sum(F.col("n") * F.col("tip_proba_per_department")) / F.sum(known)).alias(
-                "tip_proba_per_department"
-            )
-        )
+def department_rates(orders: DataFrame, lines: DataFrame, limits: SkewLimits = LIMITS) -> DataFrame:
+    """Tip rate in percent per department at line grain."""
+    return department_sums(orders, lines, limits).select(
+        "department", (F.col("t") / F.col("n") * 100).alias("tip_proba_per_department")
     )
 
 
@@ -168,75 +155,53 @@ def department_feature(basket: DataFrame, rates: DataFrame) -> DataFrame:
 class TipRates:
     """Target rates learned on one frame and applied to any other (no leakage across folds).
 
-    All rates come from one aggregate over ``(kind, key)`` cells: one overall cell,
-    24 hours, 7 weekdays and one cell per department. That table reaches the rows
-    as one map through a scalar subquery, so applying it needs no join.
+    Hours and weekdays are a handful of numbers and are applied as literals.
+    Department rates stay a table: a local one up to ``LOCAL_DEPARTMENTS`` rows,
+    which is safe to broadcast, else whatever join Spark picks.
     """
 
-    cells: DataFrame
+    overall: float | None
+    by_hour: dict[int, float]
+    by_weekday: dict[int, float]
+    by_department: DataFrame
 
     @staticmethod
-    def fit(train: DataFrame) -> "TipRates":
-        """``train`` needs tip, order_date and ``departments``, the line counts per department."""
-
-        def cell(kind: str, key: Column, lines: Column) -> Column:
-            return F.struct(
-                F.concat_ws(":", F.lit(kind), key.cast("string")).alias("cell"),
-                lines.cast("long").alias("n"),
-            )
-
-        one = F.lit(1)
-        cells = F.concat(
-            F.array(
-                cell("all", F.lit(""), one),
-                cell("hour", F.hour("order_date"), one),
-                cell("weekday", F.weekday("order_date"), one),
-            ),
-            F.transform(
-                "departments", lambda d: cell("department", d.getField("department"), d.getField("n"))
-            ),
-        )
-        sums = (
-            train.filter(F.col("tip").isNotNull())
-            .select("tip", F.explode(cells).alias("c"))
-            .groupBy("c.cell")
-            .agg((F.sum(F.col("c.n") * F.col("tip")) / F.sum("c.n") * 100).alias("rate"))
-        )
-        return TipRates(sums)
+    def fit(train: DataFrame, lines: DataFrame, limits: SkewLimits = LIMITS) -> "TipRates":
+        """Rates over the labelled orders of ``train`` that have lines."""
+        with_lines = lines.select("order_id").distinct()
+        known = train.filter(F.col("tip").isNotNull()).join(with_lines, "order_id", "left_semi")
+        grid = (
+            known.groupBy(F.hour("order_date").alias("hour"), F.weekday("order_date").alias("weekday"))
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("tip").alias("t"))
+            .collect()
+        )  # at most 24 * 7 rows
+
+        def percent(cells: list) -> float | None:
+            n = sum(c["n"] for c in cells)
+            return sum(c["t"] for c in cells) / n * 100 if n else None
+
+        def split(field: str) -> dict[int, float]:
+            values = {c[field] for c in grid}
+            return {v: percent([c for c in grid if c[field] == v]) for v in values}
+
+        rates = department_rates(train, lines, limits)
+        few = rates.limit(LOCAL_DEPARTMENTS + 1).collect()
+        if len(few) <= LOCAL_DEPARTMENTS:
+            rates = F.broadcast(train.sparkSession.createDataFrame(few, rates.schema))
+        return TipRates(percent(grid), split("hour"), split("weekday"), rates)
 
     def transform(self, df: DataFrame) -> DataFrame:
-        entries = F.collect_list(F.struct("cell", "rate"))
-        table = self.cells.agg(F.map_from_entries(entries).alias("m")).scalar()
-        r = F.col("_rates")
-
-        def rate(kind: str, key: Column) -> Column:
-            return F.try_element_at(r, F.concat_ws(":", F.lit(kind), key.cast("string")))
-
-        known = F.filter(
-            F.transform(
-                "departments",
-                lambda d: F.struct(
-                    d.getField("n").alias("n"), rate("department", d.getField("department")).alias("r")
-                ),
-            ),
-            lambda d: d.getField("r").isNotNull(),
-        )
-        total = F.aggregate("_known", F.lit(0).cast("long"), lambda acc, d: acc + d.getField("n"))
-        weighted = F.aggregate(
-            "_known", F.lit(0.0), lambda acc, d: acc + d.getField("n") * d.getField("r")
-        )
-        return (
-            df.withColumn("_rates", table)
-            .withColumns(
-                {
-                    "overall_tip_proba": rate("all", F.lit("")),
-                    "tip_proba_per_hour": rate("hour", F.col("hour")),
-                    "tip_proba_per_weekday": rate("weekday", F.col("weekday")),
-                    "_known": known,
-                }
-            )
-            .withColumn("tip_proba_per_department", F.when(total > 0, weighted / total))
-            .drop("_rates", "_known")
+        def lookup(table: dict[int, float], key: str) -> Column:
+            if not table:
+                return F.lit(None).cast("double")
+            return F.create_map(*[F.lit(x) for pair in sorted(table.items()) for x in pair])[F.col(key)]
+
+        return df.withColumns(
+            {
+                "overall_tip_proba": F.lit(self.overall).cast("double"),
+                "tip_proba_per_hour": lookup(self.by_hour, "hour"),
+                "tip_proba_per_weekday": lookup(self.by_weekday, "weekday"),
+            }
         )
 
 
@@ -319,19 +284,15 @@ def with_clusters(
 # ---- the whole chain ---------------------------------------------------------
 
 
-def basket_frame(lines: DataFrame, organic_word: str = ORGANIC_WORD) -> DataFrame:
-    """One row per order with lines: cart size, organic flag, line counts per department.
-
-    The list holds one entry per department, a small dimension, never the lines.
-    """
-    return (
-        baskets(lines, organic_word)
-        .groupBy("order_id")
-        .agg(
-            F.max("cart_size").alias("cart_size"),
-            F.coalesce(F.bool_or("organic"), F.lit(False)).alias("order_contains_organic"),
-            F.collect_list(F.struct("department", "n")).alias("departments"),
-        )
+def basket_frame(lines: DataFrame, rates: TipRates, organic_word: str = ORGANIC_WORD) -> DataFrame:
+    """One row per order with lines, in one aggregate: cart size, organic flag, mean department rate."""
+    rated = lines.join(rates.by_department, "department", "left")
+    return rated.groupBy("order_id").agg(
+        F.max("add_to_cart_order").alias("cart_size"),
+        F.coalesce(F.bool_or(contains_word("product_name", organic_word)), F.lit(False)).alias(
+            "order_contains_organic"
+        ),
+        F.avg("tip_proba_per_department").alias("tip_proba_per_department"),
     )
 
 
@@ -356,7 +317,9 @@ def feature_frame(
     """
     # Users are counted once; every step by user is spread by the same table.
     heavy = find_heavy_spans(orders, ["user_id"], "order_date", "order_id", limits)
-    basket = basket_frame(lines, organic_word)
+    if rates is None:
+        rates = TipRates.fit(orders, lines, limits)
+    basket = basket_frame(lines, rates, organic_word)
     # Dates and lags need every order, also those without lines.
     df = date_conversion(orders.join(basket, "order_id", "left"), min_date)
     df = lag_features(df, lags, backfill, heavy)
@@ -369,9 +332,7 @@ def feature_frame(
     df = df.filter(F.col("cart_size").isNotNull()).drop("_lines", "_sized")
     if clusters is not None:
         df = with_clusters(df, clusters, heavy)
-    if rates is None:
-        rates = TipRates.fit(orders.join(basket.select("order_id", "departments"), "order_id"))
-    return rates.transform(temporal_features(df)).drop("departments")
+    return rates.transform(temporal_features(df))
 
 
 def trend_cycle_features(
