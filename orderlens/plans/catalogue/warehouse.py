@@ -198,9 +198,7 @@ def j2_out_of_order_changes(spark, sf):
 
 @query(
     "c3_typed_staging",
-    f"""WITH {CHANGES}, r AS (
-  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) rn FROM ch)
-SELECT o_orderkey AS order_id, o_custkey AS user_id, o_orderdate AS order_timestamp,
+    """SELECT o_orderkey AS order_id, o_custkey AS user_id, o_orderdate AS order_timestamp,
        CASE o_orderstatus WHEN 'F' THEN true WHEN 'O' THEN false END AS tip_given,
        'c' AS op_type, o_orderdate AS source_ts FROM orders""",
 )

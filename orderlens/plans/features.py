@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
@@ -352,8 +351,3 @@ def trend_cycle_features(
         .withColumns({"weekday_sin": sin, "weekday_cos": cos})
         .drop("user_id")
     )
-
-
-def apply_steps(df: DataFrame, *steps) -> DataFrame:
-    """Chain of DataFrame -> DataFrame steps."""
-    return reduce(lambda d, step: d.transform(step), steps, df)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from orderlens.functions.scalars import cyclic
 from orderlens.operators.panel import lag_columns
-from orderlens.operators.ranking import FoldBorder, global_rank, time_series_folds, with_test_fold
+from orderlens.operators.ranking import global_rank, time_series_folds, with_test_fold
 from orderlens.operators.series import lagged_target
 from orderlens.operators.skew import LIMITS, SkewLimits, find_heavy, salted_join
 from orderlens.plans.features import feature_frame, trend_cycle_features
@@ -399,9 +399,3 @@ def score_final(
     # Orders without lines never reach the feature frame; keep them as open rows.
     open_orders = orders.filter(F.col("tip").isNull()).select("order_id")
     return open_orders.join(scored, "order_id", "left")
-
-
-def border_table(borders: list[FoldBorder], n: int) -> list[tuple]:
-    """Train and test sizes of each fold."""
-    positions = [b.position for b in borders] + [n]
-    return [(b.fold, b.position, positions[i + 1] - b.position, b.ts, b.tie) for i, b in enumerate(borders)]

@@ -1,5 +1,6 @@
 import os
 import tempfile
+from unittest import mock
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from orderlens.plans.dims import product_snapshot_input
 from orderlens.plans.staging import stg_order_products, stg_orders, stg_products
 from orderlens.schemas import BUSINESS_KEYS, ENTITIES, entity_schema, lake_schema, staging_schema
 from orderlens.session import scratch_path, shared_dir
+from orderlens.sinks.exports import append_relational
 from orderlens.sources import files
 from orderlens.sources.changes import bootstrap
 
@@ -105,6 +107,22 @@ def test_scratch_paths_are_fresh_and_shared(spark):
     assert a != b and a.startswith(shared_dir(spark))
 
 
+def test_relational_append_options():
+    """The writer's options; no database is reached in tests."""
+    df = mock.MagicMock()
+    writer = df.coalesce.return_value.write.format.return_value.mode.return_value
+    writer.option.return_value = writer.options.return_value = writer
+    append_relational(df, "jdbc:x", "public.order_products", {"user": "u"}, "order_id BIGINT")
+    options = dict(c.args for c in writer.option.call_args_list)
+    assert options == {
+        "url": "jdbc:x",
+        "dbtable": "public.order_products",
+        "batchsize": 50_000,
+        "createTableColumnTypes": "order_id BIGINT",
+    }
+    writer.save.assert_called_once()
+
+
 def test_jsonl_change_files(spark, work):
     os.makedirs(f"{work}/lake/users")
     with open(f"{work}/lake/users/a.jsonl", "w") as f:
