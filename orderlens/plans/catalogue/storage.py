@@ -119,6 +119,25 @@ def a3_file_discovery(spark, sf):
     )
 
 
+@query("b4_archive", f"{_LAKE_ORDERS} FROM orders")
+def b4_archive(spark, sf):
+    """Files read by a committed batch move to the archive; every row is staged exactly once."""
+    root = scratch_path(spark, "archive")
+    rows = lake_orders(spark, sf)
+
+    def load():
+        stream = files.stream_lake_table(spark, f"{root}/lake", "orders", f"{root}/archive")
+        stream.writeStream.format("parquet").option("path", f"{root}/out").option(
+            "checkpointLocation", f"{root}/state"
+        ).trigger(availableNow=True).start().awaitTermination()
+
+    labelled = F.col("tip_given").isNotNull()
+    for part in (rows.filter(labelled), rows.filter(~labelled)):
+        part.write.mode("append").parquet(f"{root}/lake/orders")
+        load()
+    return spark.read.parquet(f"{root}/out")
+
+
 @query(
     "a6_inferred_staging",
     """SELECT p_partkey AS product_id, p_name AS product_name, p_brand AS aisle, p_type AS department,

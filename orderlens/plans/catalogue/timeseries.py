@@ -75,6 +75,21 @@ def f2_event_gaps(spark, sf):
     return panel.result().select("event_id", "user_id", "previous_ts", "next_type")
 
 
+@query(
+    "d15_label_write_back",
+    f"""WITH {O}, {FILLED} SELECT order_id, tip_for_shifting = 1 AS tip FROM fl WHERE tip IS NULL""",
+)
+def d15_label_write_back(spark, sf):
+    """Labels go back to open orders by order id, never by row position."""
+    orders = src.orders(spark, sf)
+    panel = make_panel(orders, ["user_id"], "order_date", "order_id")
+    labels = fill(panel, "tip", "label", backward=True).result().select(
+        "order_id", F.col("label").cast("boolean").alias("tip")
+    )
+    open_orders = orders.filter(F.col("tip").isNull()).select("order_id")
+    return open_orders.join(labels, "order_id", "left")
+
+
 _RAW_LAGS = f"""lg AS (SELECT order_id, tip, {', '.join(f'lag(tip, {k}) {_W} AS t{k}' for k in range(1, LAGS + 1))}
   FROM o WHERE tip IS NOT NULL),
 cr AS (SELECT * FROM lg WHERE {' AND '.join(f't{k} IS NOT NULL' for k in range(1, LAGS + 1))})"""
