@@ -23,6 +23,9 @@ from orderlens.operators.skew import DETECT, LIMITS, SkewLimits, find_heavy, hea
 BLOCK = "_block"
 # Blocks per piece: time is not evenly filled, so cut finer than the row limit asks for.
 OVERSPLIT = 4
+INSTANTS = "array<struct<_t:bigint,_n0:double,_n1:double,_pieces:bigint>>"
+# Sorts before every instant, and after every part of one.
+BEFORE, AFTER = -(2**62), 2**62
 
 
 @dataclass(frozen=True)
@@ -69,15 +72,32 @@ class Panel:
 def find_heavy_spans(
     df: DataFrame, keys: list[str], ts: str, tie: str, limits: SkewLimits = LIMITS
 ) -> DataFrame | None:
-    """Heavy keys with the first and last instant and tie-break of each."""
-    t, n = micros(ts), F.col(tie).cast("double")
-    stats = [
-        F.min(t).alias("_t0"),
-        F.max(t).alias("_t1"),
-        F.min(n).alias("_n0"),
-        F.max(n).alias("_n1"),
-    ]
-    return find_heavy(df.select(*dict.fromkeys([*keys, ts, tie])), keys, limits, stats)
+    """Heavy keys with their first and last instant, and the instants that are heavy themselves.
+
+    A heavy instant holds more rows of its key than the limit allows; as with keys,
+    there are at most ``1 / share`` of them. The search runs only when a key is heavy.
+    """
+    rows = df.select(*keys, micros(ts).alias("_t"), F.col(tie).cast("double").alias("_n"))
+    heavy = find_heavy(
+        rows, keys, limits, [F.min("_t").alias("_t0"), F.max("_t").alias("_t1")]
+    )
+    if heavy is None:
+        return None
+    instants = find_heavy(
+        heavy_rows(rows, keys, heavy.select(*keys)).filter(F.col("_t").isNotNull()),
+        [*keys, "_t"],
+        limits,
+        [F.min("_n").alias("_n0"), F.max("_n").alias("_n1")],
+    )
+    if instants is None:
+        return heavy.withColumn("_instants", F.array().cast(INSTANTS))
+    per_key = instants.groupBy(*keys).agg(
+        F.sort_array(F.collect_list(F.struct("_t", "_n0", "_n1", "_pieces"))).alias("_instants")
+    )
+    side = per_key.withColumnsRenamed({k: f"_instant_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [heavy[k].eqNullSafe(side[f"_instant_{k}"]) for k in keys])
+    joined = heavy.join(side, same, "left").drop(*[f"_instant_{k}" for k in keys])
+    return joined.withColumn("_instants", F.coalesce("_instants", F.array().cast(INSTANTS)))
 
 
 def with_span(heavy: DataFrame | None, times: DataFrame, ts: str) -> DataFrame | None:
@@ -89,8 +109,7 @@ def with_span(heavy: DataFrame | None, times: DataFrame, ts: str) -> DataFrame |
         {
             "_t0": F.lit(span["a"]),
             "_t1": F.lit(span["z"]),
-            "_n0": F.lit(0.0),
-            "_n1": F.lit(1.0),
+            "_instants": F.array().cast(INSTANTS),
         }
     )
 
@@ -105,21 +124,32 @@ def make_panel(
 ) -> Panel:
     """Cut heavy keys into blocks along ``(ts, tie)``; ``tie`` must be a number.
 
-    The cut point of a row is its place between the first and the last instant of
-    its key. The tie-break adds less than one microsecond, so the place never
-    runs against the order, and a key with all rows at one instant is still cut.
+    The block of a row is its place between the first and the last instant of its
+    key. A heavy instant starts blocks of its own, cut along the tie-break; rows
+    after it in the same stretch of time follow in one more block. Blocks are
+    structs that sort like the rows, so they never run against the order.
     """
     if isinstance(heavy, str):
         heavy = find_heavy_spans(df, keys, ts, tie, limits)
     if heavy is None:
         return Panel(df, keys, ts, tie, None)
     t, n = micros(ts), F.col(tie).cast("double")
-    within = (n - F.col("_n0")) / (F.col("_n1") - F.col("_n0") + 1)
-    place = ((t - F.col("_t0")) + within) / (F.col("_t1") - F.col("_t0") + 1)
+    place = (t - F.col("_t0")) / (F.col("_t1") - F.col("_t0") + 1)
+    stretch = F.floor(place * F.col("_pieces") * F.lit(OVERSPLIT)).cast("long")
+    reached = F.filter("_instants", lambda x: x.getField("_t") <= t)
+    last = F.try_element_at(reached, F.lit(-1))
+    within = (n - last["_n0"]) / (last["_n1"] - last["_n0"] + 1)
+    part = F.when(last["_t"] == t, F.floor(within * last["_pieces"] * F.lit(OVERSPLIT)).cast("long"))
+    after = F.when(last["_t"].isNotNull(), F.lit(AFTER)).otherwise(F.lit(0))
+    block = F.struct(
+        stretch.alias("stretch"),
+        F.coalesce(last["_t"], F.lit(BEFORE)).alias("instant"),
+        F.coalesce(part, after.cast("long")).alias("part"),
+    )
     rows = (
         mark_heavy(df, keys, heavy)
-        .withColumn(BLOCK, F.floor(place * F.col("_pieces") * F.lit(OVERSPLIT)).cast("long"))
-        .drop("_pieces", "_t0", "_t1", "_n0", "_n1")
+        .withColumn(BLOCK, F.when(stretch.isNotNull(), block))
+        .drop("_pieces", "_t0", "_t1", "_instants")
     )
     return Panel(rows, keys, ts, tie, heavy.select(*keys))
 
@@ -251,16 +281,19 @@ def as_of(
     ``take`` maps version columns to output names. ``heavy`` may come from
     ``find_heavy_spans`` or ``with_span`` over any cheaper frame with this key.
     """
+    # Facts of one instant may stand in any order behind the versions that start there;
+    # a hash gives them one, so that a heavy instant can be cut.
+    spread = F.pmod(F.xxhash64(*facts.columns), F.lit(1 << 20)) / F.lit(float(1 << 20))
     left = facts.select(
         F.col(key).alias("_k"),
         F.col(at).cast("timestamp").alias("_at"),
-        F.lit(1).alias("_kind"),
+        (F.lit(1.0) + spread).alias("_kind"),
         F.struct(*facts.columns).alias("_fact"),
     )
     right = versions.filter(F.col(valid_from).isNotNull() & F.col(key).isNotNull()).select(
         F.col(key).alias("_k"),
         F.col(valid_from).cast("timestamp").alias("_at"),
-        F.lit(0).alias("_kind"),
+        F.lit(0.0).alias("_kind"),
         F.struct(
             F.col(valid_to).cast("timestamp").alias("_until"),
             *[F.col(c).alias(name) for c, name in take.items()],
@@ -270,7 +303,7 @@ def as_of(
     if isinstance(heavy, DataFrame):
         heavy = heavy.withColumnRenamed(key, "_k")
     panel = make_panel(line, ["_k"], "_at", "_kind", heavy, limits)
-    filled = fill(panel, "_version", "_seen").rows.filter("_kind = 1")
+    filled = fill(panel, "_version", "_seen").rows.filter("_kind >= 1")
     valid = F.col("_seen._until").isNull() | (F.col("_at") < F.col("_seen._until"))
     return filled.select(
         "_fact.*",
