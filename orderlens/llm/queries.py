@@ -54,3 +54,127 @@ def op8_token_files(spark, sf_dir):
 
     manifest = write(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=2)
     return read(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op10_quality_rules")
+def op10_quality_rules(spark, sf_dir):
+    from orderlens.llm.quality import judged
+
+    fields = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return judged(docs).select("doc_id", *[f"q.{x}" for x in fields])
+
+
+@query("op2_chat_formatting")
+def op2_chat_formatting(spark, sf_dir):
+    from orderlens.llm.chat import format_chats, read_back
+
+    probe = "</s>[INST] ok [/INST]"
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.sql(
+        "SELECT -1L AS conv_id, id AS turn, IF(id = 0, 'user', 'assistant') AS role, :t AS text FROM range(2)", {"t": probe}
+    )
+    windows = read_back(format_chats(rows.unionAll(extra)))
+    # The digests need a whole conversation in one row; the operator's own output never does.
+    entry = F.struct("window", "own_turns", "targets", F.length("formatted").alias("chars"))
+    whole = windows.groupBy("conv_id").agg(F.sort_array(F.collect_list(entry)).alias("p"))
+    joined = whole.select(
+        "conv_id",
+        F.flatten(F.transform("p", lambda x: x["own_turns"])).alias("turns"),
+        F.array_join(F.flatten(F.transform("p", lambda x: x["targets"])), "").alias("loss"),
+        F.aggregate("p", F.lit(0).cast("bigint"), lambda a, x: a + x["chars"]).alias("formatted_chars"),
+    )
+    each = F.transform("turns", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n")))
+    return joined.select(
+        "conv_id",
+        F.size("turns").cast("bigint").alias("n_turns"),
+        F.sha2(F.array_join(each, ""), 256).alias("turns_sha256"),
+        F.length("loss").cast("bigint").alias("loss_chars"),
+        F.sha2(F.col("loss"), 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
+def with_edited(docs: DataFrame) -> DataFrame:
+    """Each row of (doc_id, text) with ``edited``: its second half replaced by the start of the next document.
+
+    The next document has the next larger doc_id (after the last: the smallest); where several rows hold that
+    id, the smallest text counts. The text is shuffled once by its id, its start once more to the row before.
+    """
+    from orderlens.llm.simhash import neighbours
+
+    rows = docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
+    )
+    n = F.length("text")
+    halves = rows.select("doc_id", F.floor(n / 2).alias("half"))
+    links = neighbours(halves, "doc_id", "half").select(
+        F.col("doc_id").alias("id"), "before_key", F.col("before_carried").alias("most")
+    )
+    lent = rows.join(links, F.col("doc_id").eqNullSafe(F.col("id"))).select(
+        F.col("before_key").alias("slot"), F.substring("text", F.lit(1), F.col("most").cast("int")).alias("lent"),
+        F.col("doc_id").alias("next_id"), "text",
+    )
+    lent = lent.groupBy("slot").agg(F.min(F.struct("lent", "next_id")).alias("l")).select("slot", "l.*")
+    both = rows.join(lent, F.col("doc_id").eqNullSafe(F.col("slot")))
+    half = F.floor(n / 2).cast("int")
+    edited = F.concat(F.substring("text", F.lit(1), n - half), F.substring("lent", F.lit(1), half))
+    return both.select("doc_id", "text", n.cast("bigint").alias("n_chars"), edited.alias("edited"), "next_id")
+
+
+@query("op6_simhash")
+def op6_simhash(spark, sf_dir):
+    from orderlens.llm.simhash import fingerprints, likeness, text_form
+    from orderlens.llm.store import written
+
+    docs = with_edited(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    keyed = docs.select("doc_id", "next_id", "n_chars", F.monotonically_increasing_id().alias("row"), "text", "edited")
+    both = keyed.select(
+        "doc_id", "next_id", "n_chars", "row", F.sha2("edited", 256).alias("edited_sha256"),
+        F.explode(F.array(F.struct(F.lit(False).alias("e"), F.col("text").alias("t")), F.struct(F.lit(True).alias("e"), F.col("edited").alias("t")))).alias("x"),
+    ).select("doc_id", "next_id", "n_chars", "row", "edited_sha256", F.col("x.e").alias("e"), F.col("x.t").alias("text"))
+    prints = fingerprints(both, ["doc_id", "next_id", "n_chars", "row", "edited_sha256", "e"])
+    own = (
+        prints.groupBy("doc_id", "next_id", "n_chars", "row", "edited_sha256")
+        .agg(F.max(F.when(~F.col("e"), F.col("bits"))).alias("bits"), F.max(F.when(F.col("e"), F.col("bits"))).alias("ebits"))
+    )
+    own = written(own, "simhash")
+    following = own.groupBy(F.col("doc_id").alias("id")).agg(F.min("bits").alias("next_bits"))
+    return own.join(following, F.col("next_id").eqNullSafe(F.col("id"))).select(
+        "doc_id", "n_chars", "edited_sha256",
+        text_form(F.col("bits")).alias("fingerprint"), text_form(F.col("ebits")).alias("edited_fingerprint"),
+        likeness(F.col("bits"), F.col("ebits")).alias("near_edited"),
+        likeness(F.col("bits"), F.col("next_bits")).alias("near_next"),
+    )
+
+
+@query("op5_byte_bpe")
+def op5_byte_bpe(spark, sf_dir):
+    import public_tokenizers
+
+    from orderlens.llm.bpe import decode, encode
+
+    own = vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    both = decode(encode(table(spark, sf_dir, "documents"), *own), *own)
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query("op3_ngram_jaccard")
+def op3_ngram_jaccard(spark, sf_dir):
+    from orderlens.llm.jaccard import linked_documents
+
+    return linked_documents(table(spark, sf_dir, "documents"), size=5, percent=75)
+
+
+@query("op9_substring_dedup")
+def op9_substring_dedup(spark, sf_dir):
+    from orderlens.llm.chunks import without_repeats
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, x: n + x["length"])
+    return without_repeats(docs).select("doc_id", "text", removed.alias("n_removed"), "spans")

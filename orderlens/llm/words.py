@@ -42,8 +42,8 @@ def powers(n: int, base: int = _MULT) -> np.ndarray:
     return (high[:, None] * low[None, :]).reshape(-1)[:n]
 
 
-def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """UTF-8 bytes of a string column, a separator after each text, and where each text starts (n + 1 places)."""
+def text_bytes(column: pa.Array, pad: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """UTF-8 bytes of a string column, ``pad`` separators after each text, and where each text starts (n + 1 places)."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = column.cast(pa.large_string()).fill_null("")
@@ -53,8 +53,8 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     flat = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)
     flat = flat[offsets[0] : offsets[-1]]
     starts = offsets - offsets[0]
-    out = np.insert(flat, starts[1:], 10) if n else flat
-    return out, starts + np.arange(n + 1)
+    out = np.insert(flat, np.repeat(starts[1:], pad), 10) if n else flat
+    return out, starts + pad * np.arange(n + 1)
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
