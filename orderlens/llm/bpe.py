@@ -21,11 +21,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.llm.store import get, prepare
-from orderlens.llm.vocab import KEPT_LENGTH, pieces
+from orderlens.llm.vocab import KEPT_LENGTH, Pieces
 from orderlens.llm.words import slices
 
-KEPT, PAIRS = 300_000, 1_000_000
-_WORKERS: dict[tuple[str, str], Bpe] = {}
+KEPT, PAIRS = 600_000, 500_000
+_WORKERS: dict[tuple[str, str], BpePieces] = {}
 
 
 class Prefixes:
@@ -57,7 +57,7 @@ class Bpe:
         self.pattern = regex.compile(pattern)
         self.longest = max(map(len, ranks))
         self.pairs: dict[tuple[int, int], bool] = {}
-        self.kept: dict[str, list[int]] = {}
+        self.made: dict[int, tuple[int, int] | None] = {}
         self.matches: dict[str, list[int]] = {}
 
     @staticmethod
@@ -65,27 +65,55 @@ class Bpe:
         data = get(path) if "://" in path else open(path, "rb").read()
         return Bpe({base64.b64decode(a): int(b) for a, b in map(bytes.split, data.splitlines()) if a}, pattern)
 
-    def merged(self, data: bytes) -> list[int]:
-        """The encoding by definition: join the pair of lowest rank until none is left."""
+    def merged(self, data: bytes, below: int | None = None) -> list[int]:
+        """The encoding by definition: join the pair of lowest rank until none (below a rank) is left."""
         parts = [data[i : i + 1] for i in range(len(data))]
         while len(parts) > 1:
             best, at = None, -1
             for i in range(len(parts) - 1):
                 rank = self.ranks.get(parts[i] + parts[i + 1])
-                if rank is not None and (best is None or rank < best):
+                if rank is not None and (best is None or rank < best) and (below is None or rank < below):
                     best, at = rank, i
             if best is None:
                 break
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return [self.ranks[p] for p in parts]
 
+    def halves(self, token: int) -> tuple[int, int] | None:
+        """The two tokens whose merge made this one; None for a single byte."""
+        if token not in self.made:
+            data = self.bytes[token]
+            parts = self.merged(data, token) if len(data) > 1 else ()
+            self.made[token] = tuple(parts) if len(parts) == 2 else None
+        return self.made[token]
+
     def fits(self, a: int, b: int) -> bool:
-        """Whether token b may follow token a."""
+        """Whether token b may follow token a.
+
+        Merges are taken back one at a time, the latest first, on either side of the seam. A merge across the
+        seam of rank below everything taken back so far would have come first, so the two could not stand.
+        """
         found = self.pairs.get((a, b))
-        if found is None:
-            if len(self.pairs) > PAIRS:
-                self.pairs.clear()
-            found = self.pairs[a, b] = self.merged(self.bytes[a] + self.bytes[b]) == [a, b]
+        if found is not None:
+            return found
+        if len(self.pairs) > PAIRS:
+            self.pairs.clear()
+        left, right, limit, found = a, b, None, True
+        while True:
+            across = self.ranks.get(self.bytes[left] + self.bytes[right])
+            if across is not None and (limit is None or across < limit):
+                found = False
+                break
+            l, r = self.halves(left), self.halves(right)
+            if l is None and r is None:
+                break
+            # Of equal tokens the left one is merged first, so the right one is taken back first and a merge
+            # across of the same rank would have come before it.
+            if r is None or (l is not None and left > right):
+                limit, left = left, l[1]
+            else:
+                limit, right = right + 1, r[0]
+        self.pairs[a, b] = found
         return found
 
     def extend(self, data: bytes, last: list[int], start: int, old: list[int] | None = None, base: int = 0) -> None:
@@ -124,43 +152,45 @@ class Bpe:
         self.extend(data, last, 0)
         return self.walk(last, len(data))
 
-    def _piece(self, piece: str) -> list[int]:
+    def encode(self, text: str) -> list[int]:
+        """Ids of a text: each match of the pattern by itself."""
         out: list[int] = []
-        for m in self.pattern.findall(piece):
+        for m in self.pattern.findall(text):
             ids = self.matches.get(m)
             if ids is None:
                 ids = self.match(m)
                 if len(m) <= KEPT_LENGTH:
+                    if len(self.matches) > KEPT:
+                        self.matches.clear()
                     self.matches[m] = ids
             out += ids
         return out
 
-    def encode(self, text: str | None) -> list[int]:
-        """Ids of a whole text. The pattern cuts before a space that another character follows, so pieces between
-        such spaces are encoded by themselves and short ones are remembered."""
-        if not text:
-            return []
-        if len(self.kept) > KEPT or len(self.matches) > KEPT:
-            self.kept.clear()
-            self.matches.clear()
-        first, *rest = pieces(text)
-        kept, out = self.kept, self._piece(first)
-        for p in rest:
-            ids = kept.get(p)
-            if ids is None:
-                ids = self._piece(" " + p)
-                if len(p) <= KEPT_LENGTH:
-                    kept[p] = ids
-            out += ids
-        return out
-
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes.__getitem__, ids))
 
 
-def worker(path: str, pattern: str) -> Bpe:
+class BpePieces(Pieces):
+    """Pieces between spaces, where the pattern cuts in any case; short ones are remembered."""
+
+    def __init__(self, bpe: Bpe):
+        super().__init__()
+        self.bpe = bpe
+
+    def alone(self, text: str) -> bytes:
+        return np.array(self.bpe.encode(text), "<u4").tobytes()
+
+    def _learn(self, new: set[str]) -> dict[str, bytes]:
+        rest = {}
+        for p in new:
+            ids = self.alone(p if p[0] == "\n" else " " + p)
+            (self.kept if len(p) <= KEPT_LENGTH else rest)[p] = ids
+        return rest
+
+
+def worker(path: str, pattern: str) -> BpePieces:
     if (path, pattern) not in _WORKERS:
-        _WORKERS[path, pattern] = Bpe.load(path, pattern)
+        _WORKERS[path, pattern] = BpePieces(Bpe.load(path, pattern))
     return _WORKERS[path, pattern]
 
 
@@ -170,12 +200,13 @@ def encode(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = worker(ranks, pattern)
+        tool = worker(ranks, pattern)
         for whole in batches:
             for batch in slices(whole, "text"):
-                found = [np.array(bpe.encode(t), np.int32) for t in batch.column("text").to_pylist()]
-                offsets = np.concatenate(([0], np.cumsum([len(x) for x in found])))
-                ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(found)))
+                found = tool.encode(batch.column("text").to_pylist())
+                offsets = np.concatenate(([0], np.cumsum([len(x) // 4 for x in found])))
+                flat = np.frombuffer(b"".join(found), "<i4")
+                ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids], schema=schema)
 
     prepare(docs.sparkSession)
@@ -188,7 +219,7 @@ def decode(encoded: DataFrame, ranks: str, pattern: str) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = worker(ranks, pattern)
+        bpe = worker(ranks, pattern).bpe
         for whole in batches:
             for start in range(0, whole.num_rows, 256):
                 batch = whole.slice(start, 256)

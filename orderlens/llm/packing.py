@@ -24,6 +24,7 @@ from orderlens.llm.store import prepare, written
 from orderlens.llm.words import slices
 
 CHUNK = 1 << 15
+BROADCAST_PARTS = 1_000_000
 TOKENS = "doc_id bigint, part int, before bigint, first bigint, length int, doc_tokens bigint, ids binary"
 _ARROW = pa.schema(
     [("doc_id", pa.int64()), ("part", pa.int32()), ("before", pa.int64()), ("first", pa.int64())]
@@ -65,7 +66,9 @@ def pack(docs: DataFrame, vocabulary: str, window: int = 4096, end_id: int = 2)
     # One row per partition of the input: small, and ordered by partition number.
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     base = totals.select("part", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("base"))
-    placed = tokens.join(base, "part").withColumn("at", F.col("base") + F.col("before"))
+    # 16 bytes per partition of the input; beyond a million partitions the join shuffles instead.
+    small = F.broadcast(base) if totals.count() <= BROADCAST_PARTS else base
+    placed = tokens.join(small, "part").withColumn("at", F.col("base") + F.col("before"))
 
     def piece(number):
         begin = F.greatest(number * window, F.col("at"))

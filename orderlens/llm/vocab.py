@@ -16,27 +16,76 @@ import numpy as np
 #: White space of any of the libraries involved.
 SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0 ᠎ -​    　﻿"
 _CUT = re.compile(f" (?=[^{SPACES}])")
-_ODD = re.compile(f" (?:[{SPACES}]|$)")
+_ODD = re.compile(f"[{SPACES}][{SPACES}]")
 _INNER = re.compile(f"[{SPACES}]")
-KEPT_PIECES, KEPT_LENGTH, TOGETHER = 600_000, 48, 400
+#: ASCII marks that neither pattern joins to a letter before them.
+CLOSING = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+KEPT_PIECES, KEPT_LENGTH, TOGETHER = 1_200_000, 48, 400
 _WORKERS: dict[str, PieceEncoder] = {}
 
 
 def pieces(text: str) -> list[str]:
-    """The text cut at each space that another character than white space follows; those spaces are left out."""
-    return _CUT.split(text) if _ODD.search(text) else text.split(" ")
+    """The text cut before each space or line break that stands alone; a space itself is left out, a break is kept."""
+    return _CUT.split(text) if _ODD.search(text) else text.replace("\n", " \n").split(" ")
 
 
-class PieceEncoder:
-    """Ids as little-endian unsigned 32-bit bytes."""
+class Pieces:
+    """Encodes texts by their pieces; ids are little-endian unsigned 32-bit bytes."""
+
+    def __init__(self):
+        self.kept: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
+
+    def alone(self, text: str) -> bytes:
+        """Ids of a text as a whole."""
+        raise NotImplementedError
+
+    def _learn(self, new: set[str]) -> dict[str, bytes]:
+        """Add pieces to the table; return those that are not to be kept."""
+        raise NotImplementedError
+
+    def _tail(self, text: str) -> bytes:
+        if text not in self.tails:
+            self.tails[text] = self.alone(text)
+        return self.tails[text]
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text; None counts as empty."""
+        kept = self.kept
+        if len(kept) > KEPT_PIECES:
+            kept.clear()
+            self.tails.clear()
+        cut, first, seen = [pieces(t) if t else [""] for t in texts], [], set()
+        for c in cut:
+            # The start of a text is like the start of a line.
+            first.append("\n" + c[0] if c[0] and not _INNER.search(c[0]) else "")
+            seen.update(c[1:])
+        seen.update(first)
+        seen.discard("")
+        rest = self._learn(seen.difference(kept))
+        if "" not in kept:
+            kept[""] = self.alone(" ")  # a space at the end
+
+        def known(p: str) -> bytes:
+            return rest[p] if p in rest else kept[p]
+
+        skip, out = len(self._tail("\n")), []
+        for c, f in zip(cut, first, strict=True):
+            begin = known(f)[skip:] if f else self.alone(c[0]) if c[0] else b""
+            get = known if rest and not rest.keys().isdisjoint(c) else kept.__getitem__
+            out.append(begin + b"".join(map(get, c[1:])))
+        return out
+
+class PieceEncoder(Pieces):
+    """Pieces by the tokenizers library."""
 
     def __init__(self, path: str):
+        super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.kept: dict[str, bytes] = {}
 
     def alone(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -58,27 +107,34 @@ class PieceEncoder:
                 start = stop
         return out
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text; None counts as empty."""
-        kept = self.kept
-        if len(kept) > KEPT_PIECES:
-            kept.clear()
-        cut = [pieces(t or "") for t in texts]
-        seen: set[str] = set()
-        for c in cut:
-            seen.update(c[1:])
-        new = seen.difference(kept)
-        easy = [p for p in new if len(p) <= KEPT_LENGTH and not _INNER.search(p)]
-        kept.update(zip(easy, self.together(easy), strict=True))
-        rest = {p: self.alone(" " + p) for p in new.difference(easy)}
-        out = []
-        for c in cut:
-            first = self.alone(c[0]) if c[0] else b""
-            if rest and not rest.keys().isdisjoint(c):
-                out.append(first + b"".join([rest[p] if p in rest else kept[p] for p in c[1:]]))
+    def _learn(self, new: set[str]) -> dict[str, bytes]:
+        """Add pieces to the table; what is not kept there is returned.
+
+        A line break before a word and marks after it are matches of their own in either vocabulary's pattern, so
+        only the word between is new text.
+        """
+        kept, stems, split, plain, lines, rest = self.kept, set(), [], [], [], {}
+        for p in new:
+            word = p.rstrip(CLOSING)
+            if word is not p and len(p) <= KEPT_LENGTH and word.isalpha() and word.lower().isalpha():
+                split.append((p, word))
+                if word not in kept:
+                    stems.add(word)
+            elif len(p) <= KEPT_LENGTH and (p.isalnum() or not _INNER.search(p)):
+                plain.append(p)
+            elif p[0] == "\n" and len(p) <= KEPT_LENGTH and not _INNER.search(p, 1):
+                lines.append(p)
             else:
-                out.append(first + b"".join(map(kept.__getitem__, c[1:])))
-        return out
+                rest[p] = self.alone(p if p[0] == "\n" else " " + p)
+        plain = [*stems.union(plain)]
+        kept.update(zip(plain, self.together(plain), strict=True))
+        for p, word in split:
+            kept[p] = kept[word] + self._tail(p[len(word) :])
+        if lines:
+            starts = self.tokenizer.encode_batch_fast([p[1:] for p in lines], add_special_tokens=False)
+            for p, e in zip(lines, starts, strict=True):
+                kept[p] = self._tail("\n") + np.array(e.ids, "<u4").tobytes()
+        return rest
 
 
 def encoder(path: str) -> PieceEncoder:
