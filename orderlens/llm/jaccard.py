@@ -33,9 +33,10 @@ from pyspark.sql import functions as F
 from orderlens.llm.bloom import filter_bits, passes
 from orderlens.llm.components import components
 from orderlens.llm.store import prepare, written
+from orderlens.llm.vectors import parts, total
 from orderlens.llm.words import hashed_words, mix, slices
 
-SKETCH_BITS, PART = 22, 1 << 16
+SKETCH_BITS = 22
 LEADERS, ROUNDS = 4, 2
 
 
@@ -94,36 +95,16 @@ def _profile(docs: DataFrame, size: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id"), pa.array(n, pa.int32()), pa.array(digest, pa.binary()),
                      none.cast(pa.int32()), none.cast(pa.binary())], schema=schema)
-        for i in range(0, len(sketch), PART):
-            some = np.minimum(sketch[i : i + PART], 65535).astype("<u2")
-            if some.any():
-                yield pa.RecordBatch.from_pylist([{"part": i // PART, "counts": some.tobytes()}], schema=schema)
+        for row in parts(sketch):
+            yield pa.RecordBatch.from_pylist([row], schema=schema)
 
     return _texts(docs).mapInArrow(run, "doc_id bigint, n int, digest binary, part int, counts binary")
 
 
 def _sketch(profile: DataFrame) -> np.ndarray:
-    """Sum of all tasks' counts as logarithms, 4 MB whatever the input; added up in two levels, never in one group."""
-    schema = pa.schema([("part", pa.int32()), ("salt", pa.int32()), ("counts", pa.binary())])
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, key = np.zeros(PART, np.uint64), {}
-        for batch in batches:
-            for row in batch.to_pylist():
-                key = row
-                raw = np.frombuffer(row["counts"], "<u8" if len(row["counts"]) == 8 * PART else "<u2")
-                total += raw.astype(np.uint64)
-        if key:
-            yield pa.RecordBatch.from_pylist([key | {"counts": total.astype("<u8").tobytes()}], schema=schema)
-
-    rows = profile.where("part IS NOT NULL").select("part", F.pmod(F.xxhash64("counts"), F.lit(64)).cast("int").alias("salt"), "counts")
-    kind = "part int, salt int, counts binary"
-    summed = rows.groupBy("part", "salt").applyInArrow(add, kind).groupBy("part").applyInArrow(add, kind)
-    out = np.zeros(1 << SKETCH_BITS, np.uint8)
-    for row in summed.collect():  # at most 64 rows
-        counts = np.frombuffer(bytes(row["counts"]), "<u8").astype(np.float64)
-        out[row["part"] * PART : (row["part"] + 1) * PART] = np.minimum(255, np.round(2 * np.log2(counts + 1)))
-    return out
+    """Logarithms of the column counts of all rows, 4 MB whatever the input."""
+    counts = total(profile.where("part IS NOT NULL").select("part", "counts"), 1 << SKETCH_BITS)
+    return np.minimum(255, np.round(2 * np.log2(counts.astype(np.float64) + 1))).astype(np.uint8)
 
 
 def _prefix(s: np.ndarray, sketch: np.ndarray, percent: int) -> np.ndarray:

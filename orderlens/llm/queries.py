@@ -178,3 +178,19 @@ def op9_substring_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, x: n + x["length"])
     return without_repeats(docs).select("doc_id", "text", removed.alias("n_removed"), "spans")
+
+
+def remainder(modulus: int):
+    """crc32(doc_id as text) mod ``modulus``."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
+
+
+@query("op7_toxicity")
+def op7_toxicity(spark, sf_dir):
+    from orderlens.llm.toxicity import fit, score
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"), remainder(4) != 2)
+    return score(docs, model).select(
+        "doc_id", (remainder(4) == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
