@@ -194,3 +194,16 @@ def op7_toxicity(spark, sf_dir):
     return score(docs, model).select(
         "doc_id", (remainder(4) == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
     )
+
+
+@query("op4_kneser_ney")
+def op4_kneser_ney(spark, sf_dir):
+    from orderlens.llm.ngram_lm import score, train
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(remainder(10) == 0, F.lit(False))
+    model = train(docs.where(~held_out).select(F.col("text").cast("string").alias("text")))
+    return score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known",
+        F.lit(model.vocabulary.total).cast("bigint").alias("train_tokens"), F.col("unigram").alias("base_score"), "score",
+    )
