@@ -183,7 +183,7 @@ def fit(
     gap = (in_pos / n_pos - in_unl / n_unl) / np.sqrt(both * (1 - np.minimum(both, 0.999)) * (1 / n_pos + 1 / n_unl))
     gap[in_pos + in_unl < 3] = 0
     best = np.argsort(-np.abs(gap), kind="stable")[:chosen]
-    best = np.sort(best[np.abs(gap[best]) > 2])
+    best = np.sort(best[np.abs(gap[best]) > 4])
     table = np.full(SIZE, -1, np.int32)
     table[best] = np.arange(len(best), dtype=np.int32)
     drawn = pa.schema([("pos", pa.bool_()), ("unl", pa.bool_()), ("f", pa.binary())])
