@@ -2,7 +2,7 @@
 
 Each line that holds a word is judged by itself: too many symbols, navigation (words between bars), all capitals,
 a stock phrase of licences and page furniture, or a run of words without a single sentence mark. Failing lines are
-removed; a document that loses more than ``max_lost`` of its characters is rejected, and so is one that fails the
+removed (lines without a word stay as they are); a document that loses more than ``max_lost`` of its characters is rejected, and so is one that fails the
 base rules (fewer than ``min_words`` words, or too many words inside repeated five-word windows).
 
 Words are runs of characters other than space and \\t \\n \\v \\f \\r. Null or empty text has no words and fails. A
@@ -30,6 +30,10 @@ def words(text: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, "[ \\t-\\r]+"))
 
 
+def _blank(line: Column) -> Column:
+    return F.btrim(line, F.lit(SPACES)) == ""
+
+
 def _lit_in(line: Column, phrases: list[str]) -> Column:
     low = F.lower(line)
     found = F.contains(low, F.lit(phrases[0]))
@@ -70,7 +74,7 @@ def judged(docs: DataFrame, text: str = "text", min_words: int = 10, max_repeat:
     b = a.select(
         "row", "t", n.alias("n_words"), F.length(F.array_join("w", "")).alias("word_chars"),
         F.regexp_count("t", F.lit(SYMBOLS)).alias("n_symbols"),
-        F.filter(F.split("t", "\n"), lambda x: F.btrim(x, F.lit(SPACES)) != "").alias("lines"),
+        F.filter(F.split("t", "\n"), lambda x: ~_blank(x)).alias("lines"),
         F.when(n >= 5, window).otherwise(F.array().cast("array<bigint>")).alias("h"),
     )
     repeats = F.size(F.array_distinct("h")) < F.size("h")
@@ -82,22 +86,20 @@ def judged(docs: DataFrame, text: str = "text", min_words: int = 10, max_repeat:
         return F.coalesce(F.get("s", k)["h"] == x["h"], F.lit(False))
 
     places = F.sort_array(F.transform(F.filter("s", lambda x, k: same(x, k - 1) | same(x, k + 1)), lambda x: x["i"]))
-    good = F.filter("lines", lambda x: ~line_fails(x, F.col("n_symbols") > 0))
+    good = F.filter(F.split("t", "\n"), lambda x: _blank(x) | ~line_fails(x, F.col("n_symbols") > 0))
     d = c.select(
         "row", "t", "n_words", "word_chars", "n_symbols",
         (F.size("lines") - F.size(F.array_distinct("lines"))).alias("n_dup_lines"),
         F.coalesce(_covered(places), F.lit(0)).alias("n_repeat_words"),
-        F.aggregate("lines", F.lit(0), lambda s, x: s + F.length(x)).alias("chars"),
-        good.alias("good"),
+        F.array_join(good, "\n").alias("cleaned"),
     )
     failed = (F.col("n_words") < min_words) | (
         F.col("n_repeat_words").cast("bigint") * 100 > F.col("n_words").cast("bigint") * max_repeat
     )
-    left = F.aggregate("good", F.lit(0), lambda s, x: s + F.length(x))
-    e = d.select("*", failed.alias("base_failed"), left.alias("left"))
-    kept = ~F.col("base_failed") & (F.col("left") >= F.col("chars") * (1 - max_lost))
+    e = d.select("*", failed.alias("base_failed"))
+    kept = ~F.col("base_failed") & (F.length("cleaned") >= F.length("t") * (1 - max_lost))
     counts = [F.col(x).cast("bigint").alias(x) for x in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
     return e.select(
         "row.*",
-        F.struct(*counts, "base_failed", kept.alias("kept"), F.array_join("good", "\n").alias("cleaned")).alias("q"),
+        F.struct(*counts, "base_failed", kept.alias("kept"), "cleaned").alias("q"),
     )

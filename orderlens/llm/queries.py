@@ -168,7 +168,8 @@ def op5_byte_bpe(spark, sf_dir):
 def op3_ngram_jaccard(spark, sf_dir):
     from orderlens.llm.jaccard import linked_documents
 
-    return linked_documents(table(spark, sf_dir, "documents"), size=5, percent=75)
+    linked = linked_documents(table(spark, sf_dir, "documents"), size=5, percent=75)
+    return linked.select("doc_id", "n_shingles", "component_id")
 
 
 @query("op9_substring_dedup")
