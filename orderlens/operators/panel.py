@@ -127,7 +127,8 @@ def make_panel(
     The block of a row is its place between the first and the last instant of its
     key. A heavy instant starts blocks of its own, cut along the tie-break; rows
     after it in the same stretch of time follow in one more block. Blocks are
-    structs that sort like the rows, so they never run against the order.
+    structs that sort like the rows, so they never run against the order. Rows of
+    a heavy key without a time come first, in a block of their own.
     """
     if isinstance(heavy, str):
         heavy = find_heavy_spans(df, keys, ts, tie, limits)
@@ -142,13 +143,13 @@ def make_panel(
     part = F.when(last["_t"] == t, F.floor(within * last["_pieces"] * F.lit(OVERSPLIT)).cast("long"))
     after = F.when(last["_t"].isNotNull(), F.lit(AFTER)).otherwise(F.lit(0))
     block = F.struct(
-        stretch.alias("stretch"),
+        F.coalesce(stretch, F.lit(-1).cast("long")).alias("stretch"),
         F.coalesce(last["_t"], F.lit(BEFORE)).alias("instant"),
         F.coalesce(part, after.cast("long")).alias("part"),
     )
     rows = (
         mark_heavy(df, keys, heavy)
-        .withColumn(BLOCK, F.when(stretch.isNotNull(), block))
+        .withColumn(BLOCK, F.when(F.col("_pieces").isNotNull(), block))
         .drop("_pieces", "_t0", "_t1", "_instants")
     )
     return Panel(rows, keys, ts, tie, heavy.select(*keys))

@@ -79,11 +79,14 @@ def salted_join(
     keys: list[str],
     how: str,
     spread_by: list[str],
-    heavy: DataFrame | None | str = DETECT,
+    heavy: DataFrame | None | str = None,
     limits: SkewLimits = LIMITS,
 ) -> DataFrame:
     """Join a large table with one row (or few) per key, splitting heavy keys of the large side.
 
+    By default this is the plain join: adaptive execution splits skewed partitions at run time, and nothing
+    is counted while a query is built. Pass heavy keys that are known (or DETECT) to salt them by hand.
+
     Rows of a heavy key are dealt to its pieces by a hash of ``spread_by``; the
     other side is copied once per piece of that key only. Ordinary keys join as
     usual, so the result equals ``many.join(one, keys, how)``.

@@ -53,7 +53,7 @@ CLICKS = """ev AS (
 CHANGES = """ch AS (
   SELECT user_id, event_id, event_type, value, ts,
          CASE event_type WHEN 'signup' THEN 'c' WHEN 'error' THEN 'd' ELSE 'u' END AS op,
-         epoch_ms(ts) AS ts_ms
+         epoch_us(ts) // 1000 AS ts_ms
   FROM events)"""
 PRODUCT_VERSIONS = """pr AS (
   SELECT p_partkey AS product_id, p_name, p_brand AS aisle, p_type AS department,
@@ -95,15 +95,3 @@ STAGED = """so AS (
               WHEN o_orderstatus = 'F' THEN true WHEN o_orderstatus = 'O' THEN false END,
          'u', o_orderdate, TIMESTAMP '2024-01-02'
   FROM orders WHERE o_orderkey % 10 >= 7)"""
-
-
-def calendar_sql(first: str, end: str) -> str:
-    """Calendar attributes as SQL."""
-    return f"""cal AS (
-  SELECT CAST(d AS DATE) AS full_date,
-         CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_sk,
-         CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month,
-         CAST(day(d) AS INTEGER) AS day, CAST(isodow(d) AS INTEGER) AS day_of_week,
-         CAST(dayofyear(d) AS INTEGER) AS day_of_year, CAST(strftime(d, '%U') AS INTEGER) AS week_of_year,
-         CAST(quarter(d) AS INTEGER) AS quarter, isodow(d) IN (6, 7) AS is_weekend
-  FROM generate_series(TIMESTAMP '{first}', TIMESTAMP '{end}' - INTERVAL 1 DAY, INTERVAL 1 DAY) g(d))"""

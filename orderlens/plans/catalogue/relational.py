@@ -59,11 +59,14 @@ def c10_target_recast(spark, sf):
        max(order_date) AS last_order FROM o GROUP BY 1""",
 )
 def c13_null_target_split(spark, sf):
-    orders = src.orders(spark, sf)
-    stats = [F.count(F.lit(1)).alias("orders"), F.min("order_date").alias("first_order"), F.max("order_date").alias("last_order")]
-    known = orders.filter(F.col("tip").isNotNull()).agg(*stats).withColumn("to_predict", F.lit(False))
-    missing = orders.filter(F.col("tip").isNull()).agg(*stats).withColumn("to_predict", F.lit(True))
-    return known.unionByName(missing)
+    return (
+        src.orders(spark, sf)
+        .groupBy(F.col("tip").isNull().alias("to_predict"))
+        .agg(
+            F.count(F.lit(1)).alias("orders"), F.min("order_date").alias("first_order"),
+            F.max("order_date").alias("last_order"),
+        )
+    )
 
 
 @query("c14_drop_incomplete", f"""WITH {O} SELECT order_id, tip FROM o WHERE tip IS NOT NULL""")
@@ -211,7 +214,7 @@ def d13_scalar_mean(spark, sf):
 FROM orders""",
 )
 def d14_holiday_lookup(spark, sf):
-    return ft.holiday_lookup(src.orders(spark, sf), 1995, 2003).select("order_id", "is_holiday")
+    return ft.holiday_lookup(src.orders(spark, sf)).select("order_id", "is_holiday")
 
 
 @query(
@@ -542,11 +545,9 @@ FROM l GROUP BY 1, 2""",
 )
 def h3_drop_duplicates(spark, sf):
     lines = src.order_products(spark, sf)
-    kept = lines.select("order_id", "product_id").dropDuplicates(["order_id", "product_id"])
-    sums = lines.groupBy("order_id", "product_id").agg(
+    return lines.groupBy("order_id", "product_id").agg(
         F.min("add_to_cart_order").alias("first_position"), F.count(F.lit(1)).alias("copies")
     )
-    return kept.join(sums, ["order_id", "product_id"])
 
 
 @query(

@@ -19,7 +19,7 @@ from orderlens.sinks.lake import append_to_lake, replace_table, write_lake_batch
 from orderlens.sources import files
 from orderlens.sources import stand_ins as src
 from orderlens.sources.changes import decode, file_stream, table_of_path
-from orderlens.streaming.ingest import distinct_changes, start_lake_stream
+from orderlens.streaming.ingest import start_distinct_stream, start_lake_stream
 
 
 def lake_orders(spark, sf) -> DataFrame:
@@ -41,7 +41,7 @@ def lake_users(spark, sf) -> DataFrame:
 
 
 _LAKE_ORDERS = """SELECT o_orderkey AS order_id, o_custkey AS user_id, epoch_us(o_orderdate) AS order_date,
-CASE o_orderstatus WHEN 'F' THEN true WHEN 'O' THEN false END AS tip_given, 'c' AS _op, epoch_ms(o_orderdate) AS _ts_ms"""
+CASE o_orderstatus WHEN 'F' THEN true WHEN 'O' THEN false END AS tip_given, 'c' AS _op, epoch_us(o_orderdate) // 1000 AS _ts_ms"""
 
 
 @query(
@@ -70,14 +70,14 @@ def a5_typed_read(spark, sf):
 
 @query("b3_repeated_batch", f"{_LAKE_ORDERS} FROM orders")
 def b3_repeated_batch(spark, sf):
-    """A batch written twice is there once."""
+    """A batch written twice is there once. Its change time is kept aside, so that it has one day's folder."""
     root = scratch_path(spark, "repeat")
-    rows = lake_orders(spark, sf).coalesce(1)
-    days = rows.withColumn("_ts_ms", F.lit(0).cast("long"))
-    write_lake_batch(days, root, "orders", 7)
-    write_lake_batch(days, root, "orders", 7)
-    back = spark.read.parquet(f"{root}/orders").select("order_id", "user_id", "order_date", "tip_given", "_op")
-    return back.withColumn("_ts_ms", F.expr("order_date div 1000"))
+    rows = lake_orders(spark, sf).withColumnRenamed("_ts_ms", "changed")
+    day = rows.withColumn("_ts_ms", F.lit(0).cast("long"))
+    write_lake_batch(day, root, "orders", 7)
+    write_lake_batch(day, root, "orders", 7)
+    back = spark.read.parquet(f"{root}/orders")
+    return back.select("order_id", "user_id", "order_date", "tip_given", "_op", F.col("changed").alias("_ts_ms"))
 
 
 @query(
@@ -326,11 +326,10 @@ def j3_stream_dedup(spark, sf):
         .option("maxFilesPerTrigger", 8)
         .parquet(f"{root}/in")
     )
-    # The delay exceeds the span of the log, because files arrive in no particular order.
-    clean = distinct_changes(stream, "user_id", ["op", "event_id"], "400 days", "ts_ms").drop("source_ts")
-    clean.writeStream.format("parquet").option("path", f"{root}/out").option(
-        "checkpointLocation", f"{root}/state"
-    ).trigger(availableNow=True).start().awaitTermination()
+    # Files arrive in no particular order: most rows of later batches are older than those before.
+    start_distinct_stream(
+        stream, f"{root}/out", f"{root}/state", ["user_id", "event_id", "op", "ts_ms"], "ts_ms"
+    ).awaitTermination()
     return spark.read.parquet(f"{root}/out").select("user_id", "event_id", "op", "ts_ms")
 
 

@@ -29,7 +29,6 @@ from orderlens.plans.catalogue.registry import (
     PRODUCT_VERSIONS,
     STAGED,
     USER_VERSIONS,
-    calendar_sql,
     query,
 )
 from orderlens.plans.dims import dim_date, product_snapshot_input, user_snapshot_input
@@ -44,8 +43,6 @@ from orderlens.plans.staging import stg_order_products, stg_orders, stg_products
 from orderlens.sources import stand_ins as src
 from orderlens.sources.changes import bootstrap, decode, with_bootstrap
 
-CALENDAR_START = dt.date(1995, 1, 1)
-CALENDAR_END = dt.date(2003, 1, 1)
 SNAPSHOT_NOW = "2024-02-01 00:00:00"
 
 USER_EVENT = T.StructType(
@@ -105,24 +102,31 @@ def line_facts(spark, sf) -> DataFrame:
     )
 
 
+def order_calendar(spark, sf) -> DataFrame:
+    """A calendar that covers every order."""
+    span = src.orders(spark, sf).agg(F.min("order_date").alias("a"), F.max("order_date").alias("z")).first()
+    if span["a"] is None:
+        return dim_date(spark).limit(0)
+    return dim_date(spark, span["a"].date(), span["z"].date() + dt.timedelta(days=1))
+
+
 # ---- flagship ------------------------------------------------------------------
 
 
 @query(
     "e10_monthly_tip_rate",
-    f"""WITH {calendar_sql('1995-01-01', '2003-01-01')}
-SELECT cal.year, cal.month, count(*) AS total_orders,
+    """SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month,
+       count(*) AS total_orders,
        CAST(sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) AS BIGINT) AS orders_with_tip,
        round(sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) * 1.0 / count(*) * 100, 6) AS tip_rate_percent
-FROM orders JOIN cal ON CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) = cal.date_sk
-GROUP BY 1, 2 ORDER BY 1, 2""",
+FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1, 2 ORDER BY 1, 2""",
 )
 def e10_monthly_tip_rate(spark, sf):
     tip = F.col("tip").cast("boolean")
     facts = src.orders(spark, sf).select(
         "order_id", date_key("order_date").alias("order_date_sk"), F.coalesce(tip, F.lit(False)).alias("is_tip_given")
     )
-    out = monthly_tip_rate(facts, dim_date(spark, CALENDAR_START, CALENDAR_END))
+    out = monthly_tip_rate(facts, order_calendar(spark, sf))
     return out.withColumn("tip_rate_percent", F.round("tip_rate_percent", 6))
 
 
@@ -621,16 +625,15 @@ def d9_fact_to_version(spark, sf):
 
 @query(
     "d10_star_join",
-    f"""WITH {_F_ORDERS}, {calendar_sql('1995-01-01', '2003-01-01')}
-SELECT fo.order_id, cal.full_date, cal.quarter, cal.is_weekend, fo.is_tip_given
-FROM fo JOIN cal ON fo.order_date_sk = cal.date_sk""",
+    f"""WITH {_F_ORDERS}
+SELECT order_id, CAST(order_timestamp AS DATE) AS full_date, CAST(quarter(order_timestamp) AS INTEGER) AS quarter,
+       isodow(order_timestamp) IN (6, 7) AS is_weekend, is_tip_given
+FROM fo WHERE order_timestamp IS NOT NULL""",
 )
 def d10_star_join(spark, sf):
-    calendar = dim_date(spark, CALENDAR_START, CALENDAR_END).select(
-        "date_sk", "full_date", "quarter", "is_weekend"
-    )
+    calendar = order_calendar(spark, sf).select("date_sk", "full_date", "quarter", "is_weekend")
     facts = order_facts(spark, sf).select("order_id", "order_date_sk", "is_tip_given")
-    # The calendar is generated and spans a fixed number of days.
+    # One row per day between the first and the last order.
     return facts.join(F.broadcast(calendar), F.col("order_date_sk") == F.col("date_sk")).select(
         "order_id", "full_date", "quarter", "is_weekend", "is_tip_given"
     )
@@ -665,7 +668,8 @@ def l7_dim_date(spark, sf):
     )
 
 
-HOLIDAYS_SQL = """yrs AS (SELECT y FROM generate_series(1995, 2003) g(y)),
+HOLIDAYS_SQL = """yrs AS (SELECT unnest(generate_series(a, z + 1)) AS y FROM (
+  SELECT year(min(o_orderdate)) AS a, year(max(o_orderdate)) AS z FROM orders)),
 rules AS (
   SELECT y, make_date(y, 1, 1) AS d, true AS fixed FROM yrs
   UNION ALL SELECT y, make_date(y, 7, 4), true FROM yrs

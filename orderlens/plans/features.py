@@ -72,8 +72,14 @@ def temporal_features(df: DataFrame) -> DataFrame:
     )
 
 
-def holiday_lookup(df: DataFrame, first_year: int, last_year: int) -> DataFrame:
-    """The holiday flag as a join with the generated holiday dimension (about 16 rows per year)."""
+def holiday_lookup(df: DataFrame, first_year: int | None = None, last_year: int | None = None) -> DataFrame:
+    """The holiday flag as a join with the generated holiday dimension (about 16 rows per year).
+
+    Without years it spans those of the data.
+    """
+    if first_year is None or last_year is None:
+        span = df.agg(F.year(F.min("order_date")).alias("a"), F.year(F.max("order_date")).alias("z")).first()
+        first_year, last_year = span["a"] or 1970, span["z"] or 1970
     days = dim_holiday(df.sparkSession, first_year, last_year).select("holiday_date").distinct()
     flagged = days.withColumn("is_holiday", F.lit(True))
     return (

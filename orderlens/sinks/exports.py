@@ -38,7 +38,7 @@ def append_relational(
 ) -> None:
     """Append to a relational table over JDBC with a bounded number of connections."""
     writer = (
-        df.coalesce(writers)
+        df.repartition(writers)  # not coalesce: that would compute the whole stage in so few tasks
         .write.format("jdbc")
         .mode("append")
         .option("url", url)

@@ -88,6 +88,26 @@ def test_point_in_time_strategies_agree(spark, broadcast):
     assert rows(got.select(want.columns)) == rows(want)
 
 
+@pytest.mark.parametrize("broadcast", [None, True, False])
+def test_overlapping_versions_mean_the_same_on_both_paths(spark, broadcast):
+    day = [dt.datetime(2024, 1, d) for d in range(1, 10)]
+    dim = spark.createDataFrame(
+        [(1, "a", day[0], None), (1, "b", day[2], None), (1, "c", day[4], day[5]), (2, "d", day[0], day[1]),
+         (2, "e", day[0], day[3]), (3, "f", None, None)],
+        "k long, scd_id string, valid_from timestamp_ntz, valid_to timestamp_ntz",
+    )
+    facts = spark.createDataFrame(
+        [(1, day[1]), (1, day[3]), (1, day[4]), (1, day[6]), (2, day[2]), (2, day[5]), (3, day[2]), (None, day[2]), (1, None)],
+        "k long, valid_from timestamp_ntz",  # a fact column of this name must survive
+    )
+    got = point_in_time_key(facts, dim, "k", "valid_from", "sk", broadcast, limits=SkewLimits(1e-4, 2))
+    assert rows(got.select("k", "valid_from", "sk")) == sorted(
+        [(1, day[1], "a"), (1, day[3], "b"), (1, day[4], "c"), (1, day[6], None), (2, day[2], "e"), (2, day[5], None),
+         (3, day[2], None), (None, day[2], None), (1, None, None)],
+        key=lambda r: tuple((x is None, str(x)) for x in r),
+    )
+
+
 def test_broadcast_needs_a_small_dimension(spark):
     few = spark.range(100).select((F.col("id") % 50).alias("k"))
     many = spark.range(BROADCAST_VERSIONS + 1).select(F.lit(1).alias("k"))

@@ -8,11 +8,11 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import rows
-from orderlens.operators.panel import as_of, fill, make_panel, shift
+from orderlens.operators.panel import as_of, fill, group_sums, make_panel, shift
 from orderlens.operators.skew import SkewLimits, find_heavy, salted_join
 
 
-def skewed(spark, n=900, one_instant=False, nulls=0.4):
+def skewed(spark, n=900, one_instant=False, nulls=0.4, no_time=0.0):
     """A third of the rows belong to key 1; instants repeat, values have gaps.
 
     ``one_instant`` may be True (all rows), or "mostly": two instants hold most rows.
@@ -25,15 +25,18 @@ def skewed(spark, n=900, one_instant=False, nulls=0.4):
         at = base if one_instant is True else base + dt.timedelta(hours=rnd.randrange(60))
         if one_instant == "mostly" and rnd.random() < 0.8:
             at = base + dt.timedelta(hours=rnd.choice([20, 21]))
+        if no_time and rnd.random() < no_time:
+            at = None
         value = None if rnd.random() < nulls else rnd.randrange(100)
         data.append((key, at, i, value))
     return spark.createDataFrame(data, "k long, ts timestamp_ntz, id long, v int")
 
 
+@pytest.mark.parametrize("no_time", [0.0, 0.2])
 @pytest.mark.parametrize("one_instant", [False, True, "mostly"])
 @pytest.mark.parametrize("min_rows", [20, 200, 10_000])
-def test_shift_and_fill_equal_plain_windows(spark, one_instant, min_rows):
-    df = skewed(spark, one_instant=one_instant)
+def test_shift_and_fill_equal_plain_windows(spark, one_instant, min_rows, no_time):
+    df = skewed(spark, one_instant=one_instant, no_time=no_time)
     panel = make_panel(df, ["k"], "ts", "id", limits=SkewLimits(1e-4, min_rows))
     assert (panel.heavy is None) == (min_rows > 500)
     panel = shift(panel, "v", [1, 2, 4], ["l1", "l2", "l4"])
@@ -60,6 +63,18 @@ def test_shift_and_fill_equal_plain_windows(spark, one_instant, min_rows):
     assert rows(got.select(want.columns)) == rows(want)
 
 
+@pytest.mark.parametrize("no_time", [0.0, 0.3, 1.0])
+@pytest.mark.parametrize("min_rows", [20, 10_000])
+def test_group_sums_equal_plain_windows(spark, min_rows, no_time):
+    df = skewed(spark, no_time=no_time)
+    panel = make_panel(df, ["k"], "ts", "id", limits=SkewLimits(1e-4, min_rows))
+    got = group_sums(panel, {"s": F.col("v"), "n": F.lit(1)}).result()
+    w = Window.partitionBy("k")
+    known = F.col("k").isNotNull()
+    want = df.withColumn("s", F.when(known, F.sum("v").over(w))).withColumn("n", F.when(known, F.count("*").over(w)))
+    assert rows(got.select(want.columns)) == rows(want)
+
+
 def test_heavy_groups_are_really_cut(spark):
     panel = make_panel(skewed(spark), ["k"], "ts", "id", limits=SkewLimits(1e-4, 50))
     sizes = panel.rows.groupBy("k", "_block").count().filter("_block is not null")
@@ -84,7 +99,7 @@ def test_heavy_key_table_is_bounded(spark):
 def test_salted_join_equals_join(spark, how):
     many = skewed(spark)
     one = spark.createDataFrame([(1, "a"), (2, "b"), (9, "z"), (1, "a2")], "k long, name string")
-    got = salted_join(many, one, ["k"], how, ["id"], limits=SkewLimits(1e-4, 30))
+    got = salted_join(many, one, ["k"], how, ["id"], heavy="detect", limits=SkewLimits(1e-4, 30))
     assert rows(got) == rows(many.join(one, ["k"], how))
 
 

@@ -4,6 +4,7 @@ import glob
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
@@ -32,6 +33,11 @@ def test_query_equals_sql(spark, duck, sf_dir, name):
     assert got.equals(expected)
 
 
+def test_comparison_sees_single_milliseconds():
+    one, other = (normal(pd.DataFrame({"ms": [v, None], "n": [v, v]})) for v in (1_700_000_000_123, 1_700_000_000_124))
+    assert not one.equals(other)
+
+
 def test_oracles_belong_to_queries():
     assert set(ORACLE) <= set(queries())
 
