@@ -21,10 +21,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.llm.store import get, prepare
-from orderlens.llm.vocab import KEPT_LENGTH, Pieces
+from orderlens.llm.vocab import Pieces
 from orderlens.llm.words import slices
 
-KEPT, PAIRS = 600_000, 500_000
+PAIRS = 250_000
 _WORKERS: dict[tuple[str, str], BpePieces] = {}
 
 
@@ -58,7 +58,6 @@ class Bpe:
         self.longest = max(map(len, ranks))
         self.pairs: dict[tuple[int, int], bool] = {}
         self.made: dict[int, tuple[int, int] | None] = {}
-        self.matches: dict[str, list[int]] = {}
 
     @staticmethod
     def load(path: str, pattern: str) -> Bpe:
@@ -156,14 +155,7 @@ class Bpe:
         """Ids of a text: each match of the pattern by itself."""
         out: list[int] = []
         for m in self.pattern.findall(text):
-            ids = self.matches.get(m)
-            if ids is None:
-                ids = self.match(m)
-                if len(m) <= KEPT_LENGTH:
-                    if len(self.matches) > KEPT:
-                        self.matches.clear()
-                    self.matches[m] = ids
-            out += ids
+            out += self.match(m)
         return out
 
     def decode(self, ids: list[int]) -> bytes:
@@ -173,6 +165,8 @@ class Bpe:
 class BpePieces(Pieces):
     """Pieces between spaces, where the pattern cuts in any case; short ones are remembered."""
 
+    limit = 800_000
+
     def __init__(self, bpe: Bpe):
         super().__init__()
         self.bpe = bpe
@@ -180,13 +174,6 @@ class BpePieces(Pieces):
     def alone(self, text: str) -> bytes:
         return np.array(self.bpe.encode(text), "<u4").tobytes()
 
-    def _learn(self, new: set[str]) -> dict[str, bytes]:
-        rest = {}
-        for p in new:
-            ids = self.alone(p if p[0] == "\n" else " " + p)
-            (self.kept if len(p) <= KEPT_LENGTH else rest)[p] = ids
-        return rest
-
 
 def worker(path: str, pattern: str) -> BpePieces:
     if (path, pattern) not in _WORKERS:

@@ -32,6 +32,8 @@ def pieces(text: str) -> list[str]:
 class Pieces:
     """Encodes texts by their pieces; ids are little-endian unsigned 32-bit bytes."""
 
+    limit = KEPT_PIECES
+
     def __init__(self):
         self.kept: dict[str, bytes] = {}
         self.tails: dict[str, bytes] = {}
@@ -40,9 +42,41 @@ class Pieces:
         """Ids of a text as a whole."""
         raise NotImplementedError
 
+    def together(self, found: list[str]) -> list[bytes]:
+        """Ids of pieces without inner white space, each with its space before."""
+        return [self.alone(" " + p) for p in found]
+
+    def starts(self, found: list[str]) -> list[bytes]:
+        """Ids of pieces that begin a line or text."""
+        return [self.alone(p) for p in found]
+
     def _learn(self, new: set[str]) -> dict[str, bytes]:
-        """Add pieces to the table; return those that are not to be kept."""
-        raise NotImplementedError
+        """Add pieces to the table; what is not kept there is returned.
+
+        A line break before a word and marks after it are matches of their own in either vocabulary's pattern, so
+        only the word between is new text.
+        """
+        kept, stems, split, plain, lines, rest = self.kept, set(), [], [], [], {}
+        for p in new:
+            word = p.rstrip(CLOSING)
+            if word is not p and len(p) <= KEPT_LENGTH and word.isalpha() and word.lower().isalpha():
+                split.append((p, word))
+                if word not in kept:
+                    stems.add(word)
+            elif len(p) <= KEPT_LENGTH and (p.isalnum() or not _INNER.search(p)):
+                plain.append(p)
+            elif p[0] == "\n" and len(p) <= KEPT_LENGTH and not _INNER.search(p, 1):
+                lines.append(p)
+            else:
+                rest[p] = self.alone(p if p[0] == "\n" else " " + p)
+        plain = [*stems.union(plain)]
+        kept.update(zip(plain, self.together(plain), strict=True))
+        for p, word in split:
+            kept[p] = kept[word] + self._tail(p[len(word) :])
+        if lines:
+            for p, ids in zip(lines, self.starts([p[1:] for p in lines]), strict=True):
+                kept[p] = self._tail("\n") + ids
+        return rest
 
     def _tail(self, text: str) -> bytes:
         if text not in self.tails:
@@ -52,7 +86,7 @@ class Pieces:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text; None counts as empty."""
         kept = self.kept
-        if len(kept) > KEPT_PIECES:
+        if len(kept) > self.limit:
             kept.clear()
             self.tails.clear()
         cut, first, seen = [pieces(t) if t else [""] for t in texts], [], set()
@@ -86,56 +120,39 @@ class PieceEncoder(Pieces):
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        names = self.tokenizer.get_vocab()
+        self.opens = np.zeros(max(names.values(), default=-1) + 1, bool)
+        self.opens[[i for name, i in names.items() if name.startswith("Ġ")]] = True
+        probe = self.tokenizer.encode(" a b", add_special_tokens=False).ids
+        self.keeps_spaces = self.opens[probe].sum() == 2
 
     def alone(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def starts(self, found: list[str]) -> list[bytes]:
+        encoded = self.tokenizer.encode_batch_fast(found, add_special_tokens=False)
+        return [np.array(e.ids, "<u4").tobytes() for e in encoded]
+
     def together(self, found: list[str]) -> list[bytes]:
-        """Ids of pieces without inner white space, each with its space before."""
         out: list[bytes] = []
         for i in range(0, len(found), TOGETHER):
             part = found[i : i + TOGETHER]
             text = " " + " ".join(part)
-            e = self.tokenizer.encode(text, add_special_tokens=False)
-            ids = np.array(e.ids, "<u4")
-            at = np.fromiter((a for a, _ in e.offsets), np.int64, len(ids))
-            ends = np.cumsum(np.fromiter((len(p) + 1 for p in part), np.int64, len(part)))
-            cuts = np.searchsorted(at, ends).tolist()
+            if self.keeps_spaces:  # an id that starts with a space starts a piece
+                ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+                cuts = np.append(np.flatnonzero(self.opens[ids])[1:], len(ids)).tolist()
+            else:
+                e = self.tokenizer.encode(text, add_special_tokens=False)
+                ids = np.array(e.ids, "<u4")
+                at = np.fromiter((a for a, _ in e.offsets), np.int64, len(ids))
+                ends = np.cumsum(np.fromiter((len(p) + 1 for p in part), np.int64, len(part)))
+                cuts = np.searchsorted(at, ends).tolist()
             raw, start = ids.tobytes(), 0
             for stop in cuts:
                 out.append(raw[4 * start : 4 * stop])
                 start = stop
         return out
 
-    def _learn(self, new: set[str]) -> dict[str, bytes]:
-        """Add pieces to the table; what is not kept there is returned.
-
-        A line break before a word and marks after it are matches of their own in either vocabulary's pattern, so
-        only the word between is new text.
-        """
-        kept, stems, split, plain, lines, rest = self.kept, set(), [], [], [], {}
-        for p in new:
-            word = p.rstrip(CLOSING)
-            if word is not p and len(p) <= KEPT_LENGTH and word.isalpha() and word.lower().isalpha():
-                split.append((p, word))
-                if word not in kept:
-                    stems.add(word)
-            elif len(p) <= KEPT_LENGTH and (p.isalnum() or not _INNER.search(p)):
-                plain.append(p)
-            elif p[0] == "\n" and len(p) <= KEPT_LENGTH and not _INNER.search(p, 1):
-                lines.append(p)
-            else:
-                rest[p] = self.alone(p if p[0] == "\n" else " " + p)
-        plain = [*stems.union(plain)]
-        kept.update(zip(plain, self.together(plain), strict=True))
-        for p, word in split:
-            kept[p] = kept[word] + self._tail(p[len(word) :])
-        if lines:
-            starts = self.tokenizer.encode_batch_fast([p[1:] for p in lines], add_special_tokens=False)
-            for p, e in zip(lines, starts, strict=True):
-                kept[p] = self._tail("\n") + np.array(e.ids, "<u4").tobytes()
-        return rest
-
 
 def encoder(path: str) -> PieceEncoder:
     """This worker's encoder for a vocabulary file."""
