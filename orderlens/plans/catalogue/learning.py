@@ -211,44 +211,102 @@ def m12_fold_accuracy(spark, sf):
     )
 
 
-# ---- models: no SQL form, rows only -----------------------------------------------------
+# ---- models: SQL states which rows were counted, trained on, tested and scored --------------
 
 
-@query("m4_clusters")
+@query(
+    "m4_clusters",
+    f"""WITH {O} SELECT user_id, CAST(count(*) FILTER (WHERE tip = 0) AS BIGINT) AS tips_0,
+CAST(count(*) FILTER (WHERE tip = 1) AS BIGINT) AS tips_1, true AS has_cluster FROM o WHERE tip IS NOT NULL GROUP BY user_id""",
+)
 def m4_clusters(spark, sf):
-    return ft.cluster_users(src.orders(spark, sf))
+    orders = src.orders(spark, sf)
+    known = F.col("cluster").between(0, ft.CLUSTERS - 1)
+    counts = ft.tip_counts(orders).select("user_id", *[F.col(c).cast("long").alias(c) for c in ("tips_0", "tips_1")])
+    return counts.join(ft.cluster_users(orders), "user_id", "left").select(
+        "user_id", "tips_0", "tips_1", F.coalesce(known, F.lit(False)).alias("has_cluster")
+    )
+
 
+def _fold_sql(source: str) -> str:
+    """Rows per fold, counted by position in the order of time."""
+    return f"""kn AS (SELECT order_id, row_number() OVER (ORDER BY order_date, order_id) - 1 AS pos, count(*) OVER () AS n
+  FROM {source}),
+b AS (SELECT f, n - ({FOLDS} - f + 1) * (n // {FOLDS + 1}) AS start, n // {FOLDS + 1} AS size
+  FROM (SELECT DISTINCT n FROM kn), generate_series(1, {FOLDS}) g(f))
+SELECT CAST(f AS INTEGER) AS fold, CAST(start AS BIGINT) AS train_orders, CAST(size AS BIGINT) AS test_orders,
+       true AS accuracy_is_share FROM b"""
 
-def _fold_rows(spark, scores: dict[int, float]) -> DataFrame:
-    return spark.createDataFrame(sorted(scores.items()), "fold int, accuracy double")
 
+def _fold_rows(spark, scores: dict[int, float], sizes: dict[int, tuple[int, int]]) -> DataFrame:
+    rows = [(f, *sizes[f], a is not None and 0.0 <= a <= 1.0) for f, a in sorted(scores.items())]
+    return spark.createDataFrame(rows, "fold int, train_orders long, test_orders long, accuracy_is_share boolean")
 
-@query("m13_ar")
+
+@query(
+    "m13_ar",
+    f"""WITH {O}, pl AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY order_date, order_id) AS place
+  FROM o WHERE tip IS NOT NULL), src AS (SELECT * FROM pl WHERE place > 2), {_fold_sql('src')}""",
+)
 def m13_ar(spark, sf):
+    sizes: dict[int, tuple[int, int]] = {}
     scores = md.train_ar_model(
-        src.orders(spark, sf), lags=2, folds=FOLDS, inner_folds=3, strengths=STRENGTHS
+        src.orders(spark, sf), lags=2, folds=FOLDS, inner_folds=3, strengths=STRENGTHS, sizes=sizes
     )
-    return _fold_rows(spark, scores)
+    return _fold_rows(spark, scores, sizes)
 
 
-@query("m14_ar_extended")
+@query("m14_ar_extended", f"WITH {O}, src AS (SELECT * FROM o WHERE tip IS NOT NULL), {_fold_sql('src')}")
 def m14_ar_extended(spark, sf):
     trained = md.train_trend_model(
         src.orders(spark, sf), LAGS, FOLDS, strengths=STRENGTHS, final_inner_folds=3
     )
-    return _fold_rows(spark, trained.fold_accuracy)
+    return _fold_rows(spark, trained.fold_accuracy, trained.fold_sizes)
+
+
+_WITH_LINES = f"""WITH {O}, src AS (SELECT * FROM o WHERE tip IS NOT NULL
+  AND order_id IN (SELECT l_orderkey FROM lineitem)), {_fold_sql('src')}"""
 
 
-@query("m15_final")
+@query("m15_final", _WITH_LINES)
 def m15_final(spark, sf):
     frame = features(spark, sf, ft.cluster_users(src.orders(spark, sf)))
     trained = md.train_final_model(frame, LAGS, FOLDS, strengths=STRENGTHS)
-    return _fold_rows(spark, trained.fold_accuracy)
+    return _fold_rows(spark, trained.fold_accuracy, trained.fold_sizes)
 
 
-@query("m17_score")
+_OPEN = f"WITH {O} SELECT order_id, true AS scored FROM o WHERE tip IS NULL"
+
+
+@query("m17_score", _OPEN)
 def m17_score(spark, sf):
     """Train on labelled orders, score every open order of the prediction set; none may stay open."""
     orders = src.orders(spark, sf)
     trained = md.train_trend_model(orders, LAGS, FOLDS, strengths=[1.0])
-    return md.reject_missing(md.score_trend(orders, trained, LAGS))
+    scored = md.reject_missing(md.score_trend(orders, trained, LAGS))
+    return scored.select("order_id", F.col("tip").isNotNull().alias("scored"))
+
+
+@query("m17_score_final", f"{_OPEN} AND order_id IN (SELECT l_orderkey FROM lineitem)")
+def m17_score_final(spark, sf):
+    """The delivered predictions: the model of all features over the open orders that have lines."""
+    orders, lines = src.orders(spark, sf), src.order_lines(spark, sf)
+    clusters = ft.cluster_users(orders)
+    trained = md.train_final_model(features(spark, sf, clusters), LAGS, FOLDS, strengths=[1.0])
+    scored = md.score_final(orders, lines, clusters, trained, LAGS, organic_word=src.ORGANIC_STAND_IN)
+    known = scored.join(lines.select("order_id").distinct(), "order_id", "left_semi")
+    return md.reject_missing(known).select("order_id", F.col("tip").isNotNull().alias("scored"))
+
+
+@query(
+    "c15_no_missing_prediction",
+    f"""WITH {O}, u AS (SELECT user_id, avg(tip) AS m FROM o GROUP BY 1)
+SELECT order_id, coalesce(m, (SELECT avg(tip) FROM o)) >= 0.5 AS tip FROM o LEFT JOIN u USING (user_id) WHERE o.tip IS NULL""",
+)
+def c15_no_missing_prediction(spark, sf):
+    """Predict from the user's share of tips, else from all users'; a missing prediction fails the job."""
+    orders = src.orders(spark, sf)
+    means = orders.groupBy("user_id").agg(F.avg("tip").alias("m"))
+    overall = orders.agg(F.avg("tip").alias("m")).scalar()
+    wanted = orders.filter(F.col("tip").isNull()).select("order_id", "user_id").join(means, "user_id", "left")
+    return md.reject_missing(wanted.select("order_id", (F.coalesce("m", overall) >= 0.5).alias("tip")))

@@ -785,6 +785,19 @@ def n1_history(spark, sf):
     )
 
 
+@query(
+    "g1_version_history",
+    f"""WITH {PRODUCT_VERSIONS}, most AS (SELECT min(product_id) AS product_id FROM pv WHERE valid_to IS NOT NULL)
+SELECT product_id, scd_id, product_name, valid_from, valid_to FROM pv JOIN most USING (product_id) ORDER BY valid_from""",
+)
+def g1_version_history(spark, sf):
+    """All versions of the first product that changed, oldest first."""
+    history = src.product_versions(spark, sf)
+    first = history.filter(F.col("valid_to").isNotNull()).agg(F.min("product_id")).first()[0]
+    found = quality.version_history(history, "product_id", first)
+    return found.select("product_id", "scd_id", "product_name", "valid_from", "valid_to")
+
+
 @query(
     "n2_sound_history",
     f"""WITH {PRODUCT_VERSIONS}

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
@@ -147,7 +146,7 @@ def fit_logistic(
     inner_folds: int,
     strengths: list[float] | None = None,
     max_iter: int = MAX_ITERATIONS,
-    parallelism: int = 4,
+    parallelism: int = 8,
     size: int | None = None,
 ) -> LogisticRegressionModel:
     """L2 logistic regression; the strength is chosen by inner cross-validation on accuracy.
@@ -192,12 +191,19 @@ class TrainedModel:
     model: LogisticRegressionModel
     matrix: DesignMatrix
     fold_accuracy: dict[int, float]
+    fold_sizes: dict[int, tuple[int, int]] = field(default_factory=dict)
 
     @property
     def mean_accuracy(self) -> float:
         return sum(self.fold_accuracy.values()) / len(self.fold_accuracy)
 
 
+def fold_sizes(rows: DataFrame, folds: int) -> dict[int, tuple[int, int]]:
+    """Rows that each fold trains and tests on."""
+    n = {r["fold"]: r["count"] for r in rows.groupBy("fold").count().collect()}
+    return {f: (sum(n.get(i, 0) for i in range(f)), n.get(f, 0)) for f in range(1, folds + 1)}
+
+
 def train_with_folds(
     frame: DataFrame,
     matrix: DesignMatrix,
@@ -208,7 +214,6 @@ def train_with_folds(
     strengths: list[float] | None = None,
     group_rows: bool = False,
     max_iter: int = MAX_ITERATIONS,
-    fold_workers: int = 4,
 ) -> TrainedModel:
     """Chronological validation, then a fit on all labelled rows.
 
@@ -243,14 +248,13 @@ def train_with_folds(
             inner = final_inner_folds or inner_folds
             return fit_logistic(prepared(known, fitted), inner, strengths, max_iter, size=n), fitted
 
-        # Folds are independent; their many short jobs share the executors.
-        with ThreadPoolExecutor(max_workers=fold_workers) as pool:
-            last = pool.submit(refit)
-            scores = dict(pool.map(validate, range(1, folds + 1)))
-            final, fitted = last.result()
+        # One level of concurrency: folds follow each other, the search within a fold runs in parallel.
+        scores = dict(validate(fold) for fold in range(1, folds + 1))
+        final, fitted = refit()
+        sizes = fold_sizes(rows, folds)
     finally:
         known.unpersist()
-    return TrainedModel(final, fitted, scores)
+    return TrainedModel(final, fitted, scores, sizes)
 
 
 def train_trend_model(orders: DataFrame, lags: int = 4, folds: int = 3, **options) -> TrainedModel:
@@ -291,9 +295,12 @@ def train_ar_model(
     strengths: list[float] | None = None,
     max_iter: int = MAX_ITERATIONS,
     limits: SkewLimits = LIMITS,
+    sizes: dict[int, tuple[int, int]] | None = None,
 ) -> dict[int, float]:
     """Accuracy per fold of the AR(n) model: lags plus one indicator per user.
 
+    ``sizes``, if given, receives the rows each fold trained and tested on.
+
     Users are numbered by a distributed ranking instead of a driver-side label
     list. Users outside the training part fall into the dropped last category
     and so get no indicator. The coefficient vector has one entry per user.
@@ -313,6 +320,8 @@ def train_ar_model(
         n, borders = time_series_folds(complete, "order_date", "order_id", folds)
         rows = with_test_fold(complete, "order_date", "order_id", borders)
         scores: dict[int, float] = {}
+        if sizes is not None:
+            sizes.update(fold_sizes(rows, folds))
         for fold in range(1, folds + 1):
             train, test = rows.filter(F.col("fold") < fold), rows.filter(F.col("fold") == fold)
             users = global_rank(train.select("user_id").distinct(), ["user_id"], "user_index")
