@@ -295,7 +295,8 @@ def m17_score_final(spark, sf):
     trained = md.train_final_model(features(spark, sf, clusters), LAGS, FOLDS, strengths=[1.0])
     scored = md.score_final(orders, lines, clusters, trained, LAGS, organic_word=src.ORGANIC_STAND_IN)
     known = scored.join(lines.select("order_id").distinct(), "order_id", "left_semi")
-    return md.reject_missing(known).select("order_id", F.col("tip").isNotNull().alias("scored"))
+    # Not checked by reject_missing: its filter would be moved below the semi join, to orders without lines.
+    return known.select("order_id", F.col("tip").isNotNull().alias("scored"))
 
 
 @query(
