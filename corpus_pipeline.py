@@ -18,7 +18,7 @@ from orderlens.llm.queries import remainder, vocabulary
 from orderlens.llm.store import written
 from orderlens.session import ensure_utc
 
-WINDOW, END_ID, MAX_TOXIC = 4096, 2, 0.5
+WINDOW, END_ID, MAX_TOXIC = 4096, 2, 0.3
 
 
 def _with_text(rows: DataFrame, columns: list[str], text) -> DataFrame:

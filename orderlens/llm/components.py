@@ -38,4 +38,5 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
         before = state
         edges = written(_small(_large(edges).where("a <> b").distinct()).where("a <> b").distinct(), label)
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("root"))
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionAll(roots).distinct()
+    found = edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionAll(roots).distinct()
+    return written(found, label)

@@ -17,7 +17,7 @@ are those of all links. Sets that are equal are one row from the start, whatever
 Words are runs other than space and \\t \\n \\v \\f \\r with A-Z in lower case; a text of fewer words than a shingle
 has its whole sequence as its only one; without words (or text) a document has an empty set and no links. Shingles
 and sets are known by 64- and 128-bit hashes. Null or repeated ``doc_id``: rows are documents of their own; null
-is never the smallest id of a component that holds another.
+is never the smallest id of a component that holds another. Further columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.llm.bloom import filter_bits, passes
@@ -36,7 +36,7 @@ from orderlens.llm.store import prepare, written
 from orderlens.llm.vectors import parts, total
 from orderlens.llm.words import hashed_words, mix, slices
 
-SKETCH_BITS = 22
+SKETCH_BITS = 23
 LEADERS, ROUNDS = 4, 2
 
 
@@ -65,17 +65,21 @@ def _bound(n: int, percent: int) -> int:
     return -(-n * percent // 100)
 
 
-def _texts(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+def _texts(docs: DataFrame, row: str | None = None) -> DataFrame:
+    number = F.col(row) if row else F.monotonically_increasing_id()
+    return docs.select(
+        number.cast("bigint").alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"),
+        F.col("text").cast("string").alias("text"),
+    )
 
 
-def _profile(docs: DataFrame, size: int) -> DataFrame:
-    """Per document: n, digest. Besides, from each task, parts of its column counts (``part`` is not null)."""
-    names = ["doc_id", "n", "digest", "part", "counts"]
-    schema = pa.schema(zip(names, [pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.binary()], strict=True))
+def _profile(docs: DataFrame, size: int, row: str | None) -> DataFrame:
+    """Per document: row, doc_id, n, digest. Besides, from each task, parts of its column counts (``part`` is not null)."""
+    names = ["row", "doc_id", "n", "digest", "part", "counts"]
+    schema = pa.schema(zip(names, [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.binary()], strict=True))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch = np.zeros(1 << SKETCH_BITS, np.uint32)
+        sketch = np.zeros(1 << SKETCH_BITS, np.uint16)
         seen: set[bytes] = set()
         for whole in batches:
             for batch in slices(whole, "text"):
@@ -90,21 +94,25 @@ def _profile(docs: DataFrame, size: int) -> DataFrame:
                         new.append(s)
                 if new:
                     at, times = np.unique(np.concatenate(new) >> np.uint64(64 - SKETCH_BITS), return_counts=True)
-                    sketch[at.astype(np.int64)] += times.astype(np.uint32)
+                    at = at.astype(np.int64)
+                    sketch[at] = np.minimum(65535, sketch[at] + times)
                 none = pa.nulls(len(n))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), pa.array(n, pa.int32()), pa.array(digest, pa.binary()),
+                    [batch.column("row"), batch.column("doc_id"), pa.array(n, pa.int32()), pa.array(digest, pa.binary()),
                      none.cast(pa.int32()), none.cast(pa.binary())], schema=schema)
         for row in parts(sketch):
             yield pa.RecordBatch.from_pylist([row], schema=schema)
 
-    return _texts(docs).mapInArrow(run, "doc_id bigint, n int, digest binary, part int, counts binary")
+    return _texts(docs, row).mapInArrow(run, "row bigint, doc_id bigint, n int, digest binary, part int, counts binary")
 
 
 def _sketch(profile: DataFrame) -> np.ndarray:
-    """Logarithms of the column counts of all rows, 4 MB whatever the input."""
-    counts = total(profile.where("part IS NOT NULL").select("part", "counts"), 1 << SKETCH_BITS)
-    return np.minimum(255, np.round(2 * np.log2(counts.astype(np.float64) + 1))).astype(np.uint8)
+    """Logarithms of the column counts of all rows, 8 MB whatever the input."""
+
+    def classes(counts: np.ndarray) -> np.ndarray:
+        return np.minimum(255, np.round(2 * np.log2(counts + 1.0))).astype(np.uint8)
+
+    return total(profile.where("part IS NOT NULL").select("part", "counts"), 1 << SKETCH_BITS, classes, np.uint8)
 
 
 def _prefix(s: np.ndarray, sketch: np.ndarray, percent: int) -> np.ndarray:
@@ -138,18 +146,28 @@ def _prefix_columns(docs: DataFrame, size: int, percent: int, sketch) -> DataFra
     return _texts(docs).mapInArrow(run, "col bigint, d bigint")
 
 
+def _shared_columns(docs: DataFrame, size: int, percent: int, sketch) -> DataFrame:
+    columns = _prefix_columns(docs, size, percent, sketch)
+    return columns.groupBy("col").agg(F.min("d").alias("a"), F.max("d").alias("b")).where("a <> b").select("col")
+
+
 def _candidates(docs: DataFrame, size: int, percent: int, sketch, bits) -> DataFrame:
-    """Rows that share a column of their prefix with another: digest, n, those columns, leader keys, the set."""
-    names = ["digest", "n", "cols", "keys", "hashes"]
+    """Rows that share a column of their prefix with another.
+
+    digest, n, p (length of the prefix), cols (its columns that others have too), central (their share in 1/1000),
+    keys (for the leader rounds), text, which is smaller than the set and gives it again.
+    """
+    names = ["digest", "n", "p", "cols", "central", "keys", "text"]
     longs = pa.list_(pa.int64())
-    schema = pa.schema(zip(names, [pa.binary(), pa.int32(), longs, longs, pa.binary()], strict=True))
+    kinds = [pa.binary(), pa.int32(), pa.int32(), longs, pa.int32(), longs, pa.string()]
+    schema = pa.schema(list(zip(names, kinds, strict=True)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, shared, seen = sketch.value, bits.value, set()
         for whole in batches:
             for batch in slices(whole, "text"):
-                rows = []
-                for s in shingle_sets(batch.column("text"), size):
+                rows, texts = [], batch.column("text")
+                for i, s in enumerate(shingle_sets(texts, size)):
                     if not len(s):
                         continue
                     d = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
@@ -157,30 +175,39 @@ def _candidates(docs: DataFrame, size: int, percent: int, sketch, bits) -> DataF
                         continue
                     if len(seen) < 500_000:
                         seen.add(d)
-                    p = _prefix(s, counts, percent)
-                    p = p[passes(shared, p)]
+                    whole_p = _prefix(s, counts, percent)
+                    p = whole_p[passes(shared, whole_p)]
                     if len(p):
+                        # Near copies agree in most of their first columns, and in most minima of a hash.
                         with np.errstate(over="ignore"):
-                            keys = [
-                                int(p[np.argmin(mix(p + np.uint64(7919 * (k + 1))))].view(np.int64))
-                                for k in range(LEADERS * ROUNDS)
-                            ]
-                        rows.append((d, len(s), p.view(np.int64), keys, s.tobytes()))
+                            least = [p[np.argmin(mix(p + np.uint64(7919 * (k + 1))))] for k in range(LEADERS)]
+                        front = [p[min(k, len(p) - 1)] for k in range(LEADERS)]
+                        keys = [int(x.view(np.int64)) for pair in zip(front, least, strict=True) for x in pair]
+                        central = 1000 * len(p) // len(whole_p)
+                        rows.append((d, len(s), len(whole_p), p.view(np.int64), central, keys, texts[i].as_py()))
                 if rows:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema
                     )
 
-    kind = "digest binary, n int, cols array<bigint>, keys array<bigint>, hashes binary"
+    kind = "digest binary, n int, p int, cols array<bigint>, central int, keys array<bigint>, text string"
     return _texts(docs).mapInArrow(run, kind).dropDuplicates(["digest"])
 
 
+def _possible(c: Column, na: str, pa_: str, nb: str, pb: str, percent: int) -> Column:
+    """Whether two rows that share c columns of their prefixes may link: what lies behind a prefix may all be shared."""
+    need = F.ceil((F.col(na) + F.col(nb)) * percent / (100 + percent))
+    sizes = F.least(na, nb).cast("bigint") * 100 >= F.greatest(na, nb).cast("bigint") * percent
+    return sizes & (c + F.greatest(F.col(na) - F.col(pa_), F.col(nb) - F.col(pb)) >= need)
+
+
 def _overlap(a: np.ndarray, b: np.ndarray, percent: int, blocks: int = 8) -> bool:
     """Whether two sets link; overlap is added up block by block of the columns while a link is still possible."""
     need = -(-(len(a) + len(b)) * percent // (100 + percent))
     if min(len(a), len(b)) < need:
         return False
-    cuts = (np.arange(1, blocks, dtype=np.uint64) << np.uint64(61)) if blocks == 8 else np.empty(0, np.uint64)
+    step = (1 << 64) // blocks
+    cuts = np.array([k * step for k in range(1, blocks)], np.uint64)
     ia, ib = (np.concatenate(([0], np.searchsorted(x, cuts), [len(x)])) for x in (a, b))
     shared = 0
     for k in range(blocks):
@@ -193,76 +220,110 @@ def _overlap(a: np.ndarray, b: np.ndarray, percent: int, blocks: int = 8) -> boo
     return 100 * shared >= percent * (len(a) + len(b) - shared)
 
 
-def _verified(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+def _bounded(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """The pairs that the prefixes do not rule out."""
+    side = rows.select("digest", "n", "p", "cols")
+    met = pairs.join(side.alias("x"), F.col("x.digest") == F.col("a")).join(side.alias("y"), F.col("y.digest") == F.col("b"))
+    shared = F.size(F.array_intersect("x.cols", "y.cols"))
+    return met.where(_possible(shared, "x.n", "x.p", "y.n", "y.p", percent)).select("a", "b")
+
+
+def _verified(pairs: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs (a, b) of digests that link."""
     schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x, y = batch.column("x"), batch.column("y")
-            keep = [
-                _overlap(np.frombuffer(x[i].as_buffer(), "<u8"), np.frombuffer(y[i].as_buffer(), "<u8"), percent)
-                for i in range(batch.num_rows)
-            ]
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], schema=schema).filter(pa.array(keep, pa.bool_()))
-
-    sets = rows.select("digest", "n", "hashes")
-    left = pairs.join(sets.select(F.col("digest").alias("b"), F.col("n").alias("m"), F.col("hashes").alias("y")), "b")
-    both = left.join(sets.select(F.col("digest").alias("a"), "n", F.col("hashes").alias("x")), "a").where(
-        (F.least("n", "m").cast("bigint") * 100 >= F.greatest("n", "m").cast("bigint") * percent)
+        for whole in batches:
+            for batch in slices(whole, "y", 4 << 20):
+                texts = dict(zip(batch.column("a").to_pylist(), batch.column("x").to_pylist(), strict=True))
+                texts |= zip(batch.column("b").to_pylist(), batch.column("y").to_pylist(), strict=True)
+                sets = dict(zip(texts, shingle_sets(pa.array(texts.values(), pa.string()), size), strict=True))
+                a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
+                keep = [_overlap(sets[i], sets[j], percent) for i, j in zip(a, b, strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], schema=schema).filter(
+                    pa.array(keep, pa.bool_())
+                )
+
+    # Both joins read one exchange of the texts; only the second sides' texts travel once more.
+    texts = rows.select("digest", "text")
+    firsts = texts.alias("l").join(pairs.select("a").distinct(), F.col("l.digest") == F.col("a"), "left_semi")
+    left = pairs.join(texts.alias("s"), F.col("s.digest") == F.col("b")).select(
+        F.col("a").alias("lead"), "b", F.col("s.text").alias("y")
     )
-    return both.select("a", "b", "x", "y").mapInArrow(run, "a binary, b binary")
+    both = left.join(firsts.alias("l"), F.col("l.digest") == F.col("lead")).select(
+        F.col("lead").alias("a"), "b", F.col("l.text").alias("x"), "y"
+    )
+    return both.mapInArrow(run, "a binary, b binary")
+
+
+def _leader_pairs(rows: DataFrame, root: DataFrame, number: int) -> DataFrame:
+    """For each row at most one pair: with the best leader of its columns of this round, where roots differ.
+
+    The leader of a column is the row with the largest share of columns that others have: the one that copies
+    were made from rather than one of its copies, which differ from each other more than from it.
+    """
+    keyed = rows.select("digest", "central", F.explode(F.slice("keys", number * LEADERS + 1, LEADERS)).alias("k"))
+    named = keyed.join(root, keyed["digest"] == root["node"], "left").select(
+        "digest", "central", "k", F.coalesce("root", "digest").alias("root")
+    )
+    best = F.max(F.struct("central", F.col("digest").alias("a"))).alias("best")
+    lead = named.groupBy("k").agg(best, F.min("root").alias("lo"), F.max("root").alias("hi"))
+    met = named.join(lead.where("lo <> hi"), "k").where("digest <> best.a")
+    return met.groupBy(F.col("digest").alias("b")).agg(F.max("best")["a"].alias("a")).select("a", "b")
+
 
+def linked_documents(docs: DataFrame, size: int = 5, percent: int = 75, row: str | None = None) -> DataFrame:
+    """doc_id, n_shingles, component_id (smallest doc_id reachable by links, itself included), row, kept.
 
-def linked_documents(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id reachable by links, itself included)."""
+    row: a column that numbers the rows, passed on; ``kept`` marks one row of each component, that of the smallest
+    doc_id (and then row).
+    """
     spark = docs.sparkSession
     prepare(spark)
-    profile = written(_profile(docs, size), "jaccard-profile")
-    own = profile.where("part IS NULL").select("doc_id", "n", "digest")
+    profile = written(_profile(docs, size, row), "jaccard-profile")
+    own = profile.where("part IS NULL").select("row", "doc_id", "n", "digest")
     sketch = spark.sparkContext.broadcast(_sketch(profile))
-    columns = _prefix_columns(docs, size, percent, sketch).groupBy("col").agg(F.min("d").alias("a"), F.max("d").alias("b"))
-    shared = columns.where("a <> b").select("col")
-    bits = spark.sparkContext.broadcast(filter_bits(shared, "col"))
+    bits = spark.sparkContext.broadcast(filter_bits(_shared_columns(docs, size, percent, sketch), "col"))
     rows = written(_candidates(docs, size, percent, sketch, bits), "jaccard-rows")
 
-    none = spark.createDataFrame([], "node binary, root binary")
-    root, links = none, spark.createDataFrame([], "a binary, b binary")
+    root = spark.createDataFrame([], "node binary, root binary")
+    links = spark.createDataFrame([], "a binary, b binary")
     for number in range(ROUNDS):
-        keyed = rows.select("digest", F.explode(F.slice("keys", number * LEADERS + 1, LEADERS)).alias("k"))
-        named = keyed.join(root, keyed["digest"] == root["node"], "left").select(
-            "digest", "k", F.coalesce("root", "digest").alias("root")
-        )
-        lead = named.groupBy("k").agg(F.min("digest").alias("a"), F.min("root").alias("lo"), F.max("root").alias("hi"))
-        pairs = named.join(lead.where("lo <> hi"), "k").where("digest <> a").select("a", F.col("digest").alias("b")).distinct()
-        links = written(links.unionAll(_verified(pairs, rows, percent)), "jaccard-links")
-        root = written(components(links), "jaccard-roots")
+        pairs = written(_bounded(_leader_pairs(rows, root, number), rows, percent), "jaccard-pairs")
+        links = written(links.unionAll(_verified(pairs, rows, size, percent)), "jaccard-links")
+        # Between rounds a row's leader will do for its root; before all pairs roots must be final.
+        one_step = links.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("root"))
+        root = one_step if number + 1 < ROUNDS else components(links, "jaccard-roots")
     held = rows.join(root, rows["digest"] == root["node"], "left").select(
-        "digest", "n", F.coalesce("root", "digest").alias("root"), F.explode("cols").alias("col")
+        "digest", "n", "p", F.coalesce("root", "digest").alias("root"), F.explode("cols").alias("col")
     )
     mixed = held.groupBy("col").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("col")
     open_ = written(held.join(mixed, "col"), "jaccard-open")
-    x = open_.select("col", F.col("digest").alias("a"), F.col("root").alias("ra"), F.col("n").alias("na"))
-    y = open_.select("col", F.col("digest").alias("b"), F.col("root").alias("rb"), F.col("n").alias("nb"))
+    x, y = (open_.select("col", *[F.col(c).alias(c + k) for c in ("digest", "root", "n", "p")]) for k in "ab")
+    # The product itself: shared columns of two prefixes are counted, and pairs below the bound dropped.
     across = (
         x.join(y, "col")
-        .where((F.col("ra") != F.col("rb")) & (F.col("a") < F.col("b")))
+        .where((F.col("roota") != F.col("rootb")) & (F.col("digesta") < F.col("digestb")))
         .where(F.least("na", "nb").cast("bigint") * 100 >= F.greatest("na", "nb").cast("bigint") * percent)
+        .groupBy(F.col("digesta").alias("a"), F.col("digestb").alias("b"), "na", "pa", "nb", "pb")
+        .agg(F.count("*").alias("c"))
+        .where(_possible(F.col("c"), "na", "pa", "nb", "pb", percent))
         .select("a", "b")
-        .distinct()
     )
-    more = written(_verified(across, rows, percent), "jaccard-last")
+    more = written(_verified(written(across, "jaccard-across"), rows, size, percent), "jaccard-last")
     if more.limit(1).count():
-        root = written(components(links.unionAll(more)), "jaccard-roots")
+        root = components(links.unionAll(more), "jaccard-roots")
 
-    classes = own.groupBy("digest").agg(F.min("doc_id").alias("least"))
+    # Null ids come last, so a component has a null id only if it has no other.
+    first = F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "row")
+    classes = own.where("n > 0").groupBy("digest").agg(F.min(first).alias("least"))
     merged = classes.join(root, classes["digest"] == root["node"], "left").select(
         "digest", "least", F.coalesce("root", "digest").alias("root")
     )
-    least = merged.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = merged.join(least, "root").select("digest", "component_id")
-    out = own.join(named, "digest").select(
+    least = merged.groupBy("root").agg(F.min("least").alias("first"))
+    named = merged.join(least, "root").select("digest", "first")
+    return own.join(named, "digest", "left").select(
         "doc_id", F.col("n").cast("bigint").alias("n_shingles"),
-        F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.coalesce("component_id", "doc_id")).alias("component_id"),
+        F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("component_id"),
+        "row", ((F.col("n") == 0) | (F.col("first.row") == F.col("row"))).alias("kept"),
     )
-    return out

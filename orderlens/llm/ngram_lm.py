@@ -29,7 +29,7 @@ from orderlens.llm.store import fresh, mapped, prepare, put, written
 from orderlens.llm.words import hashed_words, slices
 
 END = np.uint64(0x0123456789ABCDEF)
-WORDS_PER_SHARD, PAIRS_PER_BLOCK, HELD = 1 << 18, 1 << 20, 1 << 21
+WORDS_PER_SHARD, PAIRS_PER_BLOCK, HELD = 1 << 15, 1 << 20, 1 << 21
 _OPENED: dict[str, np.ndarray] = {}
 
 

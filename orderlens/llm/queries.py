@@ -95,6 +95,11 @@ def op2_chat_formatting(spark, sf_dir):
     )
 
 
+def _keyed(rows: DataFrame, key: str, to: tuple[str, str] = ("id0", "nul")) -> DataFrame:
+    """The key in two columns without nulls, so that joins and groups on it share one partitioning."""
+    return rows.withColumns({to[0]: F.coalesce(key, F.lit(0).cast("bigint")), to[1]: F.col(key).isNull()})
+
+
 def with_edited(docs: DataFrame) -> DataFrame:
     """Each row of (doc_id, text) with ``edited``: its second half replaced by the start of the next document.
 
@@ -108,18 +113,16 @@ def with_edited(docs: DataFrame) -> DataFrame:
     )
     n = F.length("text")
     halves = rows.select("doc_id", F.floor(n / 2).alias("half"))
-    links = neighbours(halves, "doc_id", "half").select(
-        F.col("doc_id").alias("id"), "before_key", F.col("before_carried").alias("most")
+    links = _keyed(neighbours(halves, "doc_id", "half"), "doc_id").drop("doc_id")
+    rows = _keyed(rows, "doc_id")
+    lent = rows.join(links, ["id0", "nul"]).select(
+        "before_key", F.substring("text", F.lit(1), F.col("before_carried").cast("int")).alias("lent"), F.col("doc_id").alias("next_id")
     )
-    lent = rows.join(links, F.col("doc_id").eqNullSafe(F.col("id"))).select(
-        F.col("before_key").alias("slot"), F.substring("text", F.lit(1), F.col("most").cast("int")).alias("lent"),
-        F.col("doc_id").alias("next_id"), "text",
-    )
-    lent = lent.groupBy("slot").agg(F.min(F.struct("lent", "next_id")).alias("l")).select("slot", "l.*")
-    both = rows.join(lent, F.col("doc_id").eqNullSafe(F.col("slot")))
+    lent = _keyed(lent, "before_key").groupBy("id0", "nul").agg(F.min(F.struct("lent", "next_id")).alias("l"))
+    both = rows.join(lent.select("id0", "nul", "l.*"), ["id0", "nul"])
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - half), F.substring("lent", F.lit(1), half))
-    return both.select("doc_id", "text", n.cast("bigint").alias("n_chars"), edited.alias("edited"), "next_id")
+    return both.select("id0", "nul", "doc_id", "text", n.cast("bigint").alias("n_chars"), edited.alias("edited"), "next_id")
 
 
 @query("op6_simhash")
@@ -128,17 +131,16 @@ def op6_simhash(spark, sf_dir):
     from orderlens.llm.store import written
 
     docs = with_edited(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    keyed = docs.select("doc_id", "next_id", "n_chars", F.monotonically_increasing_id().alias("row"), "text", "edited")
-    both = keyed.select(
-        "doc_id", "next_id", "n_chars", "row", F.sha2("edited", 256).alias("edited_sha256"),
-        F.explode(F.array(F.struct(F.lit(False).alias("e"), F.col("text").alias("t")), F.struct(F.lit(True).alias("e"), F.col("edited").alias("t")))).alias("x"),
-    ).select("doc_id", "next_id", "n_chars", "row", "edited_sha256", F.col("x.e").alias("e"), F.col("x.t").alias("text"))
-    prints = fingerprints(both, ["doc_id", "next_id", "n_chars", "row", "edited_sha256", "e"])
-    own = (
-        prints.groupBy("doc_id", "next_id", "n_chars", "row", "edited_sha256")
-        .agg(F.max(F.when(~F.col("e"), F.col("bits"))).alias("bits"), F.max(F.when(F.col("e"), F.col("bits"))).alias("ebits"))
-    )
-    own = written(own, "simhash")
+    names = ["id0", "nul", "doc_id", "next_id", "n_chars", "row", "sha"]
+    numbered = docs.withColumns({"row": F.monotonically_increasing_id(), "sha": F.unhex(F.sha2("edited", 256))})
+    each = F.array(*[F.struct(F.lit(e).alias("e"), F.col(c).alias("t")) for e, c in ((False, "text"), (True, "edited"))])
+    both = numbered.select(*names, F.explode(each).alias("x")).select(*names, F.col("x.e").alias("e"), F.col("x.t").alias("text"))
+    # All groups contain the key that the join has dealt the rows by: nothing is shuffled from here on.
+    prints = fingerprints(both, [*names, "e"])
+    own = prints.groupBy(*names).agg(
+        F.max(F.when(~F.col("e"), F.col("bits"))).alias("bits"), F.max(F.when(F.col("e"), F.col("bits"))).alias("ebits")
+    )
+    own = written(own.withColumn("edited_sha256", F.lower(F.hex("sha"))), "simhash")
     following = own.groupBy(F.col("doc_id").alias("id")).agg(F.min("bits").alias("next_bits"))
     return own.join(following, F.col("next_id").eqNullSafe(F.col("id"))).select(
         "doc_id", "n_chars", "edited_sha256",

@@ -7,6 +7,7 @@ files of the attempts that counted, so what a lost or repeated attempt left behi
 
 from __future__ import annotations
 
+import gc
 import os
 import uuid
 
@@ -35,10 +36,18 @@ def fresh(spark: SparkSession, label: str) -> str:
 
 def written(df: DataFrame, label: str) -> DataFrame:
     """The same rows, written once and re-read."""
-    spark = df.sparkSession
+    spark, schema = df.sparkSession, df.schema
     path = fresh(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    del df
+    release(spark)
+    return spark.read.schema(schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that nothing refers to any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def _open(address: str):

@@ -69,7 +69,7 @@ def _present(column: pa.Array, table: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return key // SIZE, key % SIZE
 
 
-def train(docs: list[np.ndarray], positive: np.ndarray, n: int, prior: float, seed: int, epochs: int = 40):
+def train(docs: list[np.ndarray], positive: np.ndarray, n: int, prior: float, seed: int, least_steps: int = 1500):
     """A logistic model under the non-negative risk. docs: feature numbers of each text. Weights and intercept."""
     rng = np.random.default_rng(seed)
     pos, unl = np.flatnonzero(positive), np.flatnonzero(~positive)
@@ -78,6 +78,7 @@ def train(docs: list[np.ndarray], positive: np.ndarray, n: int, prior: float, se
     m, v, t = np.zeros(n + 1), np.zeros(n + 1), 0
     sizes = np.array([len(d) for d in docs])
     steps = max(1, len(unl) // 512)
+    epochs = max(20, -(-least_steps // steps))
 
     def part(rows: np.ndarray):
         idx = np.concatenate([docs[i] for i in rows]) if len(rows) else np.empty(0, np.int64)
@@ -146,7 +147,8 @@ def fit(
     pos_rows = known.where("toxic = 1").select("doc_id").distinct().orderBy(order, "doc_id").limit(positives).collect()
     pos = np.sort(np.array([r[0] for r in pos_rows], np.int64))
     ids = docs.where(learnable & F.col("doc_id").isNotNull()).select("doc_id")
-    share = min(1.0, unlabelled / max(1, ids.count()))
+    n_ids = ids.count()
+    share = min(1.0, unlabelled / max(1, n_ids))
     line = int(share * (1 << 63))
 
     rows = docs.where(learnable).select("doc_id", F.col("text").cast("string").alias("text"), F.shiftrightunsigned(order, 1).alias("o"))
@@ -178,7 +180,7 @@ def fit(
     learn = rows.where("doc_id IS NOT NULL")
     df = total(learn.mapInArrow(count, "part int, counts binary"), 2 * SIZE).astype(np.float64)
     in_pos, in_unl = df[:SIZE], df[SIZE:]
-    n_pos, n_unl = max(1.0, float(len(pos))), max(1.0, share * counts_of(ids))
+    n_pos, n_unl = max(1.0, float(len(pos))), max(1.0, share * n_ids)
     both = (in_pos + in_unl + 1) / (n_pos + n_unl + 2)
     gap = (in_pos / n_pos - in_unl / n_unl) / np.sqrt(both * (1 - np.minimum(both, 0.999)) * (1 / n_pos + 1 / n_unl))
     gap[in_pos + in_unl < 3] = 0
@@ -215,10 +217,6 @@ def fit(
     return Model(table, np.array([w for w, _ in fits]), np.array([b for _, b in fits]), prior)
 
 
-def counts_of(ids: DataFrame) -> int:
-    return ids.count()
-
-
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The input's columns and ``score``."""
     prepare(docs.sparkSession)

@@ -6,6 +6,7 @@ no group grows with the number of tasks beyond its share, and the driver gets on
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from orderlens.llm.store import written
+
 PART = 1 << 16
 _SCHEMA = pa.schema([("part", pa.int32()), ("salt", pa.int32()), ("counts", pa.binary())])
 
@@ -22,27 +25,28 @@ def parts(vector: np.ndarray) -> Iterator[dict]:
     for i in range(0, len(vector), PART):
         some = np.minimum(vector[i : i + PART], 65535).astype("<u2")
         if some.any():
-            yield {"part": i // PART, "counts": some.tobytes()}
+            yield {"part": i // PART, "counts": zlib.compress(some.tobytes(), 1)}
 
 
 def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total, key = np.zeros(PART, np.uint64), {}
     for batch in batches:
         for row in batch.to_pylist():
-            key, raw = row, row["counts"]
+            key, raw = row, zlib.decompress(row["counts"])
             wide = len(raw) > 2 * PART
             values = np.frombuffer(raw, "<u8" if wide else "<u2").astype(np.uint64)
             total[: len(values)] += values
     if key:
-        yield pa.RecordBatch.from_pylist([key | {"counts": total.astype("<u8").tobytes()}], schema=_SCHEMA)
+        yield pa.RecordBatch.from_pylist([key | {"counts": zlib.compress(total.astype("<u8").tobytes(), 1)}], schema=_SCHEMA)
 
 
-def total(rows: DataFrame, length: int) -> np.ndarray:
-    """The sum of all vectors; rows: part, counts."""
-    kind, salt = "part int, salt int, counts binary", F.pmod(F.xxhash64("counts"), F.lit(64)).cast("int")
+def total(rows: DataFrame, length: int, form=None, kind=np.uint64) -> np.ndarray:
+    """The sum of all vectors; rows: part, counts. ``form`` is applied to each part of the sum."""
+    schema, salt = "part int, salt int, counts binary", F.pmod(F.xxhash64("counts"), F.lit(64)).cast("int")
     salted = rows.select("part", salt.alias("salt"), "counts")
-    summed = salted.groupBy("part", "salt").applyInArrow(_add, kind).groupBy("part").applyInArrow(_add, kind)
-    out = np.zeros(-(-length // PART) * PART, np.uint64)
-    for row in summed.collect():  # length / 65,536 rows
-        out[row["part"] * PART : (row["part"] + 1) * PART] = np.frombuffer(bytes(row["counts"]), "<u8")
+    summed = salted.groupBy("part", "salt").applyInArrow(_add, schema).groupBy("part").applyInArrow(_add, schema)
+    out = np.zeros(-(-length // PART) * PART, kind)
+    for row in written(summed, "vectors").collect():  # length / 65,536 rows
+        part = np.frombuffer(zlib.decompress(bytes(row["counts"])), "<u8")
+        out[row["part"] * PART : (row["part"] + 1) * PART] = form(part) if form else part
     return out[:length]
