@@ -11,7 +11,8 @@ up over blocks of columns, and a pair is dropped once the columns left cannot re
 Links are wanted up to connectivity, so a group of g near copies must not become g * g pairs. Rounds of few
 columns (the smallest hashes of a row's shared columns, as in MinHash) link each row to one leader per column;
 verified links are merged. Then all shared columns whose rows still belong to different components give all
-pairs across components, and these are verified. A pair within one component changes nothing; so the components
+pairs across components, and these are verified; of the smaller row only the first part of its prefix takes part,
+``n - ceil(2 t n / (1 + t)) + 1`` columns, which is enough for a link to a row that is not smaller. A pair within one component changes nothing; so the components
 are those of all links. Sets that are equal are one row from the start, whatever the number of documents.
 
 Words are runs other than space and \\t \\n \\v \\f \\r with A-Z in lower case; a text of fewer words than a shingle
@@ -154,12 +155,13 @@ def _shared_columns(docs: DataFrame, size: int, percent: int, sketch) -> DataFra
 def _candidates(docs: DataFrame, size: int, percent: int, sketch, bits) -> DataFrame:
     """Rows that share a column of their prefix with another.
 
-    digest, n, p (length of the prefix), cols (its columns that others have too), central (their share in 1/1000),
+    digest, n, p and q (lengths of the prefix and of its first part), cols (its columns that others have too), front
+    (how many of them lie in the first part), central (their share in 1/1000),
     keys (for the leader rounds), text, which is smaller than the set and gives it again.
     """
-    names = ["digest", "n", "p", "cols", "central", "keys", "text"]
+    names = ["digest", "n", "p", "q", "cols", "front", "central", "keys", "text"]
     longs = pa.list_(pa.int64())
-    kinds = [pa.binary(), pa.int32(), pa.int32(), longs, pa.int32(), longs, pa.string()]
+    kinds = [pa.binary(), *[pa.int32()] * 3, longs, pa.int32(), pa.int32(), longs, pa.string()]
     schema = pa.schema(list(zip(names, kinds, strict=True)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,21 +178,23 @@ def _candidates(docs: DataFrame, size: int, percent: int, sketch, bits) -> DataF
                     if len(seen) < 500_000:
                         seen.add(d)
                     whole_p = _prefix(s, counts, percent)
-                    p = whole_p[passes(shared, whole_p)]
+                    ok = passes(shared, whole_p)
+                    p, q = whole_p[ok], len(s) - -(-2 * percent * len(s) // (100 + percent)) + 1
                     if len(p):
                         # Near copies agree in most of their first columns, and in most minima of a hash.
                         with np.errstate(over="ignore"):
                             least = [p[np.argmin(mix(p + np.uint64(7919 * (k + 1))))] for k in range(LEADERS)]
-                        front = [p[min(k, len(p) - 1)] for k in range(LEADERS)]
-                        keys = [int(x.view(np.int64)) for pair in zip(front, least, strict=True) for x in pair]
+                        rare = [p[min(k, len(p) - 1)] for k in range(LEADERS)]
+                        keys = [int(x.view(np.int64)) for pair in zip(rare, least, strict=True) for x in pair]
                         central = 1000 * len(p) // len(whole_p)
-                        rows.append((d, len(s), len(whole_p), p.view(np.int64), central, keys, texts[i].as_py()))
+                        front = int(np.count_nonzero(ok[:q]))
+                        rows.append((d, len(s), len(whole_p), q, p.view(np.int64), front, central, keys, texts[i].as_py()))
                 if rows:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema
                     )
 
-    kind = "digest binary, n int, p int, cols array<bigint>, central int, keys array<bigint>, text string"
+    kind = "digest binary, n int, p int, q int, cols array<bigint>, front int, central int, keys array<bigint>, text string"
     return _texts(docs).mapInArrow(run, kind).dropDuplicates(["digest"])
 
 
@@ -295,21 +299,26 @@ def linked_documents(docs: DataFrame, size: int = 5, percent: int = 75, row: str
         one_step = links.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("root"))
         root = one_step if number + 1 < ROUNDS else components(links, "jaccard-roots")
     held = rows.join(root, rows["digest"] == root["node"], "left").select(
-        "digest", "n", "p", F.coalesce("root", "digest").alias("root"), F.explode("cols").alias("col")
-    )
+        F.struct("n", "central", "digest").alias("rank"), "p", "q", F.coalesce("root", "digest").alias("root"),
+        F.posexplode("cols").alias("i", "col"), "front",
+    )
     mixed = held.groupBy("col").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("col")
     open_ = written(held.join(mixed, "col"), "jaccard-open")
-    x, y = (open_.select("col", *[F.col(c).alias(c + k) for c in ("digest", "root", "n", "p")]) for k in "ab")
-    # The product itself: shared columns of two prefixes are counted, and pairs below the bound dropped.
+    # The product itself: the first part of the smaller row's prefix against the prefix of the larger. The first
+    # column that a linked pair shares lies in both. Shared columns are counted, pairs below the bound dropped.
+    x = open_.where("i < front").select("col", *[F.col(c).alias(f"{c}a") for c in ("rank", "root", "q")])
+    y = open_.select("col", *[F.col(c).alias(f"{c}b") for c in ("rank", "root", "p")])
     across = (
         x.join(y, "col")
-        .where((F.col("roota") != F.col("rootb")) & (F.col("digesta") < F.col("digestb")))
-        .where(F.least("na", "nb").cast("bigint") * 100 >= F.greatest("na", "nb").cast("bigint") * percent)
-        .groupBy(F.col("digesta").alias("a"), F.col("digestb").alias("b"), "na", "pa", "nb", "pb")
+        .where((F.col("roota") != F.col("rootb")) & (F.col("ranka") < F.col("rankb")))
+        .where(F.col("ranka.n").cast("bigint") * 100 >= F.col("rankb.n").cast("bigint") * percent)
+        .groupBy("ranka", "rankb", "qa", "pb")
         .agg(F.count("*").alias("c"))
-        .where(_possible(F.col("c"), "na", "pa", "nb", "pb", percent))
+        .select(F.col("ranka.digest").alias("a"), F.col("rankb.digest").alias("b"), F.col("ranka.n").alias("na"),
+                F.col("rankb.n").alias("nb"), "qa", "pb", "c")
+        .where(_possible(F.col("c"), "na", "qa", "nb", "pb", percent))
         .select("a", "b")
-    )
+    )
     more = written(_verified(written(across, "jaccard-across"), rows, size, percent), "jaccard-last")
     if more.limit(1).count():
         root = components(links.unionAll(more), "jaccard-roots")
