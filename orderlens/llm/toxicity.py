@@ -113,6 +113,20 @@ def train(docs: list[np.ndarray], positive: np.ndarray, n: int, prior: float, se
     return w[:n], w[n]
 
 
+def calibrated(docs: list[np.ndarray], positive: np.ndarray, prior: float, w: np.ndarray, b: float):
+    """The model, its intercept lowered where scores of unlabelled texts average above 1.5 times the class prior.
+
+    With few positives the weights may separate them from everything and leave the intercept anywhere.
+    """
+    z = np.array([w[d].sum() for d, p in zip(docs, positive, strict=True) if not p])
+    low, high = -60.0, 60.0
+    for _ in range(60):
+        at = (low + high) / 2
+        over = (1 / (1 + np.exp(-np.clip(z + at, -30, 30)))).mean() > 1.5 * prior
+        low, high = (low, at) if over else (at, high)
+    return w, min(b, low)
+
+
 class Model:
     """``weights``: one row per classifier over the chosen features; ``table``: feature to its place, or -1."""
 
@@ -213,7 +227,7 @@ def fit(
             positive.append(side)
     order_ = sorted(range(len(texts)), key=lambda i: (positive[i], texts[i].tobytes()))
     texts, positive = [texts[i] for i in order_], np.array([positive[i] for i in order_], bool)
-    fits = [train(texts, positive, len(best), prior, seed) for seed in range(classifiers)] if positive.any() and (~positive).any() else []
+    fits = [calibrated(texts, positive, prior, *train(texts, positive, len(best), prior, seed)) for seed in range(classifiers)] if positive.any() and (~positive).any() else []
     return Model(table, np.array([w for w, _ in fits]), np.array([b for _, b in fits]), prior)
 
 
