@@ -63,9 +63,9 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         return np.empty(0, np.uint64)
     with np.errstate(over="ignore"):
         sums = np.zeros(len(data) + 1, np.uint64)
-        values = _TABLE[data]
-        values *= powers(len(data))
-        np.cumsum(values, out=sums[1:])
+        np.take(_TABLE, data, out=sums[1:])
+        sums[1:] *= powers(len(data))
+        np.cumsum(sums, out=sums)
         found = (sums[ends] - sums[starts]) * powers(len(data), _INVERSE)[starts]
         return mix(found + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
@@ -86,7 +86,7 @@ def hashed_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return span_hashes(data, begin, end), np.searchsorted(begin, starts)
 
 
-def slices(batch: pa.RecordBatch, column: str, size: int = 8 << 20):
+def slices(batch: pa.RecordBatch, column: str, size: int = 3 << 20):
     """Cut a batch into runs of rows with about ``size`` bytes of text; one longer text stands alone."""
     lengths = batch.column(column)
     n = batch.num_rows
