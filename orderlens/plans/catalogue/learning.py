@@ -16,8 +16,6 @@ from orderlens.plans.catalogue.warehouse import HOLIDAYS_SQL
 from orderlens.sources import stand_ins as src
 
 FOLDS = 3
-# Three of the ten inverse strengths keep the registered training runs short; callers get all ten.
-STRENGTHS = [1e-2, 1.0, 1e2]
 
 
 def features(spark, sf, clusters: DataFrame | None = None) -> DataFrame:
@@ -250,17 +248,13 @@ def _fold_rows(spark, scores: dict[int, float], sizes: dict[int, tuple[int, int]
 )
 def m13_ar(spark, sf):
     sizes: dict[int, tuple[int, int]] = {}
-    scores = md.train_ar_model(
-        src.orders(spark, sf), lags=2, folds=FOLDS, inner_folds=3, strengths=STRENGTHS, sizes=sizes
-    )
+    scores = md.train_ar_model(src.orders(spark, sf), lags=2, folds=FOLDS, sizes=sizes)
     return _fold_rows(spark, scores, sizes)
 
 
 @query("m14_ar_extended", f"WITH {O}, src AS (SELECT * FROM o WHERE tip IS NOT NULL), {_fold_sql('src')}")
 def m14_ar_extended(spark, sf):
-    trained = md.train_trend_model(
-        src.orders(spark, sf), LAGS, FOLDS, strengths=STRENGTHS, final_inner_folds=3
-    )
+    trained = md.train_trend_model(src.orders(spark, sf), LAGS, FOLDS)
     return _fold_rows(spark, trained.fold_accuracy, trained.fold_sizes)
 
 
@@ -271,7 +265,7 @@ _WITH_LINES = f"""WITH {O}, src AS (SELECT * FROM o WHERE tip IS NOT NULL
 @query("m15_final", _WITH_LINES)
 def m15_final(spark, sf):
     frame = features(spark, sf, ft.cluster_users(src.orders(spark, sf)))
-    trained = md.train_final_model(frame, LAGS, FOLDS, strengths=STRENGTHS)
+    trained = md.train_final_model(frame, LAGS, FOLDS)
     return _fold_rows(spark, trained.fold_accuracy, trained.fold_sizes)
 
 
@@ -280,19 +274,22 @@ _OPEN = f"WITH {O} SELECT order_id, true AS scored FROM o WHERE tip IS NULL"
 
 @query("m17_score", _OPEN)
 def m17_score(spark, sf):
-    """Train on labelled orders, score every open order of the prediction set; none may stay open."""
+    """Train on labelled orders, score every open order of the prediction set; none may stay open.
+
+    The strength is selected as in m14, whose folds judge the model.
+    """
     orders = src.orders(spark, sf)
-    trained = md.train_trend_model(orders, LAGS, FOLDS, strengths=[1.0])
+    trained = md.train_trend_model(orders, LAGS, folds=0)
     scored = md.reject_missing(md.score_trend(orders, trained, LAGS))
     return scored.select("order_id", F.col("tip").isNotNull().alias("scored"))
 
 
 @query("m17_score_final", f"{_OPEN} AND order_id IN (SELECT l_orderkey FROM lineitem)")
 def m17_score_final(spark, sf):
-    """The delivered predictions: the model of all features over the open orders that have lines."""
+    """The delivered predictions: the model of all features, selected as in m15, over the open orders with lines."""
     orders, lines = src.orders(spark, sf), src.order_lines(spark, sf)
     clusters = ft.cluster_users(orders)
-    trained = md.train_final_model(features(spark, sf, clusters), LAGS, FOLDS, strengths=[1.0])
+    trained = md.train_final_model(features(spark, sf, clusters), LAGS, folds=0)
     scored = md.score_final(orders, lines, clusters, trained, LAGS, organic_word=src.ORGANIC_STAND_IN)
     known = scored.join(lines.select("order_id").distinct(), "order_id", "left_semi")
     # Not checked by reject_missing: its filter would be moved below the semi join, to orders without lines.

@@ -218,12 +218,12 @@ def train_with_folds(
     """Chronological validation, then a fit on all labelled rows.
 
     The frame is cached once; fold membership is a comparison with at most
-    ``folds`` border rows and costs no shuffle.
+    ``folds`` border rows and costs no shuffle. No folds: only the fit on all rows.
     """
     known = frame.filter(F.col("tip").isNotNull()).select("order_id", "order_date", "tip", *inputs)
     known = known.persist()
     try:
-        n, borders = time_series_folds(known, "order_date", "order_id", folds)
+        n, borders = time_series_folds(known, "order_date", "order_id", folds) if folds else (known.count(), [])
         rows = with_test_fold(known, "order_date", "order_id", borders)
 
         def prepared(part: DataFrame, fitted: DesignMatrix) -> DataFrame:
@@ -251,7 +251,7 @@ def train_with_folds(
         # One level of concurrency: folds follow each other, the search within a fold runs in parallel.
         scores = dict(validate(fold) for fold in range(1, folds + 1))
         final, fitted = refit()
-        sizes = fold_sizes(rows, folds)
+        sizes = fold_sizes(rows, folds) if folds else {}
     finally:
         known.unpersist()
     return TrainedModel(final, fitted, scores, sizes)

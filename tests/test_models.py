@@ -19,6 +19,7 @@ from orderlens.operators.series import (
 from orderlens.operators.skew import SkewLimits
 from orderlens.plans import features as ft
 from orderlens.plans import models as md
+from orderlens.plans.catalogue import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -193,3 +194,26 @@ def test_checks_and_readiness(spark):
     assert rows(ready) == [("absent", False, False), ("empty", True, False), ("full", True, True)]
     assert quality.preview(spark.range(20), ["id"]).count() == 8
     assert quality.preview(spark.range(6), ["id"]).count() == 6
+
+
+@pytest.mark.parametrize(
+    "name, inner",
+    [
+        ("m13_ar", [5, 5, 5]),
+        ("m14_ar_extended", [3, 3, 3, 5]),
+        ("m15_final", [3, 3, 3, 3]),
+        ("m17_score", [5]),
+        ("m17_score_final", [3]),
+    ],
+)
+def test_registered_models_search_all_strengths(spark, sf_dir, monkeypatch, name, inner):
+    """Every fit of a registered run selects among all strengths, over the inner folds of the reference."""
+    seen, fit = [], md.fit_logistic
+
+    def recorded(train, inner_folds, strengths=None, *args, **options):
+        seen.append((inner_folds, strengths or md.INVERSE_STRENGTHS))
+        return fit(train, inner_folds, [1.0], *args, **options)
+
+    monkeypatch.setattr(md, "fit_logistic", recorded)
+    QUERIES[name](spark, sf_dir)
+    assert seen == [(n, md.INVERSE_STRENGTHS) for n in inner] and len(md.INVERSE_STRENGTHS) == 10
