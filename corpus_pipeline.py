@@ -43,8 +43,8 @@ def clean_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    # docs is a table on disk, so its rows get the same numbers each time they are read.
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
+    # Numbers follow the partitions of a read, and these the cores of the moment: written once, they stay the same.
+    numbered = written(docs.withColumn("_row", F.monotonically_increasing_id()), "pipeline-numbered")
     kept = jaccard.linked_documents(numbered, row="_row").where("kept").select(F.col("row").alias("_row"))
     return numbered.join(kept, "_row", "left_semi").select(*docs.columns)
 

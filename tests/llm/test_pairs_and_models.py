@@ -285,3 +285,30 @@ def test_pipeline_of_an_empty_table(spark, sf_dir, tmp_path):
     spark.read.parquet(f"{sf_dir}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
     spark.read.parquet(f"{sf_dir}/labels.parquet").write.parquet(f"{tmp_path}/labels.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_near_copies_when_the_table_is_split_anew(spark, tmp_path, monkeypatch):
+    """Files dealt to other partitions between the linking and the last read lose no document and keep no copy."""
+    texts = [" ".join(f"w{i}x{k}" for k in range(30)) for i in range(12)]
+    documents(spark, texts + texts).repartition(6).write.parquet(f"{tmp_path}/docs")
+    link = jaccard.linked_documents
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes", "spark.sql.files.minPartitionNum")
+    before = {name: spark.conf.get(name, None) for name in names}
+
+    def split(size, number):
+        for name, value in zip(names, (size, "0", number), strict=True):
+            spark.conf.set(name, value)
+
+    def then_split(*args, **options):
+        out = link(*args, **options)
+        split("256b", "64")
+        return out
+
+    monkeypatch.setattr(jaccard, "linked_documents", then_split)
+    try:
+        split("1g", "1")
+        kept = corpus_pipeline.drop_near_copies(spark, spark.read.parquet(f"{tmp_path}/docs"), str(tmp_path)).collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    assert sorted(r["doc_id"] for r in kept) == list(range(12))
