@@ -219,10 +219,11 @@ CAST(count(*) FILTER (WHERE tip = 1) AS BIGINT) AS tips_1, true AS has_cluster F
 )
 def m4_clusters(spark, sf):
     orders = src.orders(spark, sf)
-    known = F.col("cluster").between(0, ft.CLUSTERS - 1)
+    fitted: dict = {}
+    clusters = ft.cluster_users(orders, fitted=fitted)
     counts = ft.tip_counts(orders).select("user_id", *[F.col(c).cast("long").alias(c) for c in ("tips_0", "tips_1")])
-    return counts.join(ft.cluster_users(orders), "user_id", "left").select(
-        "user_id", "tips_0", "tips_1", F.coalesce(known, F.lit(False)).alias("has_cluster")
+    return counts.join(clusters, "user_id", "left").select(
+        "user_id", "tips_0", "tips_1", ft.in_nearest_cluster(fitted).alias("has_cluster")
     )
 
 
@@ -236,8 +237,16 @@ SELECT CAST(f AS INTEGER) AS fold, CAST(start AS BIGINT) AS train_orders, CAST(s
        true AS accuracy_is_share FROM b"""
 
 
-def _fold_rows(spark, scores: dict[int, float], sizes: dict[int, tuple[int, int]]) -> DataFrame:
-    rows = [(f, *sizes[f], a is not None and 0.0 <= a <= 1.0) for f, a in sorted(scores.items())]
+def _fold_rows(
+    spark, scores: dict[int, float], sizes: dict[int, tuple[int, int]], matches: dict[int, tuple[int, int]]
+) -> DataFrame:
+    """The accuracy must be the share of equal labels among the fold's test rows, scored one by one."""
+
+    def is_share(fold: int, accuracy: float | None) -> bool:
+        equal, n = matches[fold]
+        return accuracy is not None and n == sizes[fold][1] and abs(accuracy - equal / n) < 1e-9
+
+    rows = [(f, *sizes[f], is_share(f, a)) for f, a in sorted(scores.items())]
     return spark.createDataFrame(rows, "fold int, train_orders long, test_orders long, accuracy_is_share boolean")
 
 
@@ -248,14 +257,15 @@ def _fold_rows(spark, scores: dict[int, float], sizes: dict[int, tuple[int, int]
 )
 def m13_ar(spark, sf):
     sizes: dict[int, tuple[int, int]] = {}
-    scores = md.train_ar_model(src.orders(spark, sf), lags=2, folds=FOLDS, sizes=sizes)
-    return _fold_rows(spark, scores, sizes)
+    matches: dict[int, tuple[int, int]] = {}
+    scores = md.train_ar_model(src.orders(spark, sf), lags=2, folds=FOLDS, sizes=sizes, matches=matches)
+    return _fold_rows(spark, scores, sizes, matches)
 
 
 @query("m14_ar_extended", f"WITH {O}, src AS (SELECT * FROM o WHERE tip IS NOT NULL), {_fold_sql('src')}")
 def m14_ar_extended(spark, sf):
     trained = md.train_trend_model(src.orders(spark, sf), LAGS, FOLDS)
-    return _fold_rows(spark, trained.fold_accuracy, trained.fold_sizes)
+    return _fold_rows(spark, trained.fold_accuracy, trained.fold_sizes, trained.fold_matches)
 
 
 _WITH_LINES = f"""WITH {O}, src AS (SELECT * FROM o WHERE tip IS NOT NULL
@@ -266,7 +276,7 @@ _WITH_LINES = f"""WITH {O}, src AS (SELECT * FROM o WHERE tip IS NOT NULL
 def m15_final(spark, sf):
     frame = features(spark, sf, ft.cluster_users(src.orders(spark, sf)))
     trained = md.train_final_model(frame, LAGS, FOLDS)
-    return _fold_rows(spark, trained.fold_accuracy, trained.fold_sizes)
+    return _fold_rows(spark, trained.fold_accuracy, trained.fold_sizes, trained.fold_matches)
 
 
 _OPEN = f"WITH {O} SELECT order_id, true AS scored FROM o WHERE tip IS NULL"

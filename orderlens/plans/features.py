@@ -230,12 +230,14 @@ def cluster_users(
     k: int = CLUSTERS,
     seed: int = CLUSTER_SEED,
     restarts: int = CLUSTER_RESTARTS,
+    fitted: dict | None = None,
 ) -> DataFrame:
     """k-means over standardised tip counts: ``(user_id, cluster)``.
 
     Users with the same two counts are the same point, so the fit runs on the
     distinct pairs with the number of users as weight. Best of several seeds;
-    cluster ids follow the order of the centres.
+    cluster ids follow the order of the centres. ``fitted``, if given, receives
+    the ``centres`` in that order and the ``scale`` (mean, spread) of each count.
     """
     counts = tip_counts(df)
     columns = ("tips_0", "tips_1")
@@ -272,12 +274,21 @@ def cluster_users(
         points.unpersist()
     best = min(models, key=lambda m: m.summary.trainingCost)
     by_centre = sorted(enumerate(tuple(c) for c in best.clusterCenters()), key=lambda e: e[1])
+    if fitted is not None:
+        fitted.update(centres=[c for _, c in by_centre], scale=scale)
     rename = F.create_map(*[F.lit(x) for new, (old, _) in enumerate(by_centre) for x in (old, new)])
     return best.transform(vectors(counts)).select(
         "user_id", rename[F.col("prediction")].alias("cluster")
     )
 
 
+def in_nearest_cluster(fitted: dict) -> Column:
+    """Whether no centre is nearer to a row's tip counts than that of its cluster."""
+    z = [(F.col(c) - m) / s for c, (m, s) in fitted["scale"].items()]
+    away = F.array(*[sum(((x - v) * (x - v) for x, v in zip(z, c)), F.lit(0.0)) for c in fitted["centres"]])
+    return F.coalesce(F.get(away, F.col("cluster")) <= F.array_min(away) + 1e-9, F.lit(False))
+
+
 def with_clusters(
     df: DataFrame, clusters: DataFrame, heavy: DataFrame | None | str = DETECT
 ) -> DataFrame:

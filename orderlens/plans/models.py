@@ -186,12 +186,19 @@ def accuracy() -> Column:
     return F.sum(F.when(F.col("prediction") == F.col("tip"), F.col("weight")).otherwise(0)) / F.sum("weight")
 
 
+def equal_labels(scored: DataFrame) -> tuple[int, int]:
+    """Scored rows whose prediction equals the label, and all of them; weights are not looked at."""
+    equal = F.count_if(F.col("prediction") == F.col("tip"))
+    return tuple(scored.agg(equal, F.count(F.lit(1))).first())
+
+
 @dataclass(frozen=True)
 class TrainedModel:
     model: LogisticRegressionModel
     matrix: DesignMatrix
     fold_accuracy: dict[int, float]
     fold_sizes: dict[int, tuple[int, int]] = field(default_factory=dict)
+    fold_matches: dict[int, tuple[int, int]] = field(default_factory=dict)
 
     @property
     def mean_accuracy(self) -> float:
@@ -240,7 +247,9 @@ def train_with_folds(
             model = fit_logistic(
                 prepared(train, fitted), inner_folds, strengths, max_iter, size=n
             )
-            test = prepared(rows.filter(F.col("fold") == fold), fitted)
+            part = rows.filter(F.col("fold") == fold)
+            matches[fold] = equal_labels(model.transform(fitted.transform(part)))
+            test = prepared(part, fitted)
             return fold, model.transform(test).agg(accuracy()).first()[0]
 
         def refit() -> tuple[LogisticRegressionModel, DesignMatrix]:
@@ -249,12 +258,13 @@ def train_with_folds(
             return fit_logistic(prepared(known, fitted), inner, strengths, max_iter, size=n), fitted
 
         # One level of concurrency: folds follow each other, the search within a fold runs in parallel.
+        matches: dict[int, tuple[int, int]] = {}
         scores = dict(validate(fold) for fold in range(1, folds + 1))
         final, fitted = refit()
         sizes = fold_sizes(rows, folds) if folds else {}
     finally:
         known.unpersist()
-    return TrainedModel(final, fitted, scores, sizes)
+    return TrainedModel(final, fitted, scores, sizes, matches)
 
 
 def train_trend_model(orders: DataFrame, lags: int = 4, folds: int = 3, **options) -> TrainedModel:
@@ -296,10 +306,12 @@ def train_ar_model(
     max_iter: int = MAX_ITERATIONS,
     limits: SkewLimits = LIMITS,
     sizes: dict[int, tuple[int, int]] | None = None,
+    matches: dict[int, tuple[int, int]] | None = None,
 ) -> dict[int, float]:
     """Accuracy per fold of the AR(n) model: lags plus one indicator per user.
 
-    ``sizes``, if given, receives the rows each fold trained and tested on.
+    ``sizes``, if given, receives the rows each fold trained and tested on, ``matches``
+    the rows of equal label and all rows, counted one by one after scoring.
 
     Users are numbered by a distributed ranking instead of a driver-side label
     list. Users outside the training part fall into the dropped last category
@@ -327,11 +339,13 @@ def train_ar_model(
             users = global_rank(train.select("user_id").distinct(), ["user_id"], "user_index")
             unknown = users.count()
 
-            def prepared(part: DataFrame) -> DataFrame:
-                indexed = salted_join(
+            def indexed(part: DataFrame) -> DataFrame:
+                return salted_join(
                     part, users, ["user_id"], "left", ["order_id"], heavy
                 ).withColumn("user_index", F.coalesce("user_index", F.lit(unknown)).cast("double"))
-                return grouped_rows(indexed, ["user_index", *names])
+
+            def prepared(part: DataFrame) -> DataFrame:
+                return grouped_rows(indexed(part), ["user_index", *names])
 
             # The largest index alone fixes the vector size for training and test rows.
             last = orders.sparkSession.createDataFrame([(float(unknown),)], "user_index double")
@@ -348,6 +362,9 @@ def train_ar_model(
             )
             scored = model.transform(vectors(prepared(test)))
             scores[fold] = scored.agg(accuracy()).first()[0]
+            if matches is not None:
+                single = indexed(test).withColumn("weight", F.lit(1.0))
+                matches[fold] = equal_labels(model.transform(vectors(single)))
         return scores
     finally:
         complete.unpersist()

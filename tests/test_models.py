@@ -217,3 +217,23 @@ def test_registered_models_search_all_strengths(spark, sf_dir, monkeypatch, name
     monkeypatch.setattr(md, "fit_logistic", recorded)
     QUERIES[name](spark, sf_dir)
     assert seen == [(n, md.INVERSE_STRENGTHS) for n in inner] and len(md.INVERSE_STRENGTHS) == 10
+
+
+def test_cluster_flag_sees_wrong_clusters(spark, sf_dir, monkeypatch):
+    cluster = ft.cluster_users
+    assert QUERIES["m4_clusters"](spark, sf_dir).filter("not has_cluster").count() == 0
+
+    def moved(*args, **options):
+        return cluster(*args, **options).withColumn("cluster", (F.col("cluster") + 1) % ft.CLUSTERS)
+
+    monkeypatch.setattr(ft, "cluster_users", moved)
+    assert QUERIES["m4_clusters"](spark, sf_dir).filter("has_cluster").count() == 0
+
+
+@pytest.mark.parametrize("name", ["m13_ar", "m14_ar_extended"])
+def test_accuracy_flag_sees_wrong_accuracy(spark, sf_dir, monkeypatch, name):
+    fit = md.fit_logistic
+    monkeypatch.setattr(md, "fit_logistic", lambda rows, inner, *args, **options: fit(rows, inner, [1.0], size=1))
+    assert [r["accuracy_is_share"] for r in QUERIES[name](spark, sf_dir).collect()] == [True] * 3
+    monkeypatch.setattr(md, "accuracy", lambda: F.avg(F.lit(0.123)))
+    assert [r["accuracy_is_share"] for r in QUERIES[name](spark, sf_dir).collect()] == [False] * 3
