@@ -210,3 +210,32 @@ def op4_kneser_ney(spark, sf_dir):
         "doc_id", held_out.alias("held_out"), "n_tokens", "n_known",
         F.lit(model.vocabulary.total).cast("bigint").alias("train_tokens"), F.col("unigram").alias("base_score"), "score",
     )
+
+
+_OP13_SQL = r"""WITH dw AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+iw AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, least(len(w), 10) AS span, array_to_string(w[k : k + least(len(w), 10) - 1], ' ') AS ws
+  FROM iw, unnest(generate_series(1, CAST(len(w) - least(len(w), 10) + 1 AS BIGINT))) AS g(k) WHERE len(w) > 0),
+spans AS (SELECT DISTINCT span FROM win),
+dwin AS (SELECT doc_id, span, k, array_to_string(w[k : k + span - 1], ' ') AS ws
+  FROM dw, spans, unnest(generate_series(1, CAST(len(w) - span + 1 AS BIGINT))) AS g(k) WHERE len(w) >= span),
+occ AS (SELECT doc_id, d.span, k, item_id FROM dwin d JOIN win USING (span, ws)),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT DISTINCT doc_id, span, k FROM occ), unnest(generate_series(k, k + span - 1)) AS g(p) GROUP BY 1),
+its AS (SELECT doc_id, count(*) AS n, string_agg(i, ',' ORDER BY i) AS s
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM occ) GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(hit.n, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(its.n, 0) AS BIGINT) AS n_items, sha256(coalesce(its.s, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
+FROM dw LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)"""
+
+
+@query("op13_decontamination", _OP13_SQL)
+def op13_decontamination(spark, sf_dir):
+    from orderlens.llm.postings import build, search
+
+    found = search(build(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"), size=10)
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
