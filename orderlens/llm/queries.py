@@ -239,3 +239,62 @@ def op13_decontamination(spark, sf_dir):
         "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+_F12 = ", ".join(
+    f"CASE WHEN {c} IS NULL THEN '-' ELSE CAST(strlen(CAST({c} AS VARCHAR)) AS VARCHAR) || ':' || CAST({c} AS VARCHAR) END"
+    for c in ("doc_id", "source", "lang", "n_chars", "{text}")
+)
+_LEAF12 = f"sha256(concat({_F12}))"
+# crc32 of the decimal id, bit by bit: the last bit decides. Fixed value: the reversed polynomial 0xEDB88320.
+_ODD_CRC = """list_reduce(list_concat([4294967295], list_transform(range(8 * length(d)), lambda i: CASE WHEN i % 8 = 0
+  THEN 256 + ascii(substr(d, CAST(i // 8 + 1 AS INTEGER), 1)) ELSE 0 END)),
+  lambda c, b: CASE WHEN xor(c, CASE WHEN b > 0 THEN b - 256 ELSE 0 END) % 2 = 1
+    THEN xor(xor(c, CASE WHEN b > 0 THEN b - 256 ELSE 0 END) // 2, 3988292384) ELSE xor(c, CASE WHEN b > 0 THEN b - 256 ELSE 0 END) // 2 END)"""
+_OP12_SQL = f"""WITH RECURSIVE crc AS (SELECT doc_id, {_ODD_CRC} AS c FROM (SELECT doc_id, CAST(doc_id AS VARCHAR) AS d FROM documents)),
+lf AS (SELECT d.doc_id, source, {_LEAF12.format(text="text")} AS leaf,
+  CASE WHEN xor(c, 4294967295) % 2 = 0 THEN {_LEAF12.format(text="replace(text, chr(10), '')")} ELSE {_LEAF12.format(text="text")} END AS claim
+  FROM documents d JOIN crc USING (doc_id)),
+t AS (SELECT source AS grp, 0 AS lev, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS pos,
+  count(*) OVER (PARTITION BY source) AS n, leaf AS node FROM lf
+  UNION ALL
+  SELECT grp, lev + 1, pos // 3, max((n + 2) // 3), sha256(string_agg(node, '' ORDER BY pos)) FROM t WHERE n > 1 GROUP BY grp, lev + 1, pos // 3),
+sub AS (SELECT grp, node AS subroot, row_number() OVER (ORDER BY grp NULLS FIRST) - 1 AS place, count(*) OVER () AS m FROM t WHERE n = 1),
+u AS (SELECT 0 AS lev, place AS pos, m AS n, subroot AS node FROM sub
+  UNION ALL
+  SELECT lev + 1, pos // 3, max((n + 2) // 3), sha256(string_agg(node, '' ORDER BY pos)) FROM u WHERE n > 1 GROUP BY lev + 1, pos // 3),
+own AS (SELECT l.*, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS pos FROM lf l),
+-- Runs of three: the nodes of each run with their places.
+tr AS (SELECT grp, lev, pos // 3 AS run, max(n) AS n, list(node ORDER BY pos) AS nodes FROM t GROUP BY 1, 2, 3),
+ur AS (SELECT lev, pos // 3 AS run, max(n) AS n, list(node ORDER BY pos) AS nodes FROM u GROUP BY 1, 2),
+walk AS (SELECT doc_id, source AS grp, 0 AS lev, pos, claim AS cur, '' AS sib FROM own
+  UNION ALL
+  SELECT w.doc_id, w.grp, w.lev + 1, w.pos // 3,
+    sha256(array_to_string(list_concat(list_concat(nodes[1 : CAST(w.pos % 3 AS INTEGER)], [cur]), nodes[CAST(w.pos % 3 AS INTEGER) + 2 :]), '')),
+    sib || array_to_string(list_concat(nodes[1 : CAST(w.pos % 3 AS INTEGER)], nodes[CAST(w.pos % 3 AS INTEGER) + 2 :]), '')
+  FROM walk w JOIN tr ON w.grp IS NOT DISTINCT FROM tr.grp AND w.lev = tr.lev AND w.pos // 3 = tr.run WHERE tr.n > 1),
+below AS (SELECT doc_id, grp, cur, sib FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY lev DESC) AS k FROM walk) WHERE k = 1),
+climb AS (SELECT doc_id, 0 AS lev, place AS pos, cur, sib FROM below b JOIN sub ON b.grp IS NOT DISTINCT FROM sub.grp
+  UNION ALL
+  SELECT w.doc_id, w.lev + 1, w.pos // 3,
+    sha256(array_to_string(list_concat(list_concat(nodes[1 : CAST(w.pos % 3 AS INTEGER)], [cur]), nodes[CAST(w.pos % 3 AS INTEGER) + 2 :]), '')),
+    sib || array_to_string(list_concat(nodes[1 : CAST(w.pos % 3 AS INTEGER)], nodes[CAST(w.pos % 3 AS INTEGER) + 2 :]), '')
+  FROM climb w JOIN ur ON w.lev = ur.lev AND w.pos // 3 = ur.run WHERE ur.n > 1),
+top AS (SELECT doc_id, cur, sib FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY lev DESC) AS k FROM climb) WHERE k = 1),
+root AS (SELECT node AS root FROM u WHERE n = 1)
+SELECT o.doc_id, leaf, subroot, root, sha256(sib) AS proof_sha256, cur AS folded_root, cur = root AS verified
+FROM own o JOIN top USING (doc_id) JOIN sub ON o.source IS NOT DISTINCT FROM sub.grp, root"""
+
+
+@query("op12_merkle_manifest", _OP12_SQL)
+def op12_merkle_manifest(spark, sf_dir):
+    from orderlens.llm.merkle import build, digest, group_key, proofs
+
+    own = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    cut = F.replace("text", F.lit("\n"), F.lit(""))
+    changed = (remainder(2) == 0) & F.contains("text", F.lit("\n"))
+    leaves = table(spark, sf_dir, "documents").select(
+        group_key(F.col("source")).alias("grp"), "doc_id", digest(*own, F.col("text")).alias("leaf"),
+        F.when(changed, digest(*own, cut)).alias("claim"),
+    )
+    return proofs(build(leaves)).select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
