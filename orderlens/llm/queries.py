@@ -298,3 +298,34 @@ def op12_merkle_manifest(spark, sf_dir):
         F.when(changed, digest(*own, cut)).alias("claim"),
     )
     return proofs(build(leaves)).select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+_OP11_SQL = r"""WITH d AS (SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w, row_number() OVER () AS r FROM documents),
+occ AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term FROM occ GROUP BY 1, 2 HAVING count(DISTINCT r) >= 10),
+grp AS (SELECT DISTINCT lang, source FROM d),
+cnt AS (SELECT lang, source, term, count(*) AS c FROM occ JOIN kept USING (lang, term) GROUP BY 1, 2, 3),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY 1),
+full_ AS (SELECT g.lang, g.source, k.term, coalesce(c, 0) AS c FROM grp g JOIN kept k USING (lang) LEFT JOIN cnt USING (lang, source, term)),
+p AS (SELECT lang, source, term, c, CAST(1 + (CAST(1000000000 AS HUGEINT) * (c + 2)) // (sum(c) OVER (PARTITION BY lang, source) + 2 * v) AS HUGEINT) AS p
+  FROM full_ JOIN v USING (lang)),
+lc AS (SELECT lang, term, sum(c) AS c FROM full_ GROUP BY 1, 2),
+q AS (SELECT lang, term, CAST(1 + (CAST(1000000000 AS HUGEINT) * (c + 2)) // (sum(c) OVER (PARTITION BY lang) + 2 * v) AS HUGEINT) AS q FROM lc JOIN v USING (lang)),
+f AS (SELECT a.lang, a.source, b.source AS item, CAST(sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS BIGINT) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, CAST((p - q) * (p - q) // (p + q) AS BIGINT) AS value
+  FROM p JOIN q USING (lang, term) WHERE c > 0 AND p > q),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10"""
+
+
+@query("op11_source_divergence", _OP11_SQL)
+def op11_source_divergence(spark, sf_dir):
+    from orderlens.llm.divergence import audit
+
+    return audit(table(spark, sf_dir, "documents").select("text", "lang", "source"), min_docs=10, top=10)
