@@ -1,10 +1,10 @@
 """A Merkle manifest of a table whose leaf coordinates come from bitmap ranks.
 
-**Coordinates.** The ids of each group are kept as bitmaps: containers of 65,536 neighbouring ids, each a sorted list
+**Coordinates.** The ids of each group are kept as bitmaps: containers of 4,096 neighbouring ids, each a sorted list
 of 16-bit numbers while that is shorter, else a bit array with a directory of population counts per 64 bits. Tasks
-build containers of their own rows; containers of the same place are merged by or. A trie of population counts (one
-level per 16 bits of the id) gives the ids before a container; no node has more than 65,536 children, so no
-prefix sum runs over more rows than that. The place of a leaf in its group is the rank of its id. Rows are never sorted by id.
+build containers of their own rows; containers of the same place are merged by or. A trie of population counts gives
+the ids before a container; no node has more than 16,384 children, so no prefix sum runs over more rows than that.
+The place of a leaf in its group is the rank of its id. Rows are never sorted by id.
 
 **Levels.** Nodes are dealt into slot arrays of ``arity ** depth`` consecutive places, keyed by group and block. A
 task fills the array of one block and reduces up to ``depth`` levels; the tops of the blocks are the nodes of the next
@@ -36,9 +36,11 @@ from orderlens.llm.store import prepare, written
 from orderlens.operators.ranking import global_rank
 
 ARITY, DEPTH = 3, 9
-CONTAINER = 1 << 16
-LISTED = 4096  # longer lists of 16-bit numbers take more room than the bit array
-NULL_CHUNK = -(1 << 47) - 1  # before the container of every 64-bit id
+BITS = 12
+CONTAINER = 1 << BITS
+LISTED = CONTAINER // 16  # longer lists of 16-bit numbers take more room than the bit array
+TRIE = (40, 28, 14, 0)  # the bits of a container's number that each level of the trie leaves out
+NULL_CHUNK = -(1 << (63 - BITS)) - 1  # before the container of every 64-bit id
 
 
 def field_text(value: Column) -> Column:
@@ -60,7 +62,7 @@ def combined(parts: list[str]) -> str:
 
 
 def pack_container(low: np.ndarray) -> bytes:
-    """Sorted different numbers below 65,536: two bytes each, or a bit array of 8 KB where that is shorter."""
+    """Sorted different numbers below CONTAINER: two bytes each, or a bit array where that is shorter."""
     if len(low) < LISTED:
         return low.astype("<u2").tobytes()
     bits = np.zeros(CONTAINER, bool)
@@ -188,12 +190,12 @@ def bitmaps(leaves: DataFrame) -> DataFrame:
 def directory(containers: DataFrame) -> DataFrame:
     """Containers with ``before``, the rows of their group in smaller containers, and ``n``, all rows of the group.
 
-    Counts are summed in a trie, 16 bits of the id a level: no sum runs over more than 65,537 rows.
+    Counts are summed level by level in a trie: no sum runs over more than 16,384 rows.
     """
     totals = containers.groupBy("grp").agg(F.sum("n_rows").alias("n"))
     out, before = containers.join(totals, "grp"), F.lit(0).cast("bigint")
-    for bits in (32, 16, 0):
-        node, above = F.shiftright("chunk", bits), F.shiftright("chunk", bits + 16) if bits < 32 else F.lit(0)
+    for up, bits in zip((None, *TRIE), TRIE, strict=False):
+        node, above = F.shiftright("chunk", bits), F.lit(0) if up is None else F.shiftright("chunk", up)
         sums = containers.groupBy("grp", above.alias("above"), node.alias("node")).agg(F.sum("n_rows").alias("rows"))
         earlier = Window.partitionBy("grp", "above").orderBy("node").rowsBetween(Window.unboundedPreceding, -1)
         sums = sums.select("grp", "node", F.coalesce(F.sum("rows").over(earlier), F.lit(0).cast("bigint")).alias(f"before{bits}"))
@@ -448,7 +450,7 @@ def build(leaves: DataFrame, shape: Shape = Shape()) -> Manifest:
     spark = leaves.sparkSession
     prepare(spark)
     known = F.col("doc_id").isNotNull()
-    chunk = F.when(known, F.shiftright("doc_id", 16)).otherwise(F.lit(NULL_CHUNK)).alias("chunk")
+    chunk = F.when(known, F.shiftright("doc_id", BITS)).otherwise(F.lit(NULL_CHUNK)).alias("chunk")
     low = F.when(known, F.col("doc_id").bitwiseAND(F.lit(CONTAINER - 1))).otherwise(F.lit(0)).cast("bigint").alias("low")
     number = F.monotonically_increasing_id().alias("number")
     rows = written(leaves.select("grp", F.col("doc_id").cast("bigint").alias("doc_id"), "leaf", "claim").select("*", chunk, low, number), "leaves")
