@@ -9,5 +9,6 @@ from orderlens.plans.catalogue import relational  # noqa: F401  isort: skip
 from orderlens.plans.catalogue import timeseries  # noqa: F401  isort: skip
 from orderlens.plans.catalogue import learning  # noqa: F401  isort: skip
 from orderlens.plans.catalogue import storage  # noqa: F401  isort: skip
+from orderlens.plans.catalogue import triggered  # noqa: F401  isort: skip
 
 __all__ = ["ORACLES", "QUERIES"]

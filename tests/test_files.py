@@ -110,7 +110,7 @@ def test_scratch_paths_are_fresh_and_shared(spark):
 def test_relational_append_options():
     """The writer's options; no database is reached in tests."""
     df = mock.MagicMock()
-    writer = df.coalesce.return_value.write.format.return_value.mode.return_value
+    writer = df.repartition.return_value.write.format.return_value.mode.return_value
     writer.option.return_value = writer.options.return_value = writer
     append_relational(df, "jdbc:x", "public.order_products", {"user": "u"}, "order_id BIGINT")
     options = dict(c.args for c in writer.option.call_args_list)
@@ -121,6 +121,7 @@ def test_relational_append_options():
         "createTableColumnTypes": "order_id BIGINT",
     }
     writer.save.assert_called_once()
+    df.repartition.assert_called_once_with(8)
 
 
 def test_jsonl_change_files(spark, work):
