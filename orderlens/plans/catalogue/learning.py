@@ -15,7 +15,7 @@ from orderlens.plans.catalogue.timeseries import FILLED, LAG_SQL, LAGS, NAN_SQL
 from orderlens.plans.catalogue.warehouse import HOLIDAYS_SQL
 from orderlens.sources import stand_ins as src
 
-FOLDS = 3
+FOLDS, AR_FOLDS = 3, 5
 
 
 def features(spark, sf, clusters: DataFrame | None = None) -> DataFrame:
@@ -227,12 +227,23 @@ def m4_clusters(spark, sf):
     )
 
 
-def _fold_sql(source: str) -> str:
+@query("m4_centres")
+def m4_centres(spark, sf):
+    """The centres themselves, in tip counts, with the users of each cluster."""
+    orders = src.orders(spark, sf)
+    fitted: dict = {}
+    sizes = ft.cluster_users(orders, fitted=fitted).groupBy("cluster").agg(F.count(F.lit(1)).alias("users"))
+    scale = list(fitted["scale"].values())
+    rows = [(i, *[float(x * spread + mean) for x, (mean, spread) in zip(c, scale)]) for i, c in enumerate(fitted["centres"])]
+    return spark.createDataFrame(rows, "cluster int, tips_0 double, tips_1 double").join(sizes, "cluster", "left")
+
+
+def _fold_sql(source: str, folds: int = FOLDS) -> str:
     """Rows per fold, counted by position in the order of time."""
     return f"""kn AS (SELECT order_id, row_number() OVER (ORDER BY order_date, order_id) - 1 AS pos, count(*) OVER () AS n
   FROM {source}),
-b AS (SELECT f, n - ({FOLDS} - f + 1) * (n // {FOLDS + 1}) AS start, n // {FOLDS + 1} AS size
-  FROM (SELECT DISTINCT n FROM kn), generate_series(1, {FOLDS}) g(f))
+b AS (SELECT f, n - ({folds} - f + 1) * (n // {folds + 1}) AS start, n // {folds + 1} AS size
+  FROM (SELECT DISTINCT n FROM kn), generate_series(1, {folds}) g(f))
 SELECT CAST(f AS INTEGER) AS fold, CAST(start AS BIGINT) AS train_orders, CAST(size AS BIGINT) AS test_orders,
        true AS accuracy_is_share FROM b"""
 
@@ -250,16 +261,29 @@ def _fold_rows(
     return spark.createDataFrame(rows, "fold int, train_orders long, test_orders long, accuracy_is_share boolean")
 
 
+def _accuracies(spark, scores: dict[int, float]) -> DataFrame:
+    return spark.createDataFrame(sorted(scores.items()), "fold int, accuracy double")
+
+
 @query(
     "m13_ar",
     f"""WITH {O}, pl AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY order_date, order_id) AS place
-  FROM o WHERE tip IS NOT NULL), src AS (SELECT * FROM pl WHERE place > 2), {_fold_sql('src')}""",
+  FROM o WHERE tip IS NOT NULL), src AS (SELECT * FROM pl WHERE place > 2), {_fold_sql('src', AR_FOLDS)}""",
 )
 def m13_ar(spark, sf):
-    sizes: dict[int, tuple[int, int]] = {}
-    matches: dict[int, tuple[int, int]] = {}
-    scores = md.train_ar_model(src.orders(spark, sf), lags=2, folds=FOLDS, sizes=sizes, matches=matches)
-    return _fold_rows(spark, scores, sizes, matches)
+    """The accuracy comes from counts per user; the rows it is compared with are scored one by one."""
+    trained = md.train_ar_model(src.orders(spark, sf), lags=2, folds=AR_FOLDS)
+    sizes = md.fold_sizes(trained.rows, AR_FOLDS)
+    matches = {f: md.judged(trained.predictions(f).withColumn("weight", F.lit(1.0)))[1] for f in trained.models}
+    trained.release()
+    return _fold_rows(spark, trained.fold_accuracy, sizes, matches)
+
+
+@query("m13_accuracy")
+def m13_accuracy(spark, sf):
+    trained = md.train_ar_model(src.orders(spark, sf), lags=2, folds=AR_FOLDS)
+    trained.release()
+    return _accuracies(spark, trained.fold_accuracy)
 
 
 @query("m14_ar_extended", f"WITH {O}, src AS (SELECT * FROM o WHERE tip IS NOT NULL), {_fold_sql('src')}")
@@ -268,6 +292,11 @@ def m14_ar_extended(spark, sf):
     return _fold_rows(spark, trained.fold_accuracy, trained.fold_sizes, trained.fold_matches)
 
 
+@query("m14_accuracy")
+def m14_accuracy(spark, sf):
+    return _accuracies(spark, md.train_trend_model(src.orders(spark, sf), LAGS, FOLDS).fold_accuracy)
+
+
 _WITH_LINES = f"""WITH {O}, src AS (SELECT * FROM o WHERE tip IS NOT NULL
   AND order_id IN (SELECT l_orderkey FROM lineitem)), {_fold_sql('src')}"""
 
@@ -279,6 +308,12 @@ def m15_final(spark, sf):
     return _fold_rows(spark, trained.fold_accuracy, trained.fold_sizes, trained.fold_matches)
 
 
+@query("m15_accuracy")
+def m15_accuracy(spark, sf):
+    frame = features(spark, sf, ft.cluster_users(src.orders(spark, sf)))
+    return _accuracies(spark, md.train_final_model(frame, LAGS, FOLDS).fold_accuracy)
+
+
 _OPEN = f"WITH {O} SELECT order_id, true AS scored FROM o WHERE tip IS NULL"
 
 

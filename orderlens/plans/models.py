@@ -4,27 +4,23 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+import numpy as np
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.functions.scalars import cyclic
 from orderlens.operators.panel import lag_columns
-from orderlens.operators.ranking import global_rank, time_series_folds, with_test_fold
+from orderlens.operators.ranking import time_series_folds, with_test_fold
 from orderlens.operators.series import lagged_target
 from orderlens.operators.skew import LIMITS, SkewLimits, find_heavy, salted_join
 from orderlens.plans.features import feature_frame, trend_cycle_features
+from orderlens.plans.newton import LinearModel, UserModel, fit_grid, fit_users, user_effects
 
-# Inverse regularisation strengths 10^-4 .. 10^4 in ten steps, iterations, tolerance.
+# Inverse regularisation strengths 10^-4 .. 10^4 in ten steps.
 INVERSE_STRENGTHS = [10 ** (-4 + 8 * i / 9) for i in range(10)]
-MAX_ITERATIONS = 1000
-TOLERANCE = 1e-4
-# Rows per partition of training data: an iteration is one job, so small data wants few tasks.
-TRAINING_ROWS = 200_000
+# Rows per partition of training data: a pass is one job, so small data wants few tasks.
+TRAINING_ROWS = 20_000
 
 # Column groups of the final model.
 CATEGORICAL = ["order_contains_organic", "is_holiday", "cluster"]
@@ -101,7 +97,12 @@ class DesignMatrix:
             out[c] = F.col(c)
         return {name: col.cast("double") for name, col in out.items()}
 
+    def rows(self, df: DataFrame, name: str = "features") -> DataFrame:
+        """The matrix row as an array of doubles."""
+        return df.withColumn(name, F.array(*self.columns().values()))
+
     def transform(self, df: DataFrame, name: str = "features") -> DataFrame:
+        """The same as a vector of Spark ML."""
         return df.withColumn(name, array_to_vector(F.array(*self.columns().values())))
 
 
@@ -145,15 +146,13 @@ def fit_logistic(
     train: DataFrame,
     inner_folds: int,
     strengths: list[float] | None = None,
-    max_iter: int = MAX_ITERATIONS,
-    parallelism: int = 8,
     size: int | None = None,
-) -> LogisticRegressionModel:
+) -> LinearModel:
     """L2 logistic regression; the strength is chosen by inner cross-validation on accuracy.
 
-    Expects ``features``, ``tip`` and ``weight``. Spark minimises the mean loss plus
-    lambda, so an inverse strength C over n rows is ``lambda = 1 / (C n)``. ``size``
-    is an upper bound of the rows, if known; it sets the number of partitions.
+    Expects ``features`` (an array), ``tip`` and ``weight``. All strengths and inner folds are fitted
+    together, one job per Newton step. ``size`` is an upper bound of the rows, if known; it sets the
+    number of partitions. Of equally good strengths the smallest is taken.
     """
     rows = train.select("features", F.col("tip").cast("double").alias("label"), "weight").withColumn(
         "inner", F.pmod(F.xxhash64("features", "label"), F.lit(inner_folds)).cast("int")
@@ -162,39 +161,30 @@ def fit_logistic(
         rows = rows.repartition(training_partitions(size))
     rows = rows.persist()
     try:
-        total = rows.agg(F.sum("weight")).first()[0]
-        base = LogisticRegression(
-            maxIter=max_iter, tol=TOLERANCE, weightCol="weight", standardization=False
-        )
-        penalties = [1.0 / (c * total) for c in (strengths or INVERSE_STRENGTHS)]
-        if len(penalties) == 1:
-            return base.copy({base.regParam: penalties[0]}).fit(rows)
-        search = CrossValidator(
-            estimator=base,
-            estimatorParamMaps=ParamGridBuilder().addGrid(base.regParam, penalties).build(),
-            evaluator=MulticlassClassificationEvaluator(metricName="accuracy", weightCol="weight"),
-            numFolds=inner_folds,
-            foldCol="inner",
-            parallelism=parallelism,
-        )
-        return search.fit(rows).bestModel
+        first = rows.select(F.size("features").alias("n")).first()
+        if first is None:
+            raise ValueError("no rows to train on")
+        grid = strengths or INVERSE_STRENGTHS
+        models, shares = fit_grid(rows, first["n"], inner_folds, grid)
     finally:
         rows.unpersist()
+    return models[0] if np.isnan(shares).all() else models[int(np.nanargmax(shares))]
 
 
 def accuracy() -> Column:
     return F.sum(F.when(F.col("prediction") == F.col("tip"), F.col("weight")).otherwise(0)) / F.sum("weight")
 
 
-def equal_labels(scored: DataFrame) -> tuple[int, int]:
-    """Scored rows whose prediction equals the label, and all of them; weights are not looked at."""
+def judged(scored: DataFrame) -> tuple[float, tuple[int, int]]:
+    """Accuracy of scored rows, and beside it the rows whose prediction equals the label and all rows, in one pass."""
     equal = F.count_if(F.col("prediction") == F.col("tip"))
-    return tuple(scored.agg(equal, F.count(F.lit(1))).first())
+    row = scored.agg(accuracy().alias("share"), equal.alias("equal"), F.count(F.lit(1)).alias("n")).first()
+    return row["share"], (row["equal"], row["n"])
 
 
 @dataclass(frozen=True)
 class TrainedModel:
-    model: LogisticRegressionModel
+    model: LinearModel
     matrix: DesignMatrix
     fold_accuracy: dict[int, float]
     fold_sizes: dict[int, tuple[int, int]] = field(default_factory=dict)
@@ -220,7 +210,6 @@ def train_with_folds(
     final_inner_folds: int | None = None,
     strengths: list[float] | None = None,
     group_rows: bool = False,
-    max_iter: int = MAX_ITERATIONS,
 ) -> TrainedModel:
     """Chronological validation, then a fit on all labelled rows.
 
@@ -239,23 +228,20 @@ def train_with_folds(
                 if group_rows
                 else part.withColumn("weight", F.lit(1.0))
             )
-            return fitted.transform(data).select("features", "tip", "weight")
+            return fitted.rows(data).select("features", "tip", "weight")
 
         def validate(fold: int) -> tuple[int, float]:
             train = rows.filter(F.col("fold") < fold)
             fitted = matrix.fit(train)
-            model = fit_logistic(
-                prepared(train, fitted), inner_folds, strengths, max_iter, size=n
-            )
-            part = rows.filter(F.col("fold") == fold)
-            matches[fold] = equal_labels(model.transform(fitted.transform(part)))
-            test = prepared(part, fitted)
-            return fold, model.transform(test).agg(accuracy()).first()[0]
+            model = fit_logistic(prepared(train, fitted), inner_folds, strengths, size=n)
+            test = fitted.rows(rows.filter(F.col("fold") == fold)).withColumn("weight", F.lit(1.0))
+            share, matches[fold] = judged(model.transform(test))
+            return fold, share
 
-        def refit() -> tuple[LogisticRegressionModel, DesignMatrix]:
+        def refit() -> tuple[LinearModel, DesignMatrix]:
             fitted = matrix.fit(known)
             inner = final_inner_folds or inner_folds
-            return fit_logistic(prepared(known, fitted), inner, strengths, max_iter, size=n), fitted
+            return fit_logistic(prepared(known, fitted), inner, strengths, size=n), fitted
 
         # One level of concurrency: folds follow each other, the search within a fold runs in parallel.
         matches: dict[int, tuple[int, int]] = {}
@@ -297,27 +283,64 @@ def train_final_model(
     return train_with_folds(features, matrix, inputs, folds, **options)
 
 
+@dataclass(frozen=True)
+class ArModel:
+    """An AR(n) model with one intercept per user, judged on chronological folds.
+
+    ``cells`` holds one row per user: its counted rows per fold, lag pattern and label. User
+    intercepts follow from them and the common coefficients, so they are never stored or collected.
+    """
+
+    lags: int
+    models: dict[int, UserModel]
+    cells: DataFrame
+    rows: DataFrame
+    complete: DataFrame
+
+    @property
+    def fold_accuracy(self) -> dict[int, float]:
+        return {f: m.accuracy for f, m in self.models.items()}
+
+    def predictions(self, fold: int, limits: SkewLimits = LIMITS) -> DataFrame:
+        """The fold's test rows with ``prediction``, each scored by itself."""
+        model, (_, names) = self.models[fold], lag_columns(self.lags)
+        test = self.rows.filter(F.col("fold") == fold)
+        effects = user_effects(self.cells, model, self.lags, len(self.models), fold)
+        keyed = salted_join(test, effects, ["user_id"], "left", ["order_id"], limits=limits)
+        common = sum((F.col(n) * float(c) for n, c in zip(names, model.theta)), F.lit(float(model.theta[-1])))
+        return keyed.withColumn("prediction", (common + F.coalesce("effect", F.lit(0.0)) > 0).cast("double")).drop("effect")
+
+    def release(self) -> None:
+        self.cells.unpersist()
+        self.complete.unpersist()
+
+
+def ar_cells(rows: DataFrame, lags: int, inner_folds: int) -> DataFrame:
+    """Rows (user_id, tip, lags, fold) counted per user, fold, lag pattern and label: one row per user."""
+    _, names = lag_columns(lags)
+    pattern = sum((F.col(n).cast("int") * (1 << i) for i, n in enumerate(names)), F.lit(0))
+    label = F.col("tip").cast("int")
+    inner = F.pmod(F.xxhash64("user_id", "pattern", "label"), F.lit(inner_folds)).cast("int")
+    # Counted before users are put together, so a user with very many rows leaves few from each task.
+    counted = rows.select("user_id", "fold", pattern.alias("pattern"), label.alias("label")).groupBy("user_id", "fold", "pattern", "label").count()
+    cell = (F.col("fold") * (1 << lags) + F.col("pattern")) * 2 + F.col("label")
+    entry = F.struct(cell.alias("cell"), F.col("count").alias("n"), inner.alias("inner"))
+    return counted.groupBy("user_id").agg(F.collect_list(entry).alias("cells"))
+
+
 def train_ar_model(
     orders: DataFrame,
     lags: int,
     folds: int = 5,
     inner_folds: int = 5,
     strengths: list[float] | None = None,
-    max_iter: int = MAX_ITERATIONS,
     limits: SkewLimits = LIMITS,
-    sizes: dict[int, tuple[int, int]] | None = None,
-    matches: dict[int, tuple[int, int]] | None = None,
-) -> dict[int, float]:
-    """Accuracy per fold of the AR(n) model: lags plus one indicator per user.
+) -> ArModel:
+    """The AR(n) model, lags plus one intercept per user, for every fold; release it after use.
 
-    ``sizes``, if given, receives the rows each fold trained and tested on, ``matches``
-    the rows of equal label and all rows, counted one by one after scoring.
-
-    Users are numbered by a distributed ranking instead of a driver-side label
-    list. Users outside the training part fall into the dropped last category
-    and so get no indicator. The coefficient vector has one entry per user.
+    Users outside the training part have no intercept of their own. All folds, inner folds and
+    strengths are fitted together; users are counted once and never ranked or indexed.
     """
-    _, names = lag_columns(lags)
     complete = lagged_target(
         orders.filter(F.col("tip").isNotNull()),
         "user_id",
@@ -327,47 +350,11 @@ def train_ar_model(
         lags,
         limits,
     ).persist()
-    try:
-        heavy = find_heavy(complete.select("user_id"), ["user_id"], limits)
-        n, borders = time_series_folds(complete, "order_date", "order_id", folds)
-        rows = with_test_fold(complete, "order_date", "order_id", borders)
-        scores: dict[int, float] = {}
-        if sizes is not None:
-            sizes.update(fold_sizes(rows, folds))
-        for fold in range(1, folds + 1):
-            train, test = rows.filter(F.col("fold") < fold), rows.filter(F.col("fold") == fold)
-            users = global_rank(train.select("user_id").distinct(), ["user_id"], "user_index")
-            unknown = users.count()
-
-            def indexed(part: DataFrame) -> DataFrame:
-                return salted_join(
-                    part, users, ["user_id"], "left", ["order_id"], heavy
-                ).withColumn("user_index", F.coalesce("user_index", F.lit(unknown)).cast("double"))
-
-            def prepared(part: DataFrame) -> DataFrame:
-                return grouped_rows(indexed(part), ["user_index", *names])
-
-            # The largest index alone fixes the vector size for training and test rows.
-            last = orders.sparkSession.createDataFrame([(float(unknown),)], "user_index double")
-            encoder = OneHotEncoder(
-                inputCol="user_index", outputCol="user_vector", dropLast=True
-            ).fit(last)
-            assembler = VectorAssembler(inputCols=["user_vector", *names], outputCol="features")
-
-            def vectors(part: DataFrame) -> DataFrame:
-                return assembler.transform(encoder.transform(part)).select("features", "tip", "weight")
-
-            model = fit_logistic(
-                vectors(prepared(train)), inner_folds, strengths, max_iter, size=n
-            )
-            scored = model.transform(vectors(prepared(test)))
-            scores[fold] = scored.agg(accuracy()).first()[0]
-            if matches is not None:
-                single = indexed(test).withColumn("weight", F.lit(1.0))
-                matches[fold] = equal_labels(model.transform(vectors(single)))
-        return scores
-    finally:
-        complete.unpersist()
+    _, borders = time_series_folds(complete, "order_date", "order_id", folds)
+    rows = with_test_fold(complete, "order_date", "order_id", borders)
+    cells = ar_cells(rows, lags, inner_folds).persist()
+    models = fit_users(cells, lags, folds, inner_folds, strengths or INVERSE_STRENGTHS)
+    return ArModel(lags, models, cells, rows, complete)
 
 
 # ---- scoring ------------------------------------------------------------------
@@ -391,7 +378,7 @@ def score(frame: DataFrame, trained: TrainedModel, required: list[str]) -> DataF
     """``(order_id, tip)`` for rows without a target; rows with missing inputs stay unscored (null)."""
     wanted = frame.filter(F.col("tip").isNull())
     usable = wanted.na.drop(subset=required)
-    predicted = trained.model.transform(trained.matrix.transform(usable)).select(
+    predicted = trained.model.transform(trained.matrix.rows(usable)).select(
         "order_id", F.col("prediction").cast("boolean").alias("tip")
     )
     return wanted.select("order_id").join(predicted, "order_id", "left")

@@ -19,6 +19,7 @@ from orderlens.operators.series import (
 from orderlens.operators.skew import SkewLimits
 from orderlens.plans import features as ft
 from orderlens.plans import models as md
+from orderlens.plans import newton
 from orderlens.plans.catalogue import QUERIES
 
 
@@ -72,27 +73,103 @@ def test_grouped_rows_give_the_same_fit(spark, orders):
     frame = ft.trend_cycle_features(orders, 2).filter("tip is not null")
     matrix = md.trend_matrix(2).fit(frame)
     inputs = [*matrix.passthrough, "weekday"]
-    one = matrix.transform(frame.withColumn("weight", F.lit(1.0)))
-    grouped = matrix.transform(md.grouped_rows(frame, inputs))
+    one = matrix.rows(frame.withColumn("weight", F.lit(1.0)))
+    grouped = matrix.rows(md.grouped_rows(frame, inputs))
     a, b = (md.fit_logistic(x, 3, [1.0], size=1000) for x in (one, grouped))
-    assert np.allclose(a.coefficients.toArray(), b.coefficients.toArray(), atol=2e-3)
+    assert np.allclose(a.coefficients, b.coefficients, atol=1e-6)
 
 
-def test_logistic_objective_matches_a_direct_minimisation(spark):
-    """lambda = 1 / (C n) without standardisation is the usual C-weighted objective."""
+def direct(x, y, w, strength):
+    """Minimise the C-weighted objective by plain Newton steps on a dense matrix."""
+    x = np.column_stack((x, np.ones(len(x))))
+    ridge = np.diag([1 / strength] * (x.shape[1] - 1) + [0.0])
+    b = np.zeros(x.shape[1])
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-(x @ b)))
+        step = np.linalg.solve(x.T @ (x * (w * p * (1 - p))[:, None]) + ridge, x.T @ (w * (p - y)) + ridge @ b)
+        b -= step
+        if np.abs(step).max() < 1e-12:
+            break
+    return b
+
+
+def test_grid_of_models_equals_one_by_one_fits(spark):
     rnd = np.random.default_rng(0)
+    x = rnd.normal(size=(300, 3)) * [1, 5, 0.1]
+    y = (x[:, 0] + 0.2 * x[:, 1] + rnd.normal(size=300) > 0).astype(float)
+    w, inner = rnd.integers(1, 4, 300).astype(float), rnd.integers(0, 3, 300)
+    data = [(list(map(float, a)), float(t), float(v), int(k)) for a, t, v, k in zip(x, y, w, inner)]
+    df = spark.createDataFrame(data, "features array<double>, label double, weight double, inner int").repartition(40).persist()
+    strengths = [1e-3, 0.1, 10.0, 1e4]
+    models, shares = newton.fit_grid(df, 3, 3, strengths)
+    for i, c in enumerate(strengths):
+        b = direct(x, y, w, c)
+        assert np.allclose([*models[i].coefficients, models[i].intercept], b, atol=1e-4)
+        held = []
+        for k in range(3):
+            own = direct(x[inner != k], y[inner != k], w[inner != k], c)
+            right = (x[inner == k] @ own[:3] + own[3] > 0) == (y[inner == k] > 0)
+            held.append((w[inner == k] * right).sum() / w[inner == k].sum())
+        assert np.isclose(shares[i], np.mean(held))
+
+
+def test_grid_equals_the_library_optimiser(spark):
+    """The strength C means lambda = 1 / (C n) without standardisation."""
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.functions import array_to_vector
+
+    rnd = np.random.default_rng(1)
     x = rnd.normal(size=(200, 2)) * [1, 5]
-    y = (x[:, 0] + 0.2 * x[:, 1] + rnd.normal(size=200) > 0).astype(int)
-    data = [(float(a), float(b), int(t), 1.0) for (a, b), t in zip(x, y)]
-    df = spark.createDataFrame(data, "a double, b double, tip int, weight double")
-    fitted = md.DesignMatrix([], [], [], [], {}, ["a", "b"]).fit(df)
-    model = md.fit_logistic(fitted.transform(df), 3, [0.05], size=200)
-    w, c = np.zeros(2), 0.0
-    for _ in range(20000):
-        p = 1 / (1 + np.exp(-(x @ w + c)))
-        w -= 0.01 * (w / (0.05 * 200) + x.T @ (p - y) / 200)
-        c -= 0.01 * (p - y).mean()
-    assert np.allclose(model.coefficients.toArray(), w, atol=1e-2)
+    y = (x[:, 0] + 0.2 * x[:, 1] + rnd.normal(size=200) > 0).astype(float)
+    df = spark.createDataFrame([([float(a), float(b)], float(t), 1.0) for (a, b), t in zip(x, y)], "features array<double>, tip double, weight double")
+    mine = md.fit_logistic(df, 3, [0.05], size=200)
+    rows = df.select(array_to_vector("features").alias("features"), F.col("tip").alias("label"))
+    theirs = LogisticRegression(maxIter=1000, tol=1e-12, standardization=False, regParam=1 / (0.05 * 200)).fit(rows)
+    assert np.allclose(mine.coefficients, theirs.coefficients.toArray(), atol=1e-4) and abs(mine.intercept - theirs.intercept) < 1e-4
+
+
+def test_user_intercepts_equal_a_dense_fit(spark):
+    """Eliminated intercepts give the coefficients of the model with one column per user; no fold sees its own rows."""
+    rnd = np.random.default_rng(2)
+    rows = []
+    for user in range(25):
+        for _ in range(rnd.integers(1, 14)):
+            a, b = (int(v) for v in rnd.integers(0, 2, 2))
+            tip = int(rnd.random() < 1 / (1 + np.exp(-(0.8 * a - 0.5 * b + (user % 5 - 2)))))
+            rows.append((len(rows), user if user != 3 else None, tip, a, b, int(rnd.integers(0, 3))))
+    frame = spark.createDataFrame(rows, ["order_id", "user_id", "tip", "tip_t-1", "tip_t-2", "fold"])
+    cells = md.ar_cells(frame, 2, 2).persist()
+    (model, last) = (newton.fit_users(cells, 2, 2, 2, [3.0])[f] for f in (1, 2))
+    for fold, own in ((1, model), (2, last)):
+        train = [r for r in rows if r[5] < fold]
+        users = sorted({r[1] for r in train}, key=str)
+        x = np.array([[r[3], r[4], *[float(r[1] == u) for u in users]] for r in train], float)
+        b = direct(x, np.array([r[2] for r in train], float), np.ones(len(train)), 3.0)
+        assert np.allclose(own.theta, [b[0], b[1], b[-1]], atol=1e-5)
+        effects = {r["user_id"]: r["effect"] for r in newton.user_effects(cells, own, 2, 2, fold).collect()}
+        assert all(np.isclose(effects[u], b[2 + i], atol=1e-5) for i, u in enumerate(users))
+        test = [r for r in rows if r[5] == fold]
+        right = [(b[0] * r[3] + b[1] * r[4] + b[-1] + effects[r[1]] > 0) == (r[2] == 1) for r in test]
+        assert (own.equal, own.n) == (sum(right), len(test))
+
+
+def test_models_beat_the_majority_on_planted_data(spark):
+    """Users tip by habit and by the day: both models find it, a constant does not."""
+    rnd = np.random.default_rng(3)
+    start = dt.datetime(2024, 1, 1)
+    data = []
+    for user in range(60):
+        habit, last = (0.9 if user % 2 else 0.1), 0
+        for k in range(20):
+            last = int(rnd.random() < 0.8 * habit + 0.2 * last)
+            data.append((len(data), user, start + dt.timedelta(hours=30 * k + user % 7), last))
+    orders = spark.createDataFrame(data, "order_id long, user_id long, order_date timestamp_ntz, tip int")
+    share = np.mean([r[3] for r in data])
+    trained = md.train_ar_model(orders, 2)
+    assert sorted(trained.models) == [1, 2, 3, 4, 5]
+    assert min(trained.fold_accuracy.values()) > max(share, 1 - share) + 0.2
+    trained.release()
+    assert md.train_trend_model(orders, 4, 3).mean_accuracy > max(share, 1 - share) + 0.2
 
 
 def test_trend_model_learns_and_scores(orders):
@@ -127,8 +204,10 @@ def test_final_model_scores_every_open_order(orders, lines):
 
 
 def test_ar_model_with_user_indicators(orders):
-    scores = md.train_ar_model(orders, 1, folds=2, inner_folds=2, strengths=[1.0])
+    trained = md.train_ar_model(orders, 1, folds=2, inner_folds=2, strengths=[1.0])
+    scores = trained.fold_accuracy
     assert sorted(scores) == [1, 2] and all(s > 0.6 for s in scores.values())
+    trained.release()
 
 
 def test_prediction_sets(spark, orders):
@@ -198,13 +277,7 @@ def test_checks_and_readiness(spark):
 
 @pytest.mark.parametrize(
     "name, inner",
-    [
-        ("m13_ar", [5, 5, 5]),
-        ("m14_ar_extended", [3, 3, 3, 5]),
-        ("m15_final", [3, 3, 3, 3]),
-        ("m17_score", [5]),
-        ("m17_score_final", [3]),
-    ],
+    [("m14_ar_extended", [3, 3, 3, 5]), ("m15_final", [3, 3, 3, 3]), ("m17_score", [5]), ("m17_score_final", [3])],
 )
 def test_registered_models_search_all_strengths(spark, sf_dir, monkeypatch, name, inner):
     """Every fit of a registered run selects among all strengths, over the inner folds of the reference."""
@@ -219,6 +292,18 @@ def test_registered_models_search_all_strengths(spark, sf_dir, monkeypatch, name
     assert seen == [(n, md.INVERSE_STRENGTHS) for n in inner] and len(md.INVERSE_STRENGTHS) == 10
 
 
+def test_registered_ar_model_searches_all_strengths(spark, sf_dir, monkeypatch):
+    seen, fit = [], md.fit_users
+
+    def recorded(cells, lags, folds, inner_folds, strengths):
+        seen.append((lags, folds, inner_folds, strengths))
+        return fit(cells, lags, folds, inner_folds, [1.0])
+
+    monkeypatch.setattr(md, "fit_users", recorded)
+    QUERIES["m13_ar"](spark, sf_dir)
+    assert seen == [(2, 5, 5, md.INVERSE_STRENGTHS)]
+
+
 def test_cluster_flag_sees_wrong_clusters(spark, sf_dir, monkeypatch):
     cluster = ft.cluster_users
     assert QUERIES["m4_clusters"](spark, sf_dir).filter("not has_cluster").count() == 0
@@ -230,10 +315,16 @@ def test_cluster_flag_sees_wrong_clusters(spark, sf_dir, monkeypatch):
     assert QUERIES["m4_clusters"](spark, sf_dir).filter("has_cluster").count() == 0
 
 
-@pytest.mark.parametrize("name", ["m13_ar", "m14_ar_extended"])
-def test_accuracy_flag_sees_wrong_accuracy(spark, sf_dir, monkeypatch, name):
+def test_accuracy_flag_sees_wrong_accuracy(spark, sf_dir, monkeypatch):
     fit = md.fit_logistic
     monkeypatch.setattr(md, "fit_logistic", lambda rows, inner, *args, **options: fit(rows, inner, [1.0], size=1))
-    assert [r["accuracy_is_share"] for r in QUERIES[name](spark, sf_dir).collect()] == [True] * 3
+    assert [r["accuracy_is_share"] for r in QUERIES["m14_ar_extended"](spark, sf_dir).collect()] == [True] * 3
     monkeypatch.setattr(md, "accuracy", lambda: F.avg(F.lit(0.123)))
-    assert [r["accuracy_is_share"] for r in QUERIES[name](spark, sf_dir).collect()] == [False] * 3
+    assert [r["accuracy_is_share"] for r in QUERIES["m14_ar_extended"](spark, sf_dir).collect()] == [False] * 3
+
+
+def test_ar_accuracy_flag_compares_counts_with_scored_rows(spark, sf_dir, monkeypatch):
+    assert [r["accuracy_is_share"] for r in QUERIES["m13_ar"](spark, sf_dir).collect()] == [True] * 5
+    effects = newton.user_effects
+    monkeypatch.setattr(md, "user_effects", lambda *a: effects(*a).withColumn("effect", -F.col("effect") - 1))
+    assert not all(r["accuracy_is_share"] for r in QUERIES["m13_ar"](spark, sf_dir).collect())
