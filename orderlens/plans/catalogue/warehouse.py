@@ -725,13 +725,15 @@ def a12_bootstrap(spark, sf):
 
 @query(
     "l12_quality",
-    """SELECT 'line order and position unique' AS check_name, (SELECT count(*) FROM (
+    f"""WITH {PRODUCT_VERSIONS}, {USER_VERSIONS} SELECT 'line order and position unique' AS check_name, (SELECT count(*) FROM (
   SELECT l_orderkey, l_linenumber FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1)) AS violations
 UNION ALL SELECT 'order unique', (SELECT count(*) FROM (
   SELECT o_orderkey FROM orders GROUP BY 1 HAVING count(*) > 1))
 UNION ALL SELECT 'order tip not null', (SELECT count(*) FROM orders WHERE o_orderstatus NOT IN ('F', 'O'))
-UNION ALL SELECT 'product one open version', 0
-UNION ALL SELECT 'user version unique', 0""",
+UNION ALL SELECT 'product one open version', (SELECT count(*) FROM (
+  SELECT product_id FROM pv GROUP BY 1 HAVING count(*) FILTER (WHERE valid_to IS NULL) <> 1))
+UNION ALL SELECT 'user version unique', (SELECT count(*) FROM (
+  SELECT scd_id FROM uv WHERE scd_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1))""",
 )
 def l12_quality(spark, sf):
     lines, orders = src.order_products(spark, sf), src.orders(spark, sf)

@@ -19,6 +19,8 @@ from orderlens.plans.newton import LinearModel, UserModel, fit_grid, fit_users,
 
 # Inverse regularisation strengths 10^-4 .. 10^4 in ten steps.
 INVERSE_STRENGTHS = [10 ** (-4 + 8 * i / 9) for i in range(10)]
+# Values of a categorical column: a model has one coefficient for each.
+MAX_CATEGORIES = 1_000
 # Rows per partition of training data: a pass is one job, so small data wants few tasks.
 TRAINING_ROWS = 20_000
 
@@ -40,7 +42,7 @@ MIN_MAX = ["no_orders", "cart_size"]
 
 @dataclass(frozen=True)
 class DesignMatrix:
-    """Per-group scaling, encoding and imputation, fitted in one aggregate.
+    """Per-group scaling, encoding and imputation, fitted in one aggregate and one distinct of categories.
 
     ``fit`` reads a single row of statistics; ``transform`` is plain column
     arithmetic, so scoring needs neither joins nor shuffles.
@@ -54,17 +56,33 @@ class DesignMatrix:
     passthrough: list[str]
     state: dict = field(default_factory=dict)
 
+    def _categories(self, df: DataFrame) -> dict[str, list[str]]:
+        """Sorted values of each categorical column: one matrix column each, so their number has a bound.
+
+        No more than the bound is ever collected; beyond it the column is no category and is refused.
+        """
+        if not self.categorical:
+            return {}
+        tagged = F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).cast("string").alias("v")) for i, c in enumerate(self.categorical)])
+        values = df.select(F.explode(tagged).alias("t")).select("t.*").where("v IS NOT NULL").distinct()
+        found = values.limit(MAX_CATEGORIES * len(self.categorical) + 1).collect()
+        out: dict[str, list[str]] = {f"cats_{i}": [] for i in range(len(self.categorical))}
+        for r in found:
+            out[f"cats_{r['i']}"].append(r["v"])
+        wide = [c for i, c in enumerate(self.categorical) if len(out[f"cats_{i}"]) > MAX_CATEGORIES]
+        if wide:
+            raise ValueError(f"more than {MAX_CATEGORIES} categories in {', '.join(wide)}")
+        return {k: sorted(v) for k, v in out.items()}
+
     def fit(self, df: DataFrame) -> "DesignMatrix":
         aggs = []
         for i, c in enumerate(self.impute):
             aggs.append(F.mode(F.col(c), True).alias(f"mode_{i}"))
-        for i, c in enumerate(self.categorical):
-            aggs.append(F.sort_array(F.collect_set(F.col(c).cast("string"))).alias(f"cats_{i}"))
         for i, c in enumerate(self.standardise):
             aggs += [F.avg(c).alias(f"avg_{i}"), F.stddev_pop(c).alias(f"std_{i}")]
         for i, c in enumerate(self.min_max):
             aggs += [F.min(c).alias(f"min_{i}"), F.max(c).alias(f"max_{i}")]
-        state = df.agg(*aggs).first().asDict() if aggs else {}
+        state = (df.agg(*aggs).first().asDict() if aggs else {}) | self._categories(df)
         return DesignMatrix(
             self.impute,
             self.categorical,

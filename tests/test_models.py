@@ -69,6 +69,15 @@ def test_design_matrix(spark):
     assert np.allclose(z, np.array([-2, 0, 2]) / math.sqrt(8 / 3))
 
 
+def test_too_many_categories_are_refused_before_they_are_collected(spark, monkeypatch):
+    monkeypatch.setattr(md, "MAX_CATEGORIES", 5)
+    matrix = md.DesignMatrix([], ["id", "two"], [], [], {}, [])
+    wide = spark.range(1_000_000).withColumn("two", F.col("id") % 2)
+    with pytest.raises(ValueError, match="more than 5 categories in id"):
+        matrix.fit(wide)
+    assert matrix.fit(wide.withColumn("id", F.col("id") % 5)).state == {"cats_0": ["0", "1", "2", "3", "4"], "cats_1": ["0", "1"]}
+
+
 def test_grouped_rows_give_the_same_fit(spark, orders):
     frame = ft.trend_cycle_features(orders, 2).filter("tip is not null")
     matrix = md.trend_matrix(2).fit(frame)
