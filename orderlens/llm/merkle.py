@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from orderlens.llm.store import prepare, written
 from orderlens.operators.ranking import global_rank
 
-ARITY, DEPTH = 3, 9
+ARITY, DEPTH = 3, 7
 BITS = 12
 CONTAINER = 1 << BITS
 LISTED = CONTAINER // 16  # longer lists of 16-bit numbers take more room than the bit array
