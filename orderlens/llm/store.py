@@ -44,6 +44,21 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """The name, with underscores where a column of the frame has it already."""
+    have = {c.lower() for c in df.columns}
+    while name.lower() in have:
+        name += "_"
+    return name
+
+
+def added(df: DataFrame, name: str) -> str:
+    """The name of a column to add; an error where the frame has it already."""
+    if unused(df, name) != name:
+        raise ValueError(f"the input has a column {name}: name another one for the result")
+    return name
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of plans that nothing refers to any more."""
     gc.collect()

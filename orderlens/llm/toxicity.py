@@ -7,11 +7,14 @@ unlabelled and is kept from turning negative. The classifiers are logistic model
 seeds whose scores are averaged, over the presence of words and of five-byte sequences in lower case.
 
 Features are hashed into tables of fixed size. Which ones count is decided from document counts of the training
-sample, added up by Spark. The sample is bounded by parameters (``positives``, ``unlabelled``): rows are taken in
-the order of a hash of their id, so it does not depend on how the data lies. Scoring covers all texts.
-
-Null and empty texts have no features and get the score of the intercept. Repeated ids are scored row by row;
-null ids are scored but never learned from. Without any positive row every score is the prior, 0.
+sample, added up by Spark. The sample is bounded by parameters (``positives``, ``unlabelled``): ids are taken in
+the order of their hash, so it does not depend on how the data lies, and each id is learned from once, whatever
+the number of its rows. Scoring covers all texts; a text goes to the Python worker once and does not come back.
+
+Null and empty texts have no features and get the score of the intercept; a very long text is scored as a whole, alone
+in its slice of a batch. Repeated ids are scored row by row, and the largest of their texts is learned from; null ids
+are scored but never learned from. Without any positive row every score is the prior, 0; an empty table gives an
+empty result. Further columns are passed on; an input column named like the result is an error.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.store import prepare, written
+from orderlens.llm.store import added, prepare, written
 from orderlens.llm.vectors import parts, total
 from orderlens.llm.words import _LOWER, slices, span_hashes, text_bytes
 
@@ -113,8 +116,8 @@ def train(docs: list[np.ndarray], positive: np.ndarray, n: int, prior: float, se
     return w[:n], w[n]
 
 
-def calibrated(docs: list[np.ndarray], positive: np.ndarray, prior: float, w: np.ndarray, b: float):
-    """The model, its intercept lowered where scores of unlabelled texts average above 1.5 times the class prior.
+def calibrated(docs: list[np.ndarray], positive: np.ndarray, prior: float, w: np.ndarray, b: float, most: float):
+    """The model, its intercept lowered where scores of unlabelled texts average above ``most`` times the class prior.
 
     With few positives the weights may separate them from everything and leave the intercept anywhere.
     """
@@ -122,7 +125,7 @@ def calibrated(docs: list[np.ndarray], positive: np.ndarray, prior: float, w: np
     low, high = -60.0, 60.0
     for _ in range(60):
         at = (low + high) / 2
-        over = (1 / (1 + np.exp(-np.clip(z + at, -30, 30)))).mean() > 1.5 * prior
+        over = (1 / (1 + np.exp(-np.clip(z + at, -30, 30)))).mean() > most * prior
         low, high = (low, at) if over else (at, high)
     return w, min(b, low)
 
@@ -147,9 +150,12 @@ class Model:
 
 def fit(
     docs: DataFrame, labels: DataFrame, learnable: Column, positives: int = 8_000, unlabelled: int = 16_000,
-    chosen: int = 3_000, classifiers: int = 3,
+    chosen: int = 3_000, classifiers: int = 3, most_unlabelled: float | None = 1.5,
 ) -> Model:
-    """learnable: a condition on ``doc_id`` for rows that may be learned from."""
+    """learnable: a condition on ``doc_id`` for rows that may be learned from.
+
+    most_unlabelled: see ``calibrated``; None leaves the intercepts as they were trained.
+    """
     spark = docs.sparkSession
     prepare(spark)
     order = F.xxhash64("doc_id")
@@ -159,42 +165,31 @@ def fit(
         return Model(np.empty(0, np.int32), np.empty((0, 0)), np.empty(0), 0.0)
     prior = min(0.9, counts[1] / counts[0])
     pos_rows = known.where("toxic = 1").select("doc_id").distinct().orderBy(order, "doc_id").limit(positives).collect()
-    pos = np.sort(np.array([r[0] for r in pos_rows], np.int64))
-    ids = docs.where(learnable & F.col("doc_id").isNotNull()).select("doc_id")
-    n_ids = ids.count()
-    share = min(1.0, unlabelled / max(1, n_ids))
-    line = int(share * (1 << 63))
-
-    rows = docs.where(learnable).select("doc_id", F.col("text").cast("string").alias("text"), F.shiftrightunsigned(order, 1).alias("o"))
-
-    def sampled(batch: pa.RecordBatch) -> tuple[pa.RecordBatch, np.ndarray, np.ndarray]:
-        ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-        is_pos = np.isin(ids, pos)
-        is_unl = batch.column("o").to_numpy(zero_copy_only=False) < line
-        use = is_pos | is_unl
-        return batch.filter(pa.array(use)), is_pos[use], is_unl[use]
-
+    pos = spark.createDataFrame(pos_rows, "doc_id bigint").withColumn("p", F.lit(True))
+    learn = docs.where(learnable & F.col("doc_id").isNotNull()).select("doc_id", F.col("text").cast("string").alias("text"))
+    line = min((1 << 63) - 1, int(unlabelled / max(1, learn.count()) * (1 << 63)))
+    some = learn.join(F.broadcast(pos), "doc_id", "left").select(
+        "doc_id", "text", F.coalesce("p", F.lit(False)).alias("p"), (F.shiftrightunsigned(order, 1) <= line).alias("u")
+    )
+    of_id = some.where("p OR u").groupBy("doc_id").agg(F.max("text").alias("text"), F.max("p").alias("p"), F.max("u").alias("u"))
+    sample = written(of_id.select("text", "p", "u"), "toxicity-texts")
+    n_pos, n_unl = (max(1.0, float(x or 0)) for x in sample.agg(F.sum(F.col("p").cast("int")), F.sum(F.col("u").cast("int"))).first())
     counted = pa.schema([("part", pa.int32()), ("counts", pa.binary())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df = np.zeros(2 * SIZE, np.uint32)
         everything = np.arange(SIZE)
         for whole in batches:
-            some, is_pos, is_unl = sampled(whole)
-            done = 0
-            for batch in slices(some, "text"):
+            for batch in slices(whole, "text"):
                 doc, feature = _present(batch.column("text"), everything)
-                p, u = is_pos[done : done + batch.num_rows], is_unl[done : done + batch.num_rows]
-                df[:SIZE] += np.bincount(feature[p[doc]], minlength=SIZE).astype(np.uint32)
-                df[SIZE:] += np.bincount(feature[u[doc]], minlength=SIZE).astype(np.uint32)
-                done += batch.num_rows
+                for side, name in enumerate("pu"):
+                    use = batch.column(name).to_numpy(zero_copy_only=False)[doc]
+                    df[side * SIZE : (side + 1) * SIZE] += np.bincount(feature[use], minlength=SIZE).astype(np.uint32)
         for row in parts(df):
             yield pa.RecordBatch.from_pylist([row], schema=counted)
 
-    learn = rows.where("doc_id IS NOT NULL")
-    df = total(learn.mapInArrow(count, "part int, counts binary"), 2 * SIZE).astype(np.float64)
+    df = total(sample.mapInArrow(count, "part int, counts binary"), 2 * SIZE).astype(np.float64)
     in_pos, in_unl = df[:SIZE], df[SIZE:]
-    n_pos, n_unl = max(1.0, float(len(pos))), max(1.0, share * n_ids)
     both = (in_pos + in_unl + 1) / (n_pos + n_unl + 2)
     gap = (in_pos / n_pos - in_unl / n_unl) / np.sqrt(both * (1 - np.minimum(both, 0.999)) * (1 / n_pos + 1 / n_unl))
     gap[in_pos + in_unl < 3] = 0
@@ -202,47 +197,42 @@ def fit(
     best = np.sort(best[np.abs(gap[best]) > 4])
     table = np.full(SIZE, -1, np.int32)
     table[best] = np.arange(len(best), dtype=np.int32)
-    drawn = pa.schema([("pos", pa.bool_()), ("unl", pa.bool_()), ("f", pa.binary())])
+    drawn = pa.schema([("p", pa.bool_()), ("u", pa.bool_()), ("f", pa.binary())])
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            some, is_pos, is_unl = sampled(whole)
-            done = 0
-            for batch in slices(some, "text"):
-                k = batch.num_rows
+            for batch in slices(whole, "text"):
                 doc, entry = _present(batch.column("text"), table)
-                cut = np.searchsorted(doc, np.arange(k + 1))
+                cut = np.searchsorted(doc, np.arange(batch.num_rows + 1))
                 f = [entry[a:b].astype("<u2").tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(is_pos[done : done + k]), pa.array(is_unl[done : done + k]), pa.array(f, pa.binary())], schema=drawn
-                )
-                done += k
+                yield pa.RecordBatch.from_arrays([batch.column("p"), batch.column("u"), pa.array(f, pa.binary())], schema=drawn)
 
-    got = written(learn.mapInArrow(draw, "pos boolean, unl boolean, f binary"), "toxicity-sample").toArrow()
+    got = sample.mapInArrow(draw, "p boolean, u boolean, f binary").toArrow()
     texts, positive = [], []
-    for f, p, u in zip(got["f"].to_pylist(), got["pos"].to_pylist(), got["unl"].to_pylist(), strict=True):
+    for f, p, u in zip(got["f"].to_pylist(), got["p"].to_pylist(), got["u"].to_pylist(), strict=True):
         entry = np.frombuffer(f, "<u2").astype(np.int64)
         for side in ([True] if p else []) + ([False] if u else []):
             texts.append(entry)
             positive.append(side)
     order_ = sorted(range(len(texts)), key=lambda i: (positive[i], texts[i].tobytes()))
     texts, positive = [texts[i] for i in order_], np.array([positive[i] for i in order_], bool)
-    fits = [calibrated(texts, positive, prior, *train(texts, positive, len(best), prior, seed)) for seed in range(classifiers)] if positive.any() and (~positive).any() else []
+    fits = []
+    if positive.any() and (~positive).any():
+        for seed in range(classifiers):
+            w, b = train(texts, positive, len(best), prior, seed)
+            fits.append(calibrated(texts, positive, prior, w, b, most_unlabelled) if most_unlabelled else (w, b))
     return Model(table, np.array([w for w, _ in fits]), np.array([b for _, b in fits]), prior)
 
 
-def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """The input's columns and ``score``."""
+def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:
+    """The input's columns and the score in a column ``out``."""
     prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value
-        for whole in batches:
-            for batch in slices(whole, "t"):
-                scores = pa.array(own.scores(batch.column("t")), pa.float64())
-                yield pa.RecordBatch.from_arrays([batch.column("row"), scores], names=["row", "s"])
+    def run(column: pa.Array) -> pa.Array:
+        batch = pa.RecordBatch.from_arrays([column], names=["t"])
+        return pa.array(np.concatenate([shared.value.scores(x.column("t")) for x in slices(batch, "t")] or [np.empty(0)]), pa.float64())
 
-    rows = docs.select(F.struct("*").alias("row"), F.col(text).cast("string").alias("t"))
-    out = rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, s double")
-    return out.select("row.*", F.col("s").alias("score"))
+    # Nondeterministic to the optimizer, so that it is called once per row, however the score is used.
+    scorer = F.arrow_udf(run, "double").asNondeterministic()
+    return docs.select("*", scorer(F.col(text).cast("string")).alias(added(docs, out)))

@@ -1,6 +1,6 @@
 """Sums of long count vectors that tasks hold in parts.
 
-A task emits each part of its vector once (two bytes a count); parts are added on the executors in two levels, so
+A task emits each part of its vector once (two bytes a count, four where one is larger); parts are added on the executors in two levels, so
 no group grows with the number of tasks beyond its share, and the driver gets one vector of a fixed length.
 """
 
@@ -21,11 +21,13 @@ _SCHEMA = pa.schema([("part", pa.int32()), ("salt", pa.int32()), ("counts", pa.b
 
 
 def parts(vector: np.ndarray) -> Iterator[dict]:
-    """Non-zero parts of a vector, counts clipped to two bytes."""
+    """Non-zero parts of a vector of counts below 2^32."""
     for i in range(0, len(vector), PART):
-        some = np.minimum(vector[i : i + PART], 65535).astype("<u2")
+        some = vector[i : i + PART]
         if some.any():
-            yield {"part": i // PART, "counts": zlib.compress(some.tobytes(), 1)}
+            padded = np.zeros(PART, "<u2" if some.max() < 1 << 16 else "<u4")
+            padded[: len(some)] = some
+            yield {"part": i // PART, "counts": zlib.compress(padded.tobytes(), 1)}
 
 
 def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -33,9 +35,7 @@ def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
             key, raw = row, zlib.decompress(row["counts"])
-            wide = len(raw) > 2 * PART
-            values = np.frombuffer(raw, "<u8" if wide else "<u2").astype(np.uint64)
-            total[: len(values)] += values
+            total += np.frombuffer(raw, f"<u{len(raw) // PART}").astype(np.uint64)
     if key:
         yield pa.RecordBatch.from_pylist([key | {"counts": zlib.compress(total.astype("<u8").tobytes(), 1)}], schema=_SCHEMA)
 

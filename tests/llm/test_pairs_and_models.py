@@ -244,6 +244,41 @@ def test_toxicity_without_labels(spark):
     assert toxicity.score(documents(spark, []), model).count() == 0
 
 
+def test_toxicity_sample_is_bounded_in_rows(spark, monkeypatch):
+    """One positive and one unlabelled id on most rows: each id is learned from once."""
+    texts = [f"vile w{i % 7}" for i in range(40)] + [f"fine w{i % 9}" for i in range(160)]
+    ids = [1] * 30 + [*range(2, 12)] + [12] * 60 + [*range(13, 113)]
+    docs = documents(spark, texts, ids)
+    labels = spark.createDataFrame([(i, int(i < 12)) for i in range(1, 113)], "doc_id bigint, toxic int")
+    seen = []
+    train = toxicity.train
+    monkeypatch.setattr(toxicity, "train", lambda texts, positive, *rest: seen.append(positive) or train(texts, positive, *rest))
+    toxicity.fit(docs, labels, F.lit(True), positives=5, unlabelled=1000)
+    assert {(int(p.sum()), int((~p).sum())) for p in seen} == {(5, 112)}
+    few = toxicity.fit(docs, labels, F.lit(True), positives=100, unlabelled=1000, most_unlabelled=None)
+    scored = {(r.text, r.score) for r in toxicity.score(docs, few).collect()}
+    assert min(s for t, s in scored if "vile" in t) > max(s for t, s in scored if "fine" in t)
+
+
+def test_toxicity_scores_once_and_names_its_column(spark):
+    model = toxicity.Model(np.full(toxicity.SIZE, -1, np.int32), np.zeros((1, 1)), np.array([0.0]), 0.5)
+    docs = documents(spark, ["a", None, "b" * 5_000_000]).withColumn("Score", F.lit("mine"))
+    with pytest.raises(ValueError, match="score"):
+        toxicity.score(docs, model)
+    kept = toxicity.score(docs, model, out="s").where("s >= 0.5 AND s < 0.6").select("Score", "s", (F.col("s") * 2).alias("t"))
+    assert [tuple(r) for r in kept.collect()] == [("mine", 0.5, 1.0)] * 3
+    assert kept._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+
+
+def test_vector_counts_are_whole():
+    from orderlens.llm import vectors
+
+    wide = np.zeros(vectors.PART + 3, np.uint32)
+    wide[[0, vectors.PART + 2]] = 70_000, 9
+    raw = [np.frombuffer(zlib.decompress(r["counts"]), f"<u{k}") for r, k in zip(vectors.parts(wide), (4, 2), strict=True)]
+    assert raw[0][0] == 70_000 and raw[1][2] == 9
+
+
 def test_toxicity_query(spark, sf_dir):
     rows = QUERIES["op7_toxicity"](spark, sf_dir).collect()
     assert len(rows) == len(corpus(sf_dir))
