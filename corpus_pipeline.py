@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from orderlens.llm import chunks, jaccard, packing, quality, toxicity
 from orderlens.llm.queries import remainder, vocabulary
-from orderlens.llm.store import written
+from orderlens.llm.store import unused, written
 from orderlens.session import ensure_utc
 
 WINDOW, END_ID, MAX_TOXIC = 4096, 2, 0.3
@@ -30,8 +30,8 @@ def _with_text(rows: DataFrame, columns: list[str], text) -> DataFrame:
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
     model = toxicity.fit(docs.select("doc_id", "text"), labels, remainder(4) != 2)
-    plain = docs.select(F.struct("*").alias("row"), "text")
-    return toxicity.score(plain, model).where(F.col("score") < MAX_TOXIC).select("row.*")
+    name = unused(docs, "score")
+    return toxicity.score(docs, model, out=name).where(F.col(name) < MAX_TOXIC).drop(name)
 
 
 def clean_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,9 +44,10 @@ def clean_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # Numbers follow the partitions of a read, and these the cores of the moment: written once, they stay the same.
-    numbered = written(docs.withColumn("_row", F.monotonically_increasing_id()), "pipeline-numbered")
-    kept = jaccard.linked_documents(numbered, row="_row").where("kept").select(F.col("row").alias("_row"))
-    return numbered.join(kept, "_row", "left_semi").select(*docs.columns)
+    number = unused(docs, "row")
+    numbered = written(docs.withColumn(number, F.monotonically_increasing_id()), "pipeline-numbered")
+    kept = jaccard.linked_documents(numbered, row=number).where("kept").select(F.col("row").alias(number))
+    return numbered.join(kept, number, "left_semi").select(*docs.columns)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
