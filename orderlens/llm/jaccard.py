@@ -155,13 +155,14 @@ def _shared_columns(docs: DataFrame, size: int, percent: int, sketch) -> DataFra
 def _candidates(docs: DataFrame, size: int, percent: int, sketch, bits) -> DataFrame:
     """Rows that share a column of their prefix with another.
 
-    digest, n, p and q (lengths of the prefix and of its first part), cols (its columns that others have too), front
+    digest, n, p and q (lengths of the prefix and of its first part), cols (its columns that others have too) and
+    places (theirs in the order of all columns of the set), front
     (how many of them lie in the first part), central (their share in 1/1000),
     keys (for the leader rounds), text, which is smaller than the set and gives it again.
     """
-    names = ["digest", "n", "p", "q", "cols", "front", "central", "keys", "text"]
+    names = ["digest", "n", "p", "q", "cols", "places", "front", "central", "keys", "text"]
     longs = pa.list_(pa.int64())
-    kinds = [pa.binary(), *[pa.int32()] * 3, longs, pa.int32(), pa.int32(), longs, pa.string()]
+    kinds = [pa.binary(), *[pa.int32()] * 3, longs, pa.list_(pa.int32()), pa.int32(), pa.int32(), longs, pa.string()]
     schema = pa.schema(list(zip(names, kinds, strict=True)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,13 +189,14 @@ def _candidates(docs: DataFrame, size: int, percent: int, sketch, bits) -> DataF
                         keys = [int(x.view(np.int64)) for pair in zip(rare, least, strict=True) for x in pair]
                         central = 1000 * len(p) // len(whole_p)
                         front = int(np.count_nonzero(ok[:q]))
-                        rows.append((d, len(s), len(whole_p), q, p.view(np.int64), front, central, keys, texts[i].as_py()))
+                        places = np.flatnonzero(ok).astype(np.int32)
+                        rows.append((d, len(s), len(whole_p), q, p.view(np.int64), places, front, central, keys, texts[i].as_py()))
                 if rows:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema
                     )
 
-    kind = "digest binary, n int, p int, q int, cols array<bigint>, front int, central int, keys array<bigint>, text string"
+    kind = "digest binary, n int, p int, q int, cols array<bigint>, places array<int>, front int, central int, keys array<bigint>, text string"
     return _texts(docs).mapInArrow(run, kind).dropDuplicates(["digest"])
 
 
@@ -248,8 +250,15 @@ def _verified(pairs: DataFrame, rows: DataFrame, size: int, percent: int) -> Dat
                     pa.array(keep, pa.bool_())
                 )
 
-    # Both joins read one exchange of the texts; only the second sides' texts travel once more.
-    texts = rows.select("digest", "text")
+    # Only texts that are compared travel, by a filter of fixed size that lets few others through. Both joins read one
+    # exchange of them; the second sides' texts travel once more.
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("d")).select(F.xxhash64("d").alias("h"))
+    bits = rows.sparkSession.sparkContext.broadcast(filter_bits(asked, "h"))
+
+    def compared(h: pa.Array) -> pa.Array:
+        return pa.array(passes(bits.value, h.to_numpy(zero_copy_only=False).view(np.uint64)))
+
+    texts = rows.where(F.arrow_udf(compared, "boolean")(F.xxhash64("digest"))).select("digest", "text")
     firsts = texts.alias("l").join(pairs.select("a").distinct(), F.col("l.digest") == F.col("a"), "left_semi")
     left = pairs.join(texts.alias("s"), F.col("s.digest") == F.col("b")).select(
         F.col("a").alias("lead"), "b", F.col("s.text").alias("y")
@@ -300,18 +309,21 @@ def linked_documents(docs: DataFrame, size: int = 5, percent: int = 75, row: str
         root = one_step if number + 1 < ROUNDS else components(links, "jaccard-roots")
     held = rows.join(root, rows["digest"] == root["node"], "left").select(
         F.struct("n", "central", "digest").alias("rank"), "p", "q", F.coalesce("root", "digest").alias("root"),
-        F.posexplode("cols").alias("i", "col"), "front",
-    )
+        F.posexplode(F.arrays_zip("cols", "places")).alias("i", "at"), "front",
+    ).select("rank", "p", "q", "root", "i", F.col("at.cols").alias("col"), (F.col("rank.n") - F.col("at.places")).alias("rest"), "front")
     mixed = held.groupBy("col").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("col")
     open_ = written(held.join(mixed, "col"), "jaccard-open")
     # The product itself: the first part of the smaller row's prefix against the prefix of the larger. The first
-    # column that a linked pair shares lies in both. Shared columns are counted, pairs below the bound dropped.
-    x = open_.where("i < front").select("col", *[F.col(c).alias(f"{c}a") for c in ("rank", "root", "q")])
-    y = open_.select("col", *[F.col(c).alias(f"{c}b") for c in ("rank", "root", "p")])
+    # column that a linked pair shares lies in both. Shared columns are counted, pairs below the bound dropped. Where
+    # two rows meet, what they share is at most the open columns that both have passed and the columns that both have left.
+    x = open_.where("i < front").select("col", *[F.col(c).alias(f"{c}a") for c in ("rank", "root", "q", "i", "rest")])
+    y = open_.select("col", *[F.col(c).alias(f"{c}b") for c in ("rank", "root", "p", "i", "rest")])
+    reach = (F.least("ia", "ib") + F.least("resta", "restb")).cast("bigint")
     across = (
         x.join(y, "col")
         .where((F.col("roota") != F.col("rootb")) & (F.col("ranka") < F.col("rankb")))
         .where(F.col("ranka.n").cast("bigint") * 100 >= F.col("rankb.n").cast("bigint") * percent)
+        .where(reach * (100 + percent) >= (F.col("ranka.n").cast("bigint") + F.col("rankb.n")) * percent)
         .groupBy("ranka", "rankb", "qa", "pb")
         .agg(F.count("*").alias("c"))
         .select(F.col("ranka.digest").alias("a"), F.col("rankb.digest").alias("b"), F.col("ranka.n").alias("na"),
