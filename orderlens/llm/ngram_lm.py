@@ -13,7 +13,8 @@ either level, and the lower level interpolates with a uniform share over the voc
 
 Tasks add up what they have before they shuffle it, so a frequent word or pair is a few rows. Null text counts as
 empty (the end token alone); rows are scored one by one, so null or repeated ids do not matter; an empty training
-set gives the uniform share over the unknown word alone.
+set gives the uniform share over the unknown word alone. Counts have 64 bits; more distinct words than 32 bits can
+number are refused with an error. Further columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from orderlens.llm.words import hashed_words, slices
 
 END = np.uint64(0x0123456789ABCDEF)
 WORDS_PER_SHARD, PAIRS_PER_BLOCK, HELD = 1 << 15, 1 << 20, 1 << 21
+MOST_WORDS = (1 << 32) - 1  # and the start mark
 _OPENED: dict[str, np.ndarray] = {}
 
 
@@ -164,7 +166,7 @@ class Model:
         count = np.zeros(len(word))
         start = int(np.searchsorted(word, 0))
         for k, at, (address,) in self._ranged(self.lower, word[start:]):
-            count[start + at] = _file(address, "<u4")[word[start + at] - k * self.width]
+            count[start + at] = _file(address, "<i8")[word[start + at] - k * self.width]
         cut = np.choose(np.minimum(count, 3).astype(int), [0.0, d1, d2, d3])
         return (count - cut) / total + (d1 * n1 + d2 * n2 + d3 * n3) / total * uniform
 
@@ -178,12 +180,12 @@ class Model:
         start = int(np.searchsorted(c, 0))
         for k, at, (keys, counts, stats) in self._ranged(self.blocks, c[start:]):
             at = at + start
-            sums[at] = _file(stats, "<u4").reshape(-1, 4)[c[at] - k * self.width]
+            sums[at] = _file(stats, "<i8").reshape(-1, 4)[c[at] - k * self.width]
             table, known = _file(keys, "<u8"), at[w[at] >= 0]
             key = (c[known].astype(np.uint64) << np.uint64(32)) | w[known].astype(np.uint64)
             if len(table) and len(key):
                 found = np.minimum(np.searchsorted(table, key), len(table) - 1)
-                count[known] = np.where(table[found] == key, _file(counts, "<u4")[found], 0)
+                count[known] = np.where(table[found] == key, _file(counts, "<i8")[found], 0)
         d1, d2, d3 = self.discounts
         total = sums[:, 0]
         cut = np.choose(np.minimum(count, 3).astype(int), [0.0, d1, d2, d3])
@@ -230,6 +232,8 @@ def train(texts: DataFrame) -> Model:
     prepare(spark)
     folder = fresh(spark, "lm")
     vocabulary = build_vocabulary(texts, folder)
+    if vocabulary.size >= MOST_WORDS:
+        raise ValueError(f"{vocabulary.size} distinct words: a key holds two word numbers of 32 bits")
     blocks = _power(-(-vocabulary.total // PAIRS_PER_BLOCK))
     width = -(-(vocabulary.size + 1) // blocks)
     shared = spark.sparkContext.broadcast(vocabulary)
@@ -280,16 +284,16 @@ def train(texts: DataFrame) -> Model:
             if sum(len(x) for x, _ in waiting) > HELD:
                 fold()
         fold()
-        counts = np.minimum(counts, 0xFFFFFFFF)
         row = (keys >> np.uint64(32)).astype(np.int64) - k * width
-        stats = np.zeros((width, 4))
-        for column, use in enumerate((counts > 0, counts == 1, counts == 2, counts > 2)):
-            stats[:, column] = np.bincount(row[use], counts[use] if not column else None, width)
+        stats = np.zeros((width, 4), np.int64)
+        np.add.at(stats[:, 0], row, counts)
+        for column, use in enumerate((counts == 1, counts == 2, counts > 2), start=1):
+            stats[:, column] = np.bincount(row[use], minlength=width)
         head = {
             "block": k, "n": [int((counts == i).sum()) for i in (1, 2, 3, 4)],
             "keys": put(folder, f"pairs-{k}", keys.astype("<u8").tobytes()),
-            "counts": put(folder, f"pair-counts-{k}", counts.astype("<u4").tobytes()),
-            "stats": put(folder, f"contexts-{k}", np.minimum(stats, 0xFFFFFFFF).astype("<u4").tobytes()),
+            "counts": put(folder, f"pair-counts-{k}", counts.astype("<i8").tobytes()),
+            "stats": put(folder, f"contexts-{k}", stats.astype("<i8").tobytes()),
         }
         yield pa.RecordBatch.from_pylist([head], schema=made)
         # How many contexts of this block each word has, cut by the words' own blocks.
@@ -312,7 +316,7 @@ def train(texts: DataFrame) -> Model:
                 word, times = np.split(np.frombuffer(data, "<u4").astype(np.int64), 2)
                 sums[word - j * width] += times
         n = [int((sums == i).sum()) for i in (1, 2, 3, 4)] + [int(sums.sum()), int((sums > 2).sum())]
-        row = {"of": j, "n": n, "address": put(folder, f"lower-{j}", np.minimum(sums, 0xFFFFFFFF).astype("<u4").tobytes())}
+        row = {"of": j, "n": n, "address": put(folder, f"lower-{j}", sums.astype("<i8").tobytes())}
         yield pa.RecordBatch.from_pylist([row], schema=listed)
 
     below = merged.where("of IS NOT NULL").select("of", "data").groupBy("of").applyInArrow(lower, "of int, address string, n array<bigint>")
