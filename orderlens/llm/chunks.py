@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderlens.llm.bloom import filter_bits, passes
 from orderlens.llm.store import prepare, written
@@ -93,8 +94,16 @@ def removed(text: str, spans: list[tuple[int, int]]) -> tuple[str, list[dict]]:
     return "".join(out) + raw[at:].decode(), where
 
 
+def _field(name: str, kind: str | T.DataType) -> T.StructField:
+    # A type built from its parts: written as text, it would not take every column name.
+    return T.StructField(name, T.DataType.fromDDL(kind) if isinstance(kind, str) else kind)
+
+
 def without_repeats(docs: DataFrame, min_bytes: int = 100) -> DataFrame:
-    """The input's columns with ``text`` cleaned, and ``spans`` (start, length in characters of the old text)."""
+    """The input's columns with ``text`` cleaned, and ``spans`` (start, length in characters of the old text).
+
+    A column of the input that is called ``spans`` (in any case) gives way to the result, as in ``withColumn``.
+    """
     spark = docs.sparkSession
     prepare(spark)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -149,11 +158,10 @@ def without_repeats(docs: DataFrame, min_bytes: int = 100) -> DataFrame:
                 )
 
     whole = docs.select(F.struct("*").alias("row"), key.alias("key"), text.alias("text"))
-    names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in whole.schema)
+    chunk = T.StructType([_field("a", "int"), _field("b", "int"), _field("d", "bigint"), _field("again", "boolean")])
+    found = T.StructType([*[_field(f.name, f.dataType) for f in whole.schema], _field("chunks", T.ArrayType(chunk))])
     marked = written(
-        whole.mapInArrow(suspects, names + ", chunks array<struct<a:int,b:int,d:bigint,again:boolean>>").withColumn(
-            "id", F.monotonically_increasing_id()
-        ),
+        whole.mapInArrow(suspects, found).withColumn("id", F.monotonically_increasing_id()),
         "chunks-marked",
     )
     some = marked.where(F.size("chunks") > 0)
@@ -179,16 +187,16 @@ def without_repeats(docs: DataFrame, min_bytes: int = 100) -> DataFrame:
                 [batch.column("row"), pa.array(texts, pa.string()), pa.array(spans, kind)], names=["row", "cleaned", "spans"]
             )
 
-    row_type = whole.schema["row"].dataType.simpleString()
-    span_type = "array<struct<start:int,length:int>>"
+    span_type = T.ArrayType(T.StructType([_field("start", "int"), _field("length", "int")]))
+    cleaned = T.StructType([_field("row", whole.schema["row"].dataType), _field("cleaned", "string"), _field("spans", span_type)])
     changed = (
         some.join(gone, "id", "left")
         .select("row", "text", F.coalesce("gone", F.array().cast("array<struct<a:int,b:int>>")).alias("gone"))
-        .mapInArrow(clean, f"row {row_type}, cleaned string, spans {span_type}")
+        .mapInArrow(clean, cleaned)
     )
     same = marked.where(F.size("chunks") == 0).select(
         "row", F.col("text").alias("cleaned"), F.array().cast(span_type).alias("spans")
     )
     every = same.unionAll(changed)
-    columns = [F.col("cleaned").alias("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns]
+    columns = [F.col("cleaned").alias("text") if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns if c.lower() != "spans"]
     return every.select(*columns, "spans")

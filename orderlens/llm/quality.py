@@ -64,7 +64,10 @@ def _covered(positions: Column) -> Column:
 
 
 def judged(docs: DataFrame, text: str = "text", min_words: int = 10, max_repeat: int = 20, max_lost: float = 0.5) -> DataFrame:
-    """The input's columns and ``q``, a struct of counts, ``base_failed``, ``kept`` and the ``cleaned`` text."""
+    """The input's columns and ``q``, a struct of counts, ``base_failed``, ``kept`` and the ``cleaned`` text.
+
+    A column of the input that is called ``q`` (in any case) gives way to the result, as in ``withColumn``.
+    """
     own = docs.select(F.struct("*").alias("row"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("t"))
     a = own.select("row", "t", words(F.col("t")).alias("w"))
     n = F.size("w")
@@ -100,6 +103,6 @@ def judged(docs: DataFrame, text: str = "text", min_words: int = 10, max_repeat:
     kept = ~F.col("base_failed") & (F.length("cleaned") >= F.length("t") * (1 - max_lost))
     counts = [F.col(x).cast("bigint").alias(x) for x in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
     return e.select(
-        "row.*",
+        *[F.col("row").getField(c).alias(c) for c in docs.columns if c.lower() != "q"],
         F.struct(*counts, "base_failed", kept.alias("kept"), "cleaned").alias("q"),
     )
