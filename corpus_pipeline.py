@@ -10,7 +10,7 @@ last return the columns of their input; ``n_chars``, where there is one, follows
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.llm import chunks, jaccard, packing, quality, toxicity
@@ -21,10 +21,10 @@ from orderlens.session import ensure_utc
 WINDOW, END_ID, MAX_TOXIC = 4096, 2, 0.3
 
 
-def _with_text(rows: DataFrame, columns: list[str], text) -> DataFrame:
+def _with_text(rows: DataFrame, columns: dict[str, Column], text: Column) -> DataFrame:
     """The columns with a new text and the length that belongs to it."""
     new = {"text": text, "n_chars": F.length(text).cast("bigint")}
-    return rows.select(*[new[c].alias(c) if c in new else F.col(c) for c in columns])
+    return rows.select(*[new[c].alias(c) if c in new else old.alias(c) for c, old in columns.items()])
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,11 +35,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def clean_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    # As a struct beside the text, the row's columns meet no name of the rules; the number keeps the filter above
+    # the rules: moved below, it would repeat all their expressions.
     plain = docs.select(F.struct("*").alias("own"), "text")
-    # The number keeps the filter above the rules: moved below, it would repeat all their expressions.
     judged = quality.judged(plain).withColumn("_at", F.monotonically_increasing_id())
-    kept = judged.where(F.col("q.kept") & (F.col("_at") >= 0)).select("own.*", F.col("q.cleaned").alias("_cleaned"))
-    return _with_text(kept, docs.columns, F.col("_cleaned"))
+    kept = judged.where(F.col("q.kept") & (F.col("_at") >= 0)).select("own", F.col("q.cleaned").alias("cleaned"))
+    return _with_text(kept, {c: F.col("own").getField(c) for c in docs.columns}, F.col("cleaned"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,13 +48,17 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     number = unused(docs, "row")
     numbered = written(docs.withColumn(number, F.monotonically_increasing_id()), "pipeline-numbered")
     kept = jaccard.linked_documents(numbered, row=number).where("kept").select(F.col("row").alias(number))
-    return numbered.join(kept, number, "left_semi").select(*docs.columns)
+    return numbered.join(kept, number, "left_semi").drop(number)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cut = chunks.without_repeats(docs)
+    # A column called spans would give way to the operator's own.
+    name = unused(docs, "own")
+    others = [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns if c != "text"]
+    cut = chunks.without_repeats(docs.select("doc_id", "text", F.struct(*others).alias(name)))
     left = cut.where(F.rlike("text", F.lit(r"[^ \t-\r]")))  # nothing but repeats: nothing to train on
-    return _with_text(left, docs.columns, F.col("text"))
+    rest = {c: F.col("text") if c == "text" else F.col(name).getField(c) for c in docs.columns}
+    return _with_text(left, rest, F.col("text"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
