@@ -98,8 +98,9 @@ def line_facts(spark, sf) -> DataFrame:
         F.col("order_date").alias("staging_load_timestamp"),
     )
     return f_order_lines(
-        stage_lines(spark, sf), orders, src.product_versions(spark, sf), src.user_versions(spark, sf)
-    )
+        stage_lines(spark, sf), orders, src.product_versions(spark, sf), src.user_versions(spark, sf),
+        counted=src.order_products(spark, sf),
+    )
 
 
 def order_calendar(spark, sf) -> DataFrame:

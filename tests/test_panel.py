@@ -125,3 +125,30 @@ def test_as_of_equals_range_join(spark, min_rows, instant):
         "left",
     ).select("k", "ts", "id", "v", "sk")
     assert rows(got) == rows(want)
+
+
+def test_as_of_moves_only_what_is_used(spark):
+    """Unused columns of the facts are dropped before the shuffle; what is kept is the same, also beside odd names."""
+    facts = spark.createDataFrame(
+        [(1, "2024-01-05", "x", 7), (1, "2024-01-01", "y", 8), (2, "2024-01-05", "z", 9), (None, "2024-01-05", None, 1)],
+        "k long, day string, payload string, _kind int",
+    ).withColumn("ts", F.to_timestamp_ntz("day"))
+    dim = spark.createDataFrame([(1, "2024-01-02", None, "a")], "k long, f string, t string, sk string").select(
+        "k", F.to_timestamp("f").alias("valid_from"), F.to_timestamp("t").alias("valid_to"), "sk"
+    )
+    got = as_of(facts, dim, "k", "ts", "valid_from", "valid_to", {"sk": "sk"}, heavy=None)
+    assert got.columns == [*facts.columns, "sk"] and dict(got.dtypes)["ts"] == "timestamp_ntz"
+    assert sorted((r["payload"] or "", r["_kind"], r["sk"]) for r in got.collect()) == [("", 1, None), ("x", 7, "a"), ("y", 8, None), ("z", 9, None)]
+    plan = got.select("k", "sk")._jdf.queryExecution().optimizedPlan().toString()
+    assert "payload" not in plan and "xxhash64" not in plan
+
+
+def test_ids_are_packed_without_loss(spark):
+    from orderlens.functions.scalars import packed_id, unpacked_id
+
+    ids = ["0" * 32, "d41d8cd98f00b204e9800998ecf8427e", "D41D8CD98F00B204E9800998ECF8427E", "", "user-1", "x" * 15, "x" * 16, "g" * 32, "äöü", None]
+    df = spark.createDataFrame([(i,) for i in ids], "id string").withColumn("p", packed_id("id")).withColumn("back", unpacked_id("p"))
+    got = df.collect()
+    assert all(r["id"] == r["back"] for r in got)
+    assert len({bytes(r["p"]) for r in got if r["p"] is not None}) == len(ids) - 1
+    assert [len(r["p"]) for r in got[:2]] == [16, 16]
