@@ -63,8 +63,10 @@ class DesignMatrix:
         """
         if not self.categorical:
             return {}
-        tagged = F.array(*[F.struct(F.lit(i).alias("i"), F.col(c).cast("string").alias("v")) for i, c in enumerate(self.categorical)])
-        values = df.select(F.explode(tagged).alias("t")).select("t.*").where("v IS NOT NULL").distinct()
+        # Equal rows first: a few combinations are left to be taken apart.
+        combined = df.select(*[F.col(c).cast("string").alias(f"v{i}") for i, c in enumerate(self.categorical)]).distinct()
+        tagged = F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"v{i}").alias("v")) for i in range(len(self.categorical))])
+        values = combined.select(F.explode(tagged).alias("t")).select("t.*").where("v IS NOT NULL").distinct()
         found = values.limit(MAX_CATEGORIES * len(self.categorical) + 1).collect()
         out: dict[str, list[str]] = {f"cats_{i}": [] for i in range(len(self.categorical))}
         for r in found:
@@ -169,23 +171,15 @@ def fit_logistic(
     """L2 logistic regression; the strength is chosen by inner cross-validation on accuracy.
 
     Expects ``features`` (an array), ``tip`` and ``weight``. All strengths and inner folds are fitted
-    together, one job per Newton step. ``size`` is an upper bound of the rows, if known; it sets the
-    number of partitions. Of equally good strengths the smallest is taken.
+    together, one job per Newton step. ``size`` is an upper bound of the rows, if known; small data is put
+    into fewer partitions, without a shuffle. Of equally good strengths the smallest is taken.
     """
     rows = train.select("features", F.col("tip").cast("double").alias("label"), "weight").withColumn(
         "inner", F.pmod(F.xxhash64("features", "label"), F.lit(inner_folds)).cast("int")
     )
     if size is not None:
-        rows = rows.repartition(training_partitions(size))
-    rows = rows.persist()
-    try:
-        first = rows.select(F.size("features").alias("n")).first()
-        if first is None:
-            raise ValueError("no rows to train on")
-        grid = strengths or INVERSE_STRENGTHS
-        models, shares = fit_grid(rows, first["n"], inner_folds, grid)
-    finally:
-        rows.unpersist()
+        rows = rows.coalesce(training_partitions(size))
+    models, shares = fit_grid(rows, None, inner_folds, strengths or INVERSE_STRENGTHS)
     return models[0] if np.isnan(shares).all() else models[int(np.nanargmax(shares))]
 
 

@@ -1,7 +1,7 @@
 """Logistic regression by Newton steps for a whole grid of models at once.
 
-One pass over the rows gives loss, gradient and Hessian of every strength and inner fold: tasks sum small matrices in
-numpy and send one row each, sums are added on executors until at most ``MOST_SUMS`` reach the driver. A model with
+One pass over the rows gives loss, gradient and Hessian of every strength and inner fold that is still open; one strength goes
+ahead and the others start at its optimum. Tasks sum small matrices in numpy and send one row each, sums are added on executors until at most ``MOST_SUMS`` reach the driver. A model with
 d inputs costs d * d numbers, whatever the rows. A step that makes a model's loss larger is halved, so all models converge.
 
 ``fit_users`` fits the same with one intercept per user. For given common coefficients a user's intercept depends on the user's own
@@ -78,8 +78,8 @@ class Steps:
         self.loss = np.full(len(ridge), np.inf)
         self.open = np.ones(len(ridge), bool)
 
-    def update(self, models: np.ndarray, loss: np.ndarray, gradient: np.ndarray, hessian: np.ndarray) -> None:
-        """Sums at the trial points of some models: accept and step on, or go half way back."""
+    def update(self, models: np.ndarray, loss: np.ndarray, gradient: np.ndarray, hessian: np.ndarray, close: bool = True) -> None:
+        """Sums at the trial points of some models: accept and step on, or go half way back. Unless ``close``, none ends here."""
         for i, m in enumerate(models):
             value = loss[i] + 0.5 * (self.ridge[m] * self.trial[m] ** 2).sum()
             if value > self.loss[m] + 1e-9 * abs(value) and np.abs(self.trial[m] - self.at[m]).max() > 1e-12:
@@ -89,7 +89,7 @@ class Steps:
             g = gradient[i] + self.ridge[m] * self.at[m]
             h = hessian[i] + np.diag(self.ridge[m])
             step = np.linalg.lstsq(h, g, rcond=1e-13)[0]  # a column without rows of its own stays where it is
-            if g @ step <= TOLERANCE * max(1.0, abs(value)):
+            if close and g @ step <= TOLERANCE * max(1.0, abs(value)):
                 self.open[m] = False
             else:
                 self.trial[m] = self.at[m] - step
@@ -111,60 +111,124 @@ class LinearModel:
         return df.withColumn("prediction", (self.margin() > 0).cast("double"))
 
 
-def fit_grid(rows: DataFrame, width: int, folds: int, strengths: list[float]) -> tuple[list[LinearModel], np.ndarray]:
+def in_blocks(rows: DataFrame) -> DataFrame:
+    """Training rows as compressed matrices of a batch each: columns are inputs, label, weight, inner; ``width`` counts the inputs.
+
+    Every pass reads all rows. A row's numbers go to Python one by one only here, and flags take next to no room.
+    """
+    schema = pa.schema([("n", pa.int32()), ("width", pa.int32()), ("block", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x = _list(batch.column("features"), batch.num_rows)
+                others = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("label", "weight", "inner")]
+                block = pa.compress(np.vstack([x.T, *others]).tobytes(), codec="lz4_raw", asbytes=True)
+                one = [[batch.num_rows], [x.shape[1]], [block]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(one, schema, strict=True)], schema=schema)
+
+    return rows.select("features", "label", "weight", "inner").mapInArrow(run, "n int, width int, block binary")
+
+
+def _matrices(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    for n, width, block in zip(*(batch.column(c) for c in ("n", "width", "block")), strict=True):
+        n, rows = n.as_py(), width.as_py() + 3
+        yield np.frombuffer(pa.decompress(block.as_buffer(), 8 * n * rows, "lz4_raw")).reshape(rows, n)
+
+
+def _half_products(x: np.ndarray) -> np.ndarray:
+    """Products of two inputs (inputs x rows), each pair once, by rows of the upper triangle."""
+    n, out, at = len(x), np.empty((len(x) * (len(x) + 1) // 2, x.shape[1])), 0
+    for i in range(n):
+        np.multiply(x[i], x[i:], out=out[at : at + n - i])
+        at += n - i
+    return out
+
+
+def fit_grid(rows: DataFrame, width: int | None, folds: int, strengths: list[float]) -> tuple[list[LinearModel], np.ndarray]:
     """One model per strength C over all rows, and the mean held-out accuracy of each strength.
 
-    ``rows``: features (array of ``width`` doubles), label, weight, inner (fold number). Minimised is the weighted loss plus
-    |coefficients|**2 / (2 C); the intercept is free. With one strength nothing is held out.
+    ``rows``: features (array of ``width`` doubles, counted where None), label, weight, inner (fold number). They are read once.
+    Minimised is the weighted loss plus |coefficients|**2 / (2 C); the intercept is free. With one strength nothing is held out.
+    """
+    blocks = in_blocks(rows).persist()
+    try:
+        if width is None:
+            first = blocks.select("width").first()
+            if first is None:
+                raise ValueError("no rows to train on")
+            width = first["width"]
+        return _fit_blocks(blocks, width, folds, strengths)
+    finally:
+        blocks.unpersist()
+
+
+def _fit_blocks(blocks: DataFrame, width: int, folds: int, strengths: list[float]) -> tuple[list[LinearModel], np.ndarray]:
+    """``fit_grid`` over cached blocks.
+
+    The model of the middle strength over all rows is fitted first. All others start at its optimum, where one set of sums per
+    held-out fold serves every strength, and go on by steps of their own; on many rows one or two are left.
     """
     held = [None, *range(folds)] if len(strengths) > 1 else [None]
     models = [(k, c) for k in held for c in strengths]
     ridge = np.array([[1 / c] * width + [0.0] for _, c in models])
-    steps, n = Steps(ridge), width + 1
+    n = width + 1
     accuracy = np.full(len(models), np.nan)
-    each = 3 + n + n * n
-    for _ in range(PASSES):
-        chosen = np.flatnonzero(steps.open)
-        if not len(chosen):
-            break
-        beta, folds_out = steps.trial[chosen], [models[m][0] for m in chosen]
+    upper = np.triu_indices(n)
+    each = 3 + n + len(upper[0])
 
+    def measured(points: np.ndarray, which: list[int], folds_out: list[int | None]) -> list[np.ndarray]:
+        """Loss, hits, tested, gradient and Hessian at ``points[which[i]]`` over all rows but those of ``folds_out[i]``."""
         apart = np.array([-1 if k is None else k for k in folds_out])
-        upper = np.triu_indices(n)
 
-        def some_rows(x: np.ndarray, label: np.ndarray, weight: np.ndarray, inner: np.ndarray) -> np.ndarray:
-            x = np.column_stack((x, np.ones(len(x))))
+        def some_rows(block: np.ndarray) -> np.ndarray:
+            x, (label, weight, inner) = np.vstack((block[:-3], np.ones(block.shape[1]))), block[-3:]
             if np.isnan(x).any():
                 raise ValueError("a training row has an input without a value")
-            z = x @ beta.T
+            z = x.T @ points.T
             p = _sigmoid(z)
             aside = inner[:, None] == apart
             w = np.where(aside, 0.0, weight[:, None])
             tested = np.where(aside, weight[:, None], 0.0)
-            out = np.empty((len(beta), each))
-            out[:, 0] = (w * (np.logaddexp(0, z) - label[:, None] * z)).sum(axis=0)
-            out[:, 1] = (tested * ((z > 0) == (label > 0)[:, None])).sum(axis=0)
+            out = np.empty((len(which), each))
+            out[:, 0] = (w * (np.logaddexp(0, z) - label[:, None] * z)[:, which]).sum(axis=0)
+            out[:, 1] = (tested * ((z > 0) == (label > 0)[:, None])[:, which]).sum(axis=0)
             out[:, 2] = tested.sum(axis=0)
-            out[:, 3 : 3 + n] = (w * (p - label[:, None])).T @ x
+            out[:, 3 : 3 + n] = (w * (p - label[:, None])[:, which]).T @ x.T
             # Products of two inputs once for all models: their Hessians are one matrix product.
-            half = (w * p * (1 - p)).T @ (x[:, upper[0]] * x[:, upper[1]])
-            whole = np.empty((len(beta), n, n))
-            whole[:, upper[0], upper[1]] = half
-            whole[:, upper[1], upper[0]] = half
-            out[:, 3 + n :] = whole.reshape(len(beta), -1)
+            out[:, 3 + n :] = (_half_products(x) @ (w * (p * (1 - p))[:, which])).T
             return out
 
         def sums(batch: pa.RecordBatch) -> np.ndarray:
-            x = _list(batch.column("features"), batch.num_rows)
-            others = [batch.column(c).to_numpy() for c in ("label", "weight", "inner")]
-            cuts = range(0, batch.num_rows, CHUNK)
-            return sum(some_rows(x[a : a + CHUNK], *(o[a : a + CHUNK] for o in others)) for a in cuts).reshape(-1)
+            parts = (some_rows(block[:, a : a + CHUNK]) for block in _matrices(batch) for a in range(0, block.shape[1], CHUNK))
+            return sum(parts, np.zeros((len(which), each))).reshape(-1)
 
-        total = summed(rows, sums, len(chosen) * each).reshape(len(chosen), each)
-        steps.update(chosen, total[:, 0], total[:, 3 : 3 + n], total[:, 3 + n :].reshape(-1, n, n))
+        total = summed(blocks, sums, len(which) * each).reshape(len(which), each)
+        hessian = np.empty((len(which), n, n))
+        hessian[:, upper[0], upper[1]] = hessian[:, upper[1], upper[0]] = total[:, 3 + n :]
+        return [total[:, 0], total[:, 1], total[:, 2], total[:, 3 : 3 + n], hessian]
+
+    steps = Steps(ridge)
+    if len(held) > 1:
+        lead = Steps(ridge[[len(strengths) // 2]])
+        for _ in range(PASSES):
+            loss, _, _, gradient, hessian = measured(lead.trial, [0] * len(held), held)
+            lead.update(np.array([0]), loss[:1], gradient[:1], hessian[:1])
+            if not lead.open[0]:
+                break
+        steps.trial[:] = lead.at
+        if not lead.open[0]:  # these sums were taken at its optimum; every other model leaves it by a step of its own
+            own = np.repeat(np.arange(len(held)), len(strengths))
+            steps.update(np.arange(len(models)), loss[own], gradient[own], hessian[own], close=False)
+    for _ in range(PASSES):
+        chosen = np.flatnonzero(steps.open)
+        if not len(chosen):
+            break
+        loss, hits, tested, gradient, hessian = measured(steps.trial[chosen], list(range(len(chosen))), [models[m][0] for m in chosen])
+        steps.update(chosen, loss, gradient, hessian)
         done = ~steps.open[chosen]  # these sums were taken at the accepted points
         with np.errstate(invalid="ignore"):
-            accuracy[chosen[done]] = total[done, 1] / total[done, 2]
+            accuracy[chosen[done]] = hits[done] / tested[done]
     fitted = [LinearModel(steps.at[m][:width], float(steps.at[m][width])) for m in range(len(strengths))]
     if len(held) == 1:
         return fitted, np.full(len(strengths), np.nan)

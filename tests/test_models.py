@@ -122,6 +122,31 @@ def test_grid_of_models_equals_one_by_one_fits(spark):
         assert np.isclose(shares[i], np.mean(held))
 
 
+def test_one_strength_goes_ahead_of_the_grid(spark, monkeypatch):
+    """Few models are measured until one is fitted; rows are turned into blocks in one reading, of several batches too."""
+    rnd = np.random.default_rng(5)
+    x = np.round(rnd.normal(size=(3000, 3)), 3)
+    y = (x[:, 0] - x[:, 1] + rnd.normal(size=3000) > 0).astype(float)
+    inner = np.arange(3000) % 3
+    data = [(list(map(float, a)), float(t), 1.0, int(k)) for a, t, k in zip(x, y, inner)]
+    df = spark.createDataFrame(data, "features array<double>, label double, weight double, inner int").coalesce(2)
+    passes, add = [], newton.summed
+    monkeypatch.setattr(newton, "summed", lambda rows, function, size: passes.append(size) or add(rows, function, size))
+    models, shares = newton.fit_grid(df, None, 3, md.INVERSE_STRENGTHS)
+    each = 3 + 4 + 10
+    assert passes[0] == 4 * each and sum(p > 4 * each for p in passes) <= 3
+    for i in (0, 5, 9):
+        b = direct(x, y, np.ones(3000), md.INVERSE_STRENGTHS[i])
+        assert np.allclose([*models[i].coefficients, models[i].intercept], b, atol=1e-5)
+    assert shares.shape == (10,) and ((shares > 0.7) & (shares < 1)).all()
+
+
+def test_no_rows_to_train_on_are_refused(spark):
+    none = spark.createDataFrame([], "features array<double>, tip double, weight double")
+    with pytest.raises(ValueError, match="no rows to train on"):
+        md.fit_logistic(none, 3)
+
+
 def test_grid_equals_the_library_optimiser(spark):
     """The strength C means lambda = 1 / (C n) without standardisation."""
     from pyspark.ml.classification import LogisticRegression
