@@ -1,9 +1,10 @@
 """Similarity join of documents on word shingles, as a blocked sparse matrix product.
 
 The matrix has a row for each distinct shingle set and a column for each shingle. Two sets with Jaccard at least
-t share at least ``ceil(t * n)`` columns of either, so for any fixed order of the columns they meet within the
-first ``n - ceil(t * n) + 1`` columns of each: this bound, from the size alone, selects the part of the matrix
-that is multiplied first. Columns are ordered rare first, by a sketch of fixed size that counts all rows, then by
+t share at least ``ceil(t * n)`` columns of either, so for any fixed order of the columns they share at least k
+within the first ``n - ceil(t * n) + k`` columns of each: this bound, from the size alone, selects the part of the
+matrix that is multiplied first. k is one in ``SHARE`` of the columns that a link needs (one at least), so a row that
+meets others in a few columns by chance, as ever more rows do in a larger table, goes no further. Columns are ordered rare first, by a sketch of fixed size that counts all rows, then by
 hash; frequent passages thus stand behind and hardly any unrelated rows meet. Products are needed only where
 they can matter: a pair of rows whose sizes alone rule a link out is dropped, the others' full overlap is added
 up over blocks of columns, and a pair is dropped once the columns left cannot reach the bound.
@@ -33,12 +34,16 @@ from pyspark.sql import functions as F
 
 from orderlens.llm.bloom import filter_bits, passes
 from orderlens.llm.components import components
-from orderlens.llm.store import prepare, written
+from orderlens.llm.store import prepare, temporary, written
 from orderlens.llm.vectors import parts, total
 from orderlens.llm.words import hashed_words, mix, slices
 
 SKETCH_BITS = 23
 LEADERS, ROUNDS = 4, 2
+SHARE = 20
+#: Columns are met in so many blocks (a power of two); a task holds so many columns at a time.
+BLOCK_BITS, HELD = 11, 2_000_000
+_PACKED = pa.schema([("block", pa.int32()), ("places", pa.binary()), ("owners", pa.binary())])
 
 
 def shingle_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
@@ -66,6 +71,14 @@ def _bound(n: int, percent: int) -> int:
     return -(-n * percent // 100)
 
 
+def _least(n: int, percent: int) -> int:
+    """Columns of a row's prefix that others must have too; what a link needs beyond them never falls as n grows.
+
+    So the smaller row's prefix holds at least as many of the first shared columns as the larger row must show.
+    """
+    return max(1, _bound(n, percent) // SHARE)
+
+
 def _texts(docs: DataFrame, row: str | None = None) -> DataFrame:
     number = F.col(row) if row else F.monotonically_increasing_id()
     return docs.select(
@@ -117,52 +130,106 @@ def _sketch(profile: DataFrame) -> np.ndarray:
 
 
 def _prefix(s: np.ndarray, sketch: np.ndarray, percent: int) -> np.ndarray:
-    """The columns within which a link must meet, rare ones first."""
+    """The columns within which a link must meet ``_least`` times, rare ones first."""
     order = np.argsort(sketch[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)], kind="stable")
-    return s[order[: len(s) - _bound(len(s), percent) + 1]]
+    return s[order[: len(s) - _bound(len(s), percent) + _least(len(s), percent)]]
+
+
+def _coarse(columns: np.ndarray) -> np.ndarray:
+    """The columns' block and place, scrambled: columns that fall together only cost work."""
+    return mix(columns >> np.uint64(64 - BLOCK_BITS - 32))
+
 
+def _packed(columns: np.ndarray, owners: np.ndarray | None) -> pa.RecordBatch:
+    """A row per block of columns: their places there, 32 bits each, and their rows' digests, if these are told apart."""
+    order = np.argsort(columns)
+    columns, owners = columns[order], owners if owners is None else owners[order]
+    places = (columns >> np.uint64(64 - BLOCK_BITS - 32)).astype("<u4")
+    cuts = np.searchsorted(columns >> np.uint64(64 - BLOCK_BITS), np.arange((1 << BLOCK_BITS) + 1, dtype=np.uint64))
+    blocks = np.flatnonzero(np.diff(cuts))
+    spans = list(zip(cuts[blocks].tolist(), cuts[blocks + 1].tolist(), strict=True))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(blocks.astype(np.int32)), pa.array([places[i:j].tobytes() for i, j in spans], pa.binary()),
+         pa.array([owners is not None and owners[i:j].tobytes() or None for i, j in spans], pa.binary())],
+        schema=_PACKED)
 
-def _prefix_columns(docs: DataFrame, size: int, percent: int, sketch) -> DataFrame:
-    """(column, digest) of the part multiplied first; within a task a set counts once."""
-    schema = pa.schema([("col", pa.int64()), ("d", pa.int64())])
+
+def _prefix_columns(docs: DataFrame, size: int, percent: int, sketch, repeated) -> DataFrame:
+    """The part multiplied first, in blocks of columns. Rows whose set others may have too go with its digest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, seen = sketch.value, set()
+        counts, copied, seen = sketch.value, repeated.value, set()
+        alone: list[np.ndarray] = []
+        others: list[tuple[np.ndarray, np.ndarray]] = []
         for whole in batches:
             for batch in slices(whole, "text"):
-                cols, owners = [], []
                 for s in shingle_sets(batch.column("text"), size):
                     d = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
-                    if len(s) and d not in seen:
-                        if len(seen) < 500_000:
-                            seen.add(d)
-                        p = _prefix(s, counts, percent)
-                        cols.append(p)
-                        owners.append(np.full(len(p), int.from_bytes(d[:8], "little", signed=True), np.int64))
-                if cols:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(cols).view(np.int64)), pa.array(np.concatenate(owners))], schema=schema
-                    )
-
-    return _texts(docs).mapInArrow(run, "col bigint, d bigint")
-
-
-def _shared_columns(docs: DataFrame, size: int, percent: int, sketch) -> DataFrame:
-    columns = _prefix_columns(docs, size, percent, sketch)
-    return columns.groupBy("col").agg(F.min("d").alias("a"), F.max("d").alias("b")).where("a <> b").select("col")
+                    if not len(s) or d in seen:
+                        continue
+                    if len(seen) < 500_000:
+                        seen.add(d)
+                    p, own = _prefix(s, counts, percent), np.frombuffer(d[:8], ">u8").astype(np.uint64)
+                    if passes(copied, own)[0]:
+                        others.append((p, np.repeat(own, len(p))))
+                    else:
+                        alone.append(p)
+                if sum(map(len, alone)) > HELD:
+                    yield _packed(np.concatenate(alone), None)
+                    alone = []
+                if sum(len(p) for p, _ in others) > HELD:
+                    yield _packed(*map(np.concatenate, zip(*others, strict=True)))
+                    others = []
+        if alone:
+            yield _packed(np.concatenate(alone), None)
+        if others:
+            yield _packed(*map(np.concatenate, zip(*others, strict=True)))
+
+    return _texts(docs).mapInArrow(run, "block int, places binary, owners binary")
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The columns of a block that different sets have. Without digests, each place is of another set."""
+    alone, copied, owners, block = [], [np.empty(0, "<u4")], [np.empty(0, np.uint64)], 0
+    for batch in batches:
+        for b, places, own in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            block = b
+            if own is None:
+                alone.append(np.frombuffer(places, "<u4"))
+            else:
+                copied.append(np.frombuffer(places, "<u4"))
+                owners.append(np.frombuffer(own, np.uint64))
+    c, own = np.concatenate(copied), np.concatenate(owners)
+    order = np.lexsort((own, c))
+    c, own = c[order], own[order]
+    new = np.ones(len(c), bool)
+    new[1:] = (c[1:] != c[:-1]) | (own[1:] != own[:-1])
+    places, times = np.unique(np.concatenate([*alone, c[new]]), return_counts=True)
+    found = mix((np.uint64(block) << np.uint64(32)) + places[times > 1].astype(np.uint64))
+    yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["col"])
+
+
+def _shared_columns(docs: DataFrame, profile: DataFrame, size: int, percent: int, sketch) -> np.ndarray:
+    """A filter of the columns that different sets share in the part multiplied first, as ``_coarse`` gives them."""
+    several = profile.where("n > 0").groupBy("digest").agg(F.count("*").alias("c")).where("c > 1")
+    low = several.select(F.conv(F.hex(F.substring("digest", 1, 8)), 16, -10).cast("bigint").alias("d"))
+    repeated = docs.sparkSession.sparkContext.broadcast(filter_bits(low, "d"))
+    columns = _prefix_columns(docs, size, percent, sketch, repeated)
+    shared = filter_bits(columns.groupBy("block").applyInArrow(_met, "col bigint"), "col")
+    repeated.destroy()
+    return shared
 
 
 def _candidates(docs: DataFrame, size: int, percent: int, sketch, bits) -> DataFrame:
-    """Rows that share a column of their prefix with another.
+    """Rows that share as many columns of their prefix with others as a link needs there.
 
-    digest, n, p and q (lengths of the prefix and of its first part), cols (its columns that others have too) and
-    places (theirs in the order of all columns of the set), front
-    (how many of them lie in the first part), central (their share in 1/1000),
-    keys (for the leader rounds), text, which is smaller than the set and gives it again.
+    digest, n, cols (its columns that others have too) and places (theirs in the order of all columns of the set),
+    central (their share in 1/1000), keys (for the leader rounds), text, which is smaller than the set and gives it
+    again, id, a number of its own.
     """
-    names = ["digest", "n", "p", "q", "cols", "places", "front", "central", "keys", "text"]
+    names = ["digest", "n", "cols", "places", "central", "keys", "text"]
     longs = pa.list_(pa.int64())
-    kinds = [pa.binary(), *[pa.int32()] * 3, longs, pa.list_(pa.int32()), pa.int32(), pa.int32(), longs, pa.string()]
+    kinds = [pa.binary(), pa.int32(), longs, pa.list_(pa.int32()), pa.int32(), longs, pa.string()]
     schema = pa.schema(list(zip(names, kinds, strict=True)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,32 +246,42 @@ def _candidates(docs: DataFrame, size: int, percent: int, sketch, bits) -> DataF
                     if len(seen) < 500_000:
                         seen.add(d)
                     whole_p = _prefix(s, counts, percent)
-                    ok = passes(shared, whole_p)
-                    p, q = whole_p[ok], len(s) - -(-2 * percent * len(s) // (100 + percent)) + 1
-                    if len(p):
+                    ok = passes(shared, _coarse(whole_p))
+                    p = whole_p[ok]
+                    if len(p) >= _least(len(s), percent):
                         # Near copies agree in most of their first columns, and in most minima of a hash.
                         with np.errstate(over="ignore"):
                             least = [p[np.argmin(mix(p + np.uint64(7919 * (k + 1))))] for k in range(LEADERS)]
                         rare = [p[min(k, len(p) - 1)] for k in range(LEADERS)]
                         keys = [int(x.view(np.int64)) for pair in zip(rare, least, strict=True) for x in pair]
                         central = 1000 * len(p) // len(whole_p)
-                        front = int(np.count_nonzero(ok[:q]))
                         places = np.flatnonzero(ok).astype(np.int32)
-                        rows.append((d, len(s), len(whole_p), q, p.view(np.int64), places, front, central, keys, texts[i].as_py()))
+                        rows.append((d, len(s), p.view(np.int64), places, central, keys, texts[i].as_py()))
                 if rows:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema
                     )
 
-    kind = "digest binary, n int, p int, q int, cols array<bigint>, places array<int>, front int, central int, keys array<bigint>, text string"
-    return _texts(docs).mapInArrow(run, kind).dropDuplicates(["digest"])
+    kind = "digest binary, n int, cols array<bigint>, places array<int>, central int, keys array<bigint>, text string"
+    return _texts(docs).mapInArrow(run, kind).dropDuplicates(["digest"]).withColumn("id", F.monotonically_increasing_id())
+
+
+def _whole(n: str, percent: int) -> Column:
+    """The length of the prefix of a row of n columns, as in ``_prefix``."""
+    bound = f"(({n} * {percent}L + 99) div 100)"
+    return F.expr(f"{n} - {bound} + greatest(1L, {bound} div {SHARE})")
 
 
-def _possible(c: Column, na: str, pa_: str, nb: str, pb: str, percent: int) -> Column:
+def _front(n: str, percent: int) -> Column:
+    """The length of its first part, enough for a link to a row that is not smaller."""
+    return F.expr(f"{n} - ({n} * {2 * percent}L + {99 + percent}) div {100 + percent} + 1")
+
+
+def _possible(c: Column, na: str, pa_: Column, nb: str, pb: Column, percent: int) -> Column:
     """Whether two rows that share c columns of their prefixes may link: what lies behind a prefix may all be shared."""
     need = F.ceil((F.col(na) + F.col(nb)) * percent / (100 + percent))
     sizes = F.least(na, nb).cast("bigint") * 100 >= F.greatest(na, nb).cast("bigint") * percent
-    return sizes & (c + F.greatest(F.col(na) - F.col(pa_), F.col(nb) - F.col(pb)) >= need)
+    return sizes & (c + F.greatest(F.col(na) - pa_, F.col(nb) - pb) >= need)
 
 
 def _overlap(a: np.ndarray, b: np.ndarray, percent: int, blocks: int = 8) -> bool:
@@ -228,15 +305,15 @@ def _overlap(a: np.ndarray, b: np.ndarray, percent: int, blocks: int = 8) -> boo
 
 def _bounded(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
     """The pairs that the prefixes do not rule out."""
-    side = rows.select("digest", "n", "p", "cols")
-    met = pairs.join(side.alias("x"), F.col("x.digest") == F.col("a")).join(side.alias("y"), F.col("y.digest") == F.col("b"))
+    side = rows.select("id", "n", "cols")
+    met = pairs.join(side.alias("x"), F.col("x.id") == F.col("a")).join(side.alias("y"), F.col("y.id") == F.col("b"))
     shared = F.size(F.array_intersect("x.cols", "y.cols"))
-    return met.where(_possible(shared, "x.n", "x.p", "y.n", "y.p", percent)).select("a", "b")
+    return met.where(_possible(shared, "x.n", _whole("x.n", percent), "y.n", _whole("y.n", percent), percent)).select("a", "b")
 
 
-def _verified(pairs: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of digests that link."""
-    schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+def _verified(pairs: DataFrame, rows: DataFrame, size: int, percent: int, label: str) -> DataFrame:
+    """The pairs (a, b) of numbers of rows that link, written."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -258,15 +335,17 @@ def _verified(pairs: DataFrame, rows: DataFrame, size: int, percent: int) -> Dat
     def compared(h: pa.Array) -> pa.Array:
         return pa.array(passes(bits.value, h.to_numpy(zero_copy_only=False).view(np.uint64)))
 
-    texts = rows.where(F.arrow_udf(compared, "boolean")(F.xxhash64("digest"))).select("digest", "text")
-    firsts = texts.alias("l").join(pairs.select("a").distinct(), F.col("l.digest") == F.col("a"), "left_semi")
-    left = pairs.join(texts.alias("s"), F.col("s.digest") == F.col("b")).select(
+    texts = rows.where(F.arrow_udf(compared, "boolean")(F.xxhash64("id"))).select("id", "text")
+    firsts = texts.alias("l").join(pairs.select("a").distinct(), F.col("l.id") == F.col("a"), "left_semi")
+    left = pairs.join(texts.alias("s"), F.col("s.id") == F.col("b")).select(
         F.col("a").alias("lead"), "b", F.col("s.text").alias("y")
     )
-    both = left.join(firsts.alias("l"), F.col("l.digest") == F.col("lead")).select(
+    both = left.join(firsts.alias("l"), F.col("l.id") == F.col("lead")).select(
         F.col("lead").alias("a"), "b", F.col("l.text").alias("x"), "y"
     )
-    return both.mapInArrow(run, "a binary, b binary")
+    found = written(both.mapInArrow(run, "a bigint, b bigint"), label)
+    bits.destroy()
+    return found
 
 
 def _leader_pairs(rows: DataFrame, root: DataFrame, number: int) -> DataFrame:
@@ -275,14 +354,14 @@ def _leader_pairs(rows: DataFrame, root: DataFrame, number: int) -> DataFrame:
     The leader of a column is the row with the largest share of columns that others have: the one that copies
     were made from rather than one of its copies, which differ from each other more than from it.
     """
-    keyed = rows.select("digest", "central", F.explode(F.slice("keys", number * LEADERS + 1, LEADERS)).alias("k"))
-    named = keyed.join(root, keyed["digest"] == root["node"], "left").select(
-        "digest", "central", "k", F.coalesce("root", "digest").alias("root")
+    keyed = rows.select("id", "central", F.explode(F.slice("keys", number * LEADERS + 1, LEADERS)).alias("k"))
+    named = keyed.join(root, keyed["id"] == root["node"], "left").select(
+        "id", "central", "k", F.coalesce("root", "id").alias("root")
     )
-    best = F.max(F.struct("central", F.col("digest").alias("a"))).alias("best")
+    best = F.max(F.struct("central", F.col("id").alias("a"))).alias("best")
     lead = named.groupBy("k").agg(best, F.min("root").alias("lo"), F.max("root").alias("hi"))
-    met = named.join(lead.where("lo <> hi"), "k").where("digest <> best.a")
-    return met.groupBy(F.col("digest").alias("b")).agg(F.max("best")["a"].alias("a")).select("a", "b")
+    met = named.join(lead.where("lo <> hi"), "k").where("id <> best.a")
+    return met.groupBy(F.col("id").alias("b")).agg(F.max("best")["a"].alias("a")).select("a", "b")
 
 
 def linked_documents(docs: DataFrame, size: int = 5, percent: int = 75, row: str | None = None) -> DataFrame:
@@ -293,53 +372,61 @@ def linked_documents(docs: DataFrame, size: int = 5, percent: int = 75, row: str
     """
     spark = docs.sparkSession
     prepare(spark)
+    with temporary(spark):
+        return written(_linked(docs, size, percent, row), "jaccard-linked", keep=True)
+
+
+def _linked(docs: DataFrame, size: int, percent: int, row: str | None) -> DataFrame:
+    spark = docs.sparkSession
     profile = written(_profile(docs, size, row), "jaccard-profile")
     own = profile.where("part IS NULL").select("row", "doc_id", "n", "digest")
     sketch = spark.sparkContext.broadcast(_sketch(profile))
-    bits = spark.sparkContext.broadcast(filter_bits(_shared_columns(docs, size, percent, sketch), "col"))
-    rows = written(_candidates(docs, size, percent, sketch, bits), "jaccard-rows")
+    bits = spark.sparkContext.broadcast(_shared_columns(docs, own, size, percent, sketch))
+    rows = written(_candidates(docs, size, percent, sketch, bits), "jaccard-rows", codec="zstd")
+    sketch.destroy()
+    bits.destroy()
 
-    root = spark.createDataFrame([], "node binary, root binary")
-    links = spark.createDataFrame([], "a binary, b binary")
+    root = spark.createDataFrame([], "node bigint, root bigint")
+    links = spark.createDataFrame([], "a bigint, b bigint")
     for number in range(ROUNDS):
         pairs = written(_bounded(_leader_pairs(rows, root, number), rows, percent), "jaccard-pairs")
-        links = written(links.unionAll(_verified(pairs, rows, size, percent)), "jaccard-links")
+        links = links.unionAll(_verified(pairs, rows, size, percent, "jaccard-links"))
         # Between rounds a row's leader will do for its root; before all pairs roots must be final.
         one_step = links.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("root"))
         root = one_step if number + 1 < ROUNDS else components(links, "jaccard-roots")
-    held = rows.join(root, rows["digest"] == root["node"], "left").select(
-        F.struct("n", "central", "digest").alias("rank"), "p", "q", F.coalesce("root", "digest").alias("root"),
-        F.posexplode(F.arrays_zip("cols", "places")).alias("i", "at"), "front",
-    ).select("rank", "p", "q", "root", "i", F.col("at.cols").alias("col"), (F.col("rank.n") - F.col("at.places")).alias("rest"), "front")
+    # One entry per open column: it travels, so it holds numbers only; what a row's size gives is not in it.
+    held = rows.join(root, rows["id"] == root["node"], "left").select(
+        "id", "n", F.coalesce("root", "id").alias("root"), F.posexplode(F.arrays_zip("cols", "places")).alias("i", "at")
+    ).select("id", "n", "root", "i", F.col("at.cols").alias("col"), (F.col("n") - F.col("at.places")).alias("rest"))
     mixed = held.groupBy("col").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("col")
-    open_ = written(held.join(mixed, "col"), "jaccard-open")
+    open_ = written(held.join(mixed, "col"), "jaccard-open", codec="zstd")
     # The product itself: the first part of the smaller row's prefix against the prefix of the larger. The first
     # column that a linked pair shares lies in both. Shared columns are counted, pairs below the bound dropped. Where
     # two rows meet, what they share is at most the open columns that both have passed and the columns that both have left.
-    x = open_.where("i < front").select("col", *[F.col(c).alias(f"{c}a") for c in ("rank", "root", "q", "i", "rest")])
-    y = open_.select("col", *[F.col(c).alias(f"{c}b") for c in ("rank", "root", "p", "i", "rest")])
+    x, y = (open_.select("col", *[F.col(c).alias(f"{c}{s}") for c in ("id", "n", "root", "i", "rest")]) for s in "ab")
     reach = (F.least("ia", "ib") + F.least("resta", "restb")).cast("bigint")
     across = (
-        x.join(y, "col")
-        .where((F.col("roota") != F.col("rootb")) & (F.col("ranka") < F.col("rankb")))
-        .where(F.col("ranka.n").cast("bigint") * 100 >= F.col("rankb.n").cast("bigint") * percent)
-        .where(reach * (100 + percent) >= (F.col("ranka.n").cast("bigint") + F.col("rankb.n")) * percent)
-        .groupBy("ranka", "rankb", "qa", "pb")
+        x.where(F.col("na") - F.col("resta") < _front("na", percent))
+        .join(y, "col")
+        .where((F.col("roota") != F.col("rootb")) & (F.struct("na", "ida") < F.struct("nb", "idb")))
+        .where(F.col("na").cast("bigint") * 100 >= F.col("nb").cast("bigint") * percent)
+        .where(reach * (100 + percent) >= (F.col("na").cast("bigint") + F.col("nb")) * percent)
+        .groupBy(F.col("ida").alias("a"), F.col("idb").alias("b"), "na", "nb")
         .agg(F.count("*").alias("c"))
-        .select(F.col("ranka.digest").alias("a"), F.col("rankb.digest").alias("b"), F.col("ranka.n").alias("na"),
-                F.col("rankb.n").alias("nb"), "qa", "pb", "c")
-        .where(_possible(F.col("c"), "na", "qa", "nb", "pb", percent))
+        .where(_possible(F.col("c"), "na", _front("na", percent), "nb", _whole("nb", percent), percent))
         .select("a", "b")
-    )
-    more = written(_verified(written(across, "jaccard-across"), rows, size, percent), "jaccard-last")
+    )
+    more = _verified(written(across, "jaccard-across"), rows, size, percent, "jaccard-last")
     if more.limit(1).count():
         root = components(links.unionAll(more), "jaccard-roots")
 
     # Null ids come last, so a component has a null id only if it has no other.
     first = F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "row")
     classes = own.where("n > 0").groupBy("digest").agg(F.min(first).alias("least"))
-    merged = classes.join(root, classes["digest"] == root["node"], "left").select(
-        "digest", "least", F.coalesce("root", "digest").alias("root")
+    # A set that went no further than its prefix has no number; it is a component of its own.
+    ends = rows.select("digest", "id").join(root, F.col("id") == F.col("node"), "left").select("digest", F.coalesce("root", "id").alias("end"))
+    merged = classes.join(ends, "digest", "left").select(
+        "digest", "least", F.struct("end", F.when(F.col("end").isNull(), F.col("digest")).alias("only")).alias("root")
     )
     least = merged.groupBy("root").agg(F.min("least").alias("first"))
     named = merged.join(least, "root").select("digest", "first")

@@ -10,6 +10,9 @@ from __future__ import annotations
 import gc
 import os
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 from pyarrow import fs as pafs
@@ -18,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from orderlens.session import scratch_path
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+_FOLDERS: ContextVar[tuple[list[str], ...]] = ContextVar("_FOLDERS", default=())
 
 
 def prepare(spark: SparkSession) -> None:
@@ -34,11 +38,30 @@ def fresh(spark: SparkSession, label: str) -> str:
     return found.makeQualified(path).toString()
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """The same rows, written once and re-read."""
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Tables written inside are deleted at the end; those with ``keep`` then belong to the block around it, if any.
+
+    What is still read afterwards must be such a table.
+    """
+    folders: list[str] = []
+    before = _FOLDERS.set((*_FOLDERS.get(), folders))
+    try:
+        yield
+    finally:
+        _FOLDERS.reset(before)
+        for folder in folders:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def written(df: DataFrame, label: str, keep: bool = False, codec: str | None = None) -> DataFrame:
+    """The same rows, written once and re-read; ``keep``: the table outlives the innermost ``temporary``."""
     spark, schema = df.sparkSession, df.schema
     path = fresh(spark, label)
-    df.write.parquet(path)
+    if blocks := _FOLDERS.get()[: -1 if keep else None]:
+        blocks[-1].append(path)
+    df.write.parquet(path, compression=codec)
     del df
     release(spark)
     return spark.read.schema(schema).parquet(path)

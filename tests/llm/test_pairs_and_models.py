@@ -1,6 +1,7 @@
 """Near copies, repeated passages, the language model, toxicity and the pipeline against brute force."""
 
 import math
+import os
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -15,6 +16,7 @@ import corpus_pipeline
 from orderlens.llm import chunks, components, jaccard, ngram_lm, quality, toxicity
 from orderlens.llm import words as hashing
 from orderlens.llm.queries import QUERIES, remainder
+from orderlens.session import shared_dir
 
 
 def groups(texts, size=5, percent=75):
