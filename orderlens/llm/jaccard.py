@@ -416,7 +416,9 @@ def _linked(docs: DataFrame, size: int, percent: int, row: str | None) -> DataFr
         .where(_possible(F.col("c"), "na", _front("na", percent), "nb", _whole("nb", percent), percent))
         .select("a", "b")
     )
-    more = _verified(written(across, "jaccard-across"), rows, size, percent, "jaccard-last")
+    # One column in a first part is little in a large group of rows that share a passage: the whole prefixes tell more.
+    left = written(_bounded(written(across, "jaccard-across"), rows, percent), "jaccard-pairs")
+    more = _verified(left, rows, size, percent, "jaccard-last")
     if more.limit(1).count():
         root = components(links.unionAll(more), "jaccard-roots")
 
