@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from orderlens.llm import chunks, jaccard, packing, quality, toxicity
 from orderlens.llm.queries import remainder, vocabulary
-from orderlens.llm.store import unused, written
+from orderlens.llm.store import temporary, unused, written
 from orderlens.session import ensure_utc
 
 WINDOW, END_ID, MAX_TOXIC = 4096, 2, 0.3
@@ -46,7 +46,7 @@ def clean_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # Numbers follow the partitions of a read, and these the cores of the moment: written once, they stay the same.
     number = unused(docs, "row")
-    numbered = written(docs.withColumn(number, F.monotonically_increasing_id()), "pipeline-numbered")
+    numbered = written(docs.withColumn(number, F.monotonically_increasing_id()), "pipeline-numbered", codec="zstd")
     kept = jaccard.linked_documents(numbered, row=number).where("kept").select(F.col("row").alias(number))
     return numbered.join(kept, number, "left_semi").drop(number)
 
@@ -79,9 +79,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each stage's rows are written to the shared folder and read by the next."""
+    """All stages over ``documents``; each stage's rows are written to the shared folder and read by the next.
+
+    What a stage has written besides is deleted with the stage.
+    """
     ensure_utc(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+        with temporary(spark):
+            docs = written(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}", keep=True)
     return docs

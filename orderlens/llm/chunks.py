@@ -54,7 +54,8 @@ def chunked(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     data, starts = text_bytes(column, PAD)
     ends = starts[1:] - PAD
     begin = starts[:-1]
-    cuts = cut_places(data)
+    # Separators stand before the first text too, so its chunks do not depend on where it stands in a batch.
+    cuts = cut_places(np.concatenate((np.full(PAD, 10, np.uint8), data))) - PAD
     owner = np.searchsorted(begin, cuts, side="right") - 1
     cuts = cuts[(owner >= 0) & (cuts > begin[owner]) & (cuts < ends[owner])] if len(begin) else cuts[:0]
     full = begin[ends > begin]
@@ -163,7 +164,9 @@ def without_repeats(docs: DataFrame, min_bytes: int = 100) -> DataFrame:
     marked = written(
         whole.mapInArrow(suspects, found).withColumn("id", F.monotonically_increasing_id()),
         "chunks-marked",
+        codec="zstd",
     )
+    bits.destroy()
     some = marked.where(F.size("chunks") > 0)
     each = some.select("id", "key", F.explode("chunks").alias("c")).select("id", "key", "c.*")
     hit = each.join(several, each["d"] == several["digest"], "left").where(F.col("again") | (F.col("first") < F.col("key")))

@@ -61,7 +61,7 @@ def encode_partitions(docs: DataFrame, vocabulary: str, end_id: int) -> DataFram
 
 def pack(docs: DataFrame, vocabulary: str, window: int = 4096, end_id: int = 2) -> DataFrame:
     """One row per piece: doc_id, start, length, ids, doc_tokens, sequence_id, offset."""
-    tokens = written(encode_partitions(docs, vocabulary, end_id), "packing")
+    tokens = written(encode_partitions(docs, vocabulary, end_id), "packing", codec="zstd")
     totals = tokens.groupBy("part").agg(F.sum("length").alias("total"))
     # One row per partition of the input: small, and ordered by partition number.
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

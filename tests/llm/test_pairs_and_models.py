@@ -86,6 +86,39 @@ def test_join_with_null_and_repeated_ids(spark):
     assert jaccard.linked_documents(documents(spark, [])).count() == 0
 
 
+def test_join_at_the_bound_for_many_sizes(spark):
+    """The longer of two texts has n shingles, the other the first k: a link from k = ceil(0.75 n) on."""
+    texts, linked = [], []
+    for n in (1, 2, 4, 20, 27, 39, 40, 53, 54, 80, 107, 133, 400, 1333):
+        for less in (0, 1):
+            k = max(1, -(-3 * n // 4) - less)
+            own = [f"n{n}x{less}y{i}" for i in range(n + 4)]
+            texts += [" ".join(own), " ".join(own[: k + 4])]
+            linked.append(4 * k >= 3 * n)
+    got = {r.doc_id: r.component_id for r in jaccard.linked_documents(documents(spark, texts)).collect()}
+    assert [got[2 * i + 1] == 2 * i for i in range(len(linked))] == linked and all(got[2 * i] == 2 * i for i in range(len(linked)))
+
+
+def test_join_carries_no_rows_that_meet_by_chance(spark, monkeypatch):
+    """Texts that share one short passage with another do not travel; what is written on the way is deleted."""
+    texts = [" ".join([f"a{i}w{k}" for k in range(200)] + [f"p{i // 2}z{k}" for k in range(6)]) for i in range(40)]
+    texts += [texts[0] + " more", texts[0]]
+    seen, real = {}, jaccard.written
+
+    def counted(df, label, *args, **options):
+        out = real(df, label, *args, **options)
+        seen[label] = out.count()
+        return out
+
+    monkeypatch.setattr(jaccard, "written", counted)
+    folder = f"{shared_dir(spark)}/orderlens"
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    got = {r.doc_id: r.component_id for r in jaccard.linked_documents(documents(spark, texts)).collect()}
+    assert got == {i: i for i in range(40)} | {40: 0, 41: 0}
+    assert seen["jaccard-rows"] == 2
+    assert [x.rsplit("-", 1)[0] for x in set(os.listdir(folder)) - before] == ["jaccard-linked"]
+
+
 def test_join_query(spark, sf_dir):
     texts = corpus(sf_dir)
     ids = sorted(texts)
@@ -324,6 +357,25 @@ def test_pipeline_of_an_empty_table(spark, sf_dir, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
 
 
+def test_chunks_of_a_text_do_not_depend_on_its_place_in_a_batch():
+    rnd = random.Random(11)
+    texts = ["".join(rnd.choice("abcdefghij k") for _ in range(300)) for _ in range(200)]
+    a, b, d, first = chunks.chunked(pa.array(texts))
+    for k, text in enumerate(texts):
+        i, j = first[k], first[k + 1]
+        alone = chunks.chunked(pa.array([text]))
+        assert [x.tolist() for x in alone[:3]] == [a[i:j].tolist(), b[i:j].tolist(), d[i:j].tolist()]
+
+
+def test_pipeline_leaves_the_rows_of_its_stages_only(spark, sf_dir):
+    folder = f"{shared_dir(spark)}/orderlens"
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    out = corpus_pipeline.run(spark, sf_dir)
+    left = {x.rsplit("-", 1)[0] for x in set(os.listdir(folder)) - before}
+    assert left == {f"pipeline-{name.replace(' ', '-')}" for name, _ in corpus_pipeline.STAGES}
+    assert out.count() > 0
+
+
 def test_near_copies_when_the_table_is_split_anew(spark, tmp_path, monkeypatch):
     """Files dealt to other partitions between the linking and the last read lose no document and keep no copy."""
     texts = [" ".join(f"w{i}x{k}" for k in range(30)) for i in range(12)]
