@@ -7,7 +7,6 @@ files of the attempts that counted, so what a lost or repeated attempt left behi
 
 from __future__ import annotations
 
-import gc
 import os
 import uuid
 from collections.abc import Iterator
@@ -18,7 +17,7 @@ import numpy as np
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
-from orderlens.session import scratch_path
+from orderlens.session import release, scratch_path
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 _FOLDERS: ContextVar[tuple[list[str], ...]] = ContextVar("_FOLDERS", default=())
@@ -82,12 +81,6 @@ def added(df: DataFrame, name: str) -> str:
     return name
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of plans that nothing refers to any more."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def _open(address: str):
     return pafs.FileSystem.from_uri(address)
 
